@@ -161,9 +161,10 @@ def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attribute_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Key-value text with a regular-expression separator: the URL parts as ``name=value`` lines."""
+    """Key-value text with a regular-expression separator: host and parameters of the URLs."""
     pages = X.table(spark, sf_dir, "pages")
-    kv = extract_kv("url", r"regex:[/?#&]+", "=")
+    text = F.regexp_replace("url", "^https?://", "site=")
+    kv = extract_kv(text, "regex:/[^?#]*[?#]?|[&#]", "=")
     return pages.select("page_id", kv.alias("_kv")).select(
         "page_id", F.size(F.coalesce("_kv.pairs", F.array().cast("array<struct<key:string,value:string>>"))).alias("pairs"),
         F.col("_kv.error").alias("error"),
@@ -458,14 +459,10 @@ def _payload_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of ten orders, as many as there are attempts to judge or fewer."""
     orders = X.table(spark, sf_dir, "orders")
     return orders.groupBy(F.expr("o_orderkey div 10").alias("batch_no")).agg(
-        F.count("*").alias("items"), F.sum(cents_of("o_totalprice")).alias("size_bytes")
+        F.count("*").alias("items"), F.sum(X.cents("o_totalprice")).alias("size_bytes")
     )
 
 
-def cents_of(name: str):
-    return X.cents(name)
-
-
 def dead_letter_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letters(_payload_sizes(spark, sf_dir), _outcomes(spark, sf_dir))
 
