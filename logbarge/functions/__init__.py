@@ -9,6 +9,7 @@ from .json import (
     kvp_fields,
     map_fields,
     raw_field,
+    scalar_fields,
 )
 from .maps import bulk, bulk_kvp, map_bytes, marker_map, merge_maps, no_map
 from .text import abbreviate, extract_kv, is_blank, map_text, selector, stream_key, trim_control, utf8_len
@@ -36,6 +37,7 @@ __all__ = [
     "no_map",
     "pair_fields",
     "raw_field",
+    "scalar_fields",
     "selector",
     "stream_key",
     "text_field",

@@ -5,14 +5,21 @@ A fragment is the text ``"name":value``; null stands for "write nothing".
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import _col
 
-ARRAY_DEPTH = 4
+# How deep lists that hold objects, and lists printed as plain text, may be nested.
+ARRAY_DEPTH = 3
+
+# Numbers with a fraction or exponent, outside of strings: $1 is what comes before, $2 the number.
+FRACTION = (
+    r'\G((?:"(?:[^"\\]|\\.)*+"|-?[0-9]++(?![.eE])|[^"0-9-])*+)'
+    r"(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"
+)
 
 
 def json_quote(c: Column | str) -> Column:
@@ -20,23 +27,24 @@ def json_quote(c: Column | str) -> Column:
     return F.btrim(F.to_json(F.array(_col(c))), F.lit("[]"))
 
 
-def json_value(v: Column | str, depth: int = ARRAY_DEPTH) -> Column:
+def _typed(text: Column, v: Column, depth: int) -> Column:
+    """``json_value`` where ``text`` is the JSON text of ``v``."""
+    quoted = F.regexp_replace(text, FRACTION, '$1"$2"')
+    fraction = text.rlike(r"\A(?=[\[0-9-]).*[0-9][.eE]")
+    if depth > 0:
+        # objects inside a list are left as they are, so the list is walked element by element
+        items = F.transform(v.cast("array<variant>"), lambda x: _typed(F.to_json(x), x, depth - 1))
+        walked = F.concat(F.lit("["), F.array_join(items, ",", "null"), F.lit("]"))
+        quoted = F.when(text.contains("{"), walked).otherwise(quoted)
+    return F.when(text.isNull(), F.lit("null")).when(fraction, quoted).otherwise(text)
+
+
+def json_value(v: Column | str) -> Column:
     """JSON text of a VARIANT: strings quoted, whole numbers and booleans plain, arrays element by
     element, objects verbatim, and every other scalar (decimals, doubles, dates) as a quoted string.
     """
     v = _col(v)
-    text = F.to_json(v)
-    out = F.when(v.isNull(), F.lit("null")).when(
-        text.rlike(r"\A-?[0-9]") & ~text.rlike(r"\A-?[0-9]+\z"), F.concat(F.lit('"'), text, F.lit('"'))
-    )
-    if depth > 0:
-        items = F.transform(v.cast("array<variant>"), lambda x: json_value(x, depth - 1))
-        # arrays without any fraction or exponent are already in the wanted form
-        out = out.when(
-            text.startswith("[") & text.rlike(r"[0-9][.eE]"),
-            F.concat(F.lit("["), F.array_join(items, ","), F.lit("]")),
-        )
-    return out.otherwise(text)
+    return _typed(F.to_json(v), v, ARRAY_DEPTH)
 
 
 def value_text(v: Column, depth: int = ARRAY_DEPTH) -> Column:
@@ -97,20 +105,15 @@ def json_object(*fragments: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *fragments), F.lit("}"))
 
 
-def _kept(entries: Column, include: Iterable[str], exclude: Iterable[str], no_value=Column.isNull) -> Column:
-    """Entries with a key and a value that pass the key test."""
-    from .maps import allowed
-
-    def keep(e: Column) -> Column:
-        present = e["key"].isNotNull() & ~no_value(e["value"])
-        test = allowed(e["key"], include, exclude)
-        return present if test is None else present & test
-
-    return F.filter(entries, keep)
+def object_body(text: Column) -> Column:
+    """The inside of a flat JSON object; null when it is empty."""
+    return F.nullif(F.btrim(text, F.lit("{}")), F.lit(""))
 
 
-def _no_variant(v: Column) -> Column:
-    return v.isNull() | F.is_variant_null(v)
+def scalar_fields(fields: Sequence[tuple[str, Column]]) -> Column:
+    """Several scalar fields in one pass: strings quoted, numbers plain, nulls written as null."""
+    row = F.struct(*(c.alias(name) for name, c in fields))
+    return object_body(F.to_json(row, {"ignoreNullFields": "false"}))
 
 
 def map_fields(
@@ -120,12 +123,10 @@ def map_fields(
     include: Iterable[str] = (),
     exclude: Iterable[str] = (),
 ) -> Column:
-    """One string field per map entry: array of fragments."""
-    lead = F.lit("" if no_prefix else prefix)
-    entries = _kept(F.map_entries(_col(m)), include, exclude)
-    return F.transform(
-        entries, lambda e: _named(F.concat(lead, e["key"]), json_quote(e["value"]))
-    )
+    """One string field per map entry, as one fragment."""
+    from .maps import bulk
+
+    return object_body(F.to_json(bulk(m, "" if no_prefix else prefix, include, exclude)))
 
 
 def kvp_fields(
@@ -140,7 +141,25 @@ def kvp_fields(
 
     ``serializer(name, value)`` may write the whole fragment itself.
     """
+    from .maps import allowed
+
     lead = F.lit("" if no_prefix else prefix)
-    write = serializer or (lambda name, value: _named(name, json_value(value)))
-    entries = _kept(_col(kvp), include, exclude, _no_variant)
-    return F.transform(entries, lambda e: write(F.concat(lead, e["key"]), e["value"]))
+    # the JSON text is needed several times below, so it is computed once per pair
+    pairs = F.transform(
+        _col(kvp),
+        lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.to_json(e["value"]).alias("text")),
+    )
+
+    def keep(e: Column) -> Column:
+        # a variant may hold a JSON null, which counts as no value
+        present = e["key"].isNotNull() & (F.coalesce(e["text"], F.lit("null")) != "null")
+        test = allowed(e["key"], include, exclude)
+        return present if test is None else present & test
+
+    def write(e: Column) -> Column:
+        name = F.concat(lead, e["key"])
+        if serializer is not None:
+            return serializer(name, e["value"])
+        return _named(name, _typed(e["text"], e["value"], ARRAY_DEPTH))
+
+    return F.transform(F.filter(pairs, keep), write)

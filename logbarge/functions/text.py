@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # The characters that count as white space (the no-break spaces do not),
 # and the ones trimmed from both ends of keys and values (U+0000 to U+0020).
-BLANK = r"\A[\t-\r\x1c-\x1f[\p{Z}&&[^   ]]]*\z"
+BLANK = r"\A[\t-\r\x1c-\x1f[\p{Z}&&[^\u00a0\u2007\u202f]]]*\z"
 TRIMMED = r"\A[\x00-\x20]+|[\x00-\x20]+\z"
 
 REGEX_PREFIX = "regex:"

@@ -294,27 +294,27 @@ def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, s
     return cut
 
 
-def summarize_batches(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Per batch: condition, items, streams, estimated bytes.
+def summarize_batches(df: DataFrame, keys: Sequence[str] = (), order: str | None = None) -> DataFrame:
+    """Per batch: condition, items, streams, estimated bytes; with ``order`` also its first and last.
 
-    Grouping by stream first keeps the distinct count a plain sum and lets both steps share one
-    shuffle on (keys, batch_no).
+    Grouping by stream first keeps the distinct count a plain sum, and rows shrink on the map side.
     """
     batch = [*keys, "batch_no"]
-    streams = (
-        df.repartition(*batch)
-        .groupBy(*batch, "stream_key")
-        .agg(
-            F.first("condition").alias("condition"),
-            F.count("*").alias("_items"),
-            (F.sum(F.col("msg_sz") + F.col("meta_sz")) + F.max("stream_sz")).alias("_bytes"),
-        )
+    df = df.withColumn("_bytes", F.col("msg_sz") + F.col("meta_sz"))
+    ends = [F.min(order).alias("_first"), F.max(order).alias("_last")] if order else []
+    streams = df.groupBy(*batch, "stream_key").agg(
+        F.first("condition").alias("condition"),
+        F.count("*").alias("_items"),
+        (F.sum("_bytes") + F.max("stream_sz")).alias("_bytes"),
+        *ends,
     )
+    ends = [F.min("_first").alias(f"first_{order}"), F.max("_last").alias(f"last_{order}")] if order else []
     return streams.groupBy(*batch).agg(
         F.first("condition").alias("condition"),
         F.sum("_items").alias("items"),
         F.count("*").alias("streams"),
         F.sum("_bytes").alias("est_bytes"),
+        *ends,
     )
 
 

@@ -118,17 +118,18 @@ class JsonLayout:
 
 def format_json(layout: JsonLayout = JsonLayout()) -> Column:
     """Render EVENT rows as JSON objects; disabled and empty fields write nothing."""
-    fragments: list[Column] = []
-
-    def scalar(spec: FieldSpec, c: Column, kind: str = "string") -> None:
-        if spec.enabled:
-            fragments.append(J.field(spec.name, c, kind))
-
-    scalar(layout.timestamp, F.col("ts_ms"), "number")
-    scalar(layout.logger, abbreviate("logger", layout.logger_length))
-    scalar(layout.level, F.col("level"))
-    scalar(layout.thread, F.col("thread"))
-    scalar(layout.message, F.col("message"))
+    scalars = [
+        (spec.name, c)
+        for spec, c in (
+            (layout.timestamp, F.col("ts_ms")),
+            (layout.logger, abbreviate("logger", layout.logger_length)),
+            (layout.level, F.col("level")),
+            (layout.thread, F.col("thread")),
+            (layout.message, F.col("message")),
+        )
+        if spec.enabled
+    ]
+    fragments: list[Column] = [J.scalar_fields(scalars)] if scalars else []
     if layout.stack_trace.enabled:
         trace = F.col("stack_trace") if layout.trace is None else layout.trace
         fragments.append(

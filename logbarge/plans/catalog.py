@@ -59,6 +59,7 @@ COUNT = 250
 ITEMS, BYTES = 35, 1460
 IDLE_MS = 1_800_000
 OVERSIZE = 8192
+ENCODED_LIMIT = 24_400
 # Rows numbered by one task; small because the sample tables are.
 BLOCK = 4096
 
@@ -281,8 +282,7 @@ def batches_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch_table(cut: DataFrame, keys: list[str]) -> DataFrame:
-    ends = cut.groupBy(*keys, "batch_no").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
-    return summarize_batches(cut, keys).join(ends, [*keys, "batch_no"])
+    return summarize_batches(cut, keys, "seq")
 
 
 def batches_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,7 +360,7 @@ def payload_snappy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches that exceed a byte limit once encoded are failed batches."""
-    good, bad = split_encode_errors(encode_json(_counted(spark, sf_dir)), check=F.col("size_bytes") <= 24_800)
+    good, bad = split_encode_errors(encode_json(_counted(spark, sf_dir)), check=F.col("size_bytes") <= ENCODED_LIMIT)
     return error_counts(bad, "encode").unionAll(
         good.agg(F.lit("encode").alias("stage"), F.lit("none").alias("reason"), F.count("*").alias("errors"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalog import BYTES, COUNT, IDLE_MS, ITEMS, OVERSIZE, SIMULATED
+from .catalog import BYTES, COUNT, ENCODED_LIMIT, IDLE_MS, ITEMS, OVERSIZE, SIMULATED
 
 NL = "chr(10)"
 
@@ -347,9 +347,9 @@ SELECT batch_no, condition, items, streams, est_bytes, md5(unhex(payload)) AS pa
 SELECT batch_no, items, CAST(length(payload) // 2 AS INTEGER) AS plain_bytes, md5(unhex(payload)) AS plain_md5,
   true AS smaller FROM messages""",
     "encode_errors": f"""WITH {_json(REC, _counted())}
-SELECT 'encode' AS stage, 'invalid payload' AS reason, count(*) AS errors FROM payloads WHERE strlen(doc) > 24800
+SELECT 'encode' AS stage, 'invalid payload' AS reason, count(*) AS errors FROM payloads WHERE strlen(doc) > {ENCODED_LIMIT}
 HAVING count(*) > 0
-UNION ALL SELECT 'encode', 'none', count(*) FROM payloads WHERE strlen(doc) <= 24800""",
+UNION ALL SELECT 'encode', 'none', count(*) FROM payloads WHERE strlen(doc) <= {ENCODED_LIMIT}""",
     "label_selector": r"""SELECT doc_id, '{lang="' || lang || '",quote="'
   || replace('"' || split_part(text, '.', 1) || '"\', '"', '\"') || '"}' AS selector FROM documents""",
     "payload_records": f"""WITH {REC}, {_counted()}

@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.json import json_quote
 from ..operators.projection import project_records
 from ..settings import configure
-from ..sources import EventMapping, read_events
+from ..sources import EventMapping
+from ..sources.events import spread
 
 SHOP_LABELS = "app=shop\nlevel=%level"
 SHOP_METADATA = "thread=%thread\n*=%%kvp"
 SHOP_LINE = "[%thread] %logger{20} - %msg%n"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
+    """A sample table; with ``key`` spread over the cores when its file has fewer splits than those."""
+    df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return df if key is None else spread(df, key)
 
 
 def cents(value: str) -> Column:
@@ -47,7 +50,7 @@ def shop_mapping(**more: Column | str) -> EventMapping:
 
 
 def shop_events(spark: SparkSession, sf_dir: str, **more: Column | str) -> DataFrame:
-    return read_events(spark, f"{sf_dir}/events.parquet", mapping=shop_mapping(**more))
+    return shop_mapping(**more).select(table(spark, sf_dir, "events", "event_id"))
 
 
 def shop_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +80,7 @@ def typed_pairs() -> Column:
 
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as log records: long lines in several languages."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     return docs.select(
         F.col("doc_id").alias("seq"),
         F.lit(0).cast("bigint").alias("ts_ms"),
