@@ -266,6 +266,9 @@ def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, s
 
     def cut(key, table):
         table, run, own = _run(table, chunk_rows, limits)
+        order = table["_seq"].to_numpy()
+        if (order[1:] == order[:-1]).any():
+            raise ValueError(f"order is not unique in shard {[k.as_py() for k in key[:n_keys]]}")
         # a chunk without an entry is the first of its shard
         state, number = table["_state"][0].as_py() or 0, table["_before"][0].as_py() or 0
         start, by_items = divmod(state, limits.clocks)

@@ -13,12 +13,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..settings import BLOCK_ROWS
 
 
+def required(name: str) -> Column:
+    """The column, failing on null: a null key or order would silently lose its rows in a join."""
+    return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} must not be null"))).alias(name)
+
+
+def block_width(df: DataFrame, order: str = "seq", rows: int = BLOCK_ROWS) -> int:
+    """A block width for a sparse order column, such as a time in nanoseconds.
+
+    Runs one small aggregate. The width spans ``rows`` rows at the average density, so the number of
+    blocks stays ``rows`` times below the number of rows.
+    """
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    return rows if not n else max(rows, (high - low + 1) * rows // n)
+
+
 def with_position(
     df: DataFrame,
     order: str = "seq",
@@ -27,11 +42,11 @@ def with_position(
 ) -> DataFrame:
     """Add ``pos`` (0-based position in the shard) and ``shard_rows`` (rows of the shard).
 
-    Keys must not be null. A sparse order column (say, nanoseconds) wants a larger ``block_rows``:
-    it is the width of a block in units of the order column.
+    Keys and order must not be null. ``block_rows`` is the width of a block in units of the order
+    column; a sparse one wants more (see ``block_width``).
     """
     keys = list(keys)
-    rows = df.withColumn("_block", F.expr(f"`{order}` div {int(block_rows)}"))
+    rows = df.withColumns({c: required(c) for c in (*keys, order)}).withColumn("_block", F.expr(f"`{order}` div {int(block_rows)}"))
     counts = rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
     shard = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = shard.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

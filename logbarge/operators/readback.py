@@ -28,7 +28,8 @@ def select_stream(
         # a label that is missing equals the empty value
         df = df.filter(F.coalesce(F.try_element_at("labels", F.lit(name)), F.lit("")) == value)
     if end_ns is not None:
-        df = df.filter(ns < end_ns)
+        # the first test is implied by the second, and reaches the file scan
+        df = df.filter((F.col("ts_ms") <= end_ns // 1_000_000) & (ns < end_ns))
     if direction not in ("forward", "backward"):
         raise ValueError(f"unknown direction: {direction}")
     by = [ns.asc(), F.col(order).asc()] if direction == "forward" else [ns.desc(), F.col(order).desc()]

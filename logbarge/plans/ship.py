@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 
 from ..operators.batching import cut_batches, cut_by_count
 from ..operators.encoding import compress_snappy, encode_json, encode_proto, encode_text
+from ..operators.grouping import prepared
 from ..operators.projection import check_static, project_records, static_labels
 from ..operators.sizing import split_oversize
 from ..settings import BLOCK_ROWS, DEFAULT_MESSAGE, DEFAULT_METADATA, MAX_BYTES, MAX_ITEMS, shared_folder
@@ -46,7 +47,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 
 def shape(events: DataFrame, options: ShipOptions) -> DataFrame:
-    """Events to sized records."""
+    """Events to records with their sizes and stream keys.
+
+    A table of these lets the batching passes read a few narrow columns instead of rendering records.
+    """
     if options.static_labels:
         check_static(options.labels, options.read_markers)
     records = project_records(
@@ -54,7 +58,7 @@ def shape(events: DataFrame, options: ShipOptions) -> DataFrame:
     )
     if options.static_labels:
         records = static_labels(records, keys=options.shard)
-    return records
+    return prepared(records)
 
 
 def batch(records: DataFrame, options: ShipOptions) -> tuple[DataFrame, DataFrame]:

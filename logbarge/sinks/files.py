@@ -12,7 +12,10 @@ def write_payloads(
 ) -> None:
     """Write payloads as files, partitioned by tenant or other low-cardinality columns.
 
-    The text format takes a single column, so it fits ``encode_text(..).select("payload_text")``.
+    Rows are rebalanced by the partition columns first: small tenants do not end up in one file per
+    task, and a tenant with much of the data is split over several tasks. The text format takes a single column, so it fits ``encode_text(..).select("payload_text")``.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logbarge.operators.batching import cut_batches, cut_by_count, summarize_batches
 from logbarge.operators.cutting import Limits, Run, batches, compose, transfer
-from logbarge.operators.position import with_position
+from logbarge.operators.position import block_width, with_position
 from logbarge.operators.projection import project_records
 from logbarge.operators.sizing import split_oversize, with_size
 
@@ -176,3 +176,20 @@ def test_first_record_is_always_taken(spark):
 def test_empty_input(spark):
     assert sized(spark, "a").filter("seq > 5").count() == 0
     assert cut_batches(records(spark, {}).filter("seq > 5")).count() == 0
+
+
+def test_unusable_order_is_refused(spark):
+    rows = spark_rows(spark, random_rows(random.Random(1), 20, True))
+    with pytest.raises(Exception, match="not unique"):
+        cut_batches(rows.withColumn("seq", F.col("seq") % 10), ["shard"]).collect()
+    with pytest.raises(Exception, match="must not be null"):
+        cut_batches(rows.withColumn("shard", F.when(F.col("seq") > 3, F.col("shard"))), ["shard"]).collect()
+    with pytest.raises(Exception, match="must not be null"):
+        cut_by_count(rows.withColumn("seq", F.when(F.col("seq") > 3, F.col("seq")))).collect()
+
+
+def test_block_width(spark):
+    df = spark.range(1000).select((F.col("id") * 1_000_000).alias("seq"))
+    assert 9_900_000 < block_width(df, "seq", 10) <= 10_000_000
+    assert block_width(spark.range(1000).withColumnRenamed("id", "seq"), "seq", 10) == 10
+    assert block_width(df.filter("seq < 0"), "seq", 10) == 10
