@@ -47,9 +47,12 @@ def json_value(v: Column | str) -> Column:
     return _typed(F.to_json(v), v, ARRAY_DEPTH)
 
 
-def value_text(v: Column, depth: int = ARRAY_DEPTH) -> Column:
-    """Plain text of a VARIANT: scalars as they print, lists as ``[a, b]``, objects as JSON."""
-    text = v.cast("string")
+def value_text(v: Column, depth: int = ARRAY_DEPTH, text: Column | None = None) -> Column:
+    """Plain text of a VARIANT: scalars as they print, lists as ``[a, b]``, objects as JSON.
+
+    ``text`` is ``v`` cast to string, when the caller has it already.
+    """
+    text = v.cast("string") if text is None else text
     if depth == 0:
         return text
     items = F.transform(

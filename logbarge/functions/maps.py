@@ -58,21 +58,21 @@ def bulk_kvp(
     """The same over a list of (key, variant) pairs; a repeated key keeps its last value."""
     pairs = F.transform(
         F.coalesce(_col(kvp), F.array().cast("array<struct<key:string,value:variant>>")),
-        lambda e: F.struct(e["key"].alias("key"), value_text(e["value"]).alias("value")),
+        lambda e: F.struct(
+            e["key"].alias("key"), e["value"].alias("value"), e["value"].cast("string").alias("text")
+        ),
     )
 
     def keep(e: Column) -> Column:
-        present = e["key"].isNotNull() & e["value"].isNotNull()
+        present = e["key"].isNotNull() & e["text"].isNotNull()
         test = allowed(e["key"], include, exclude)
         return present if test is None else present & test
 
-    kept = F.filter(pairs, keep)
-    if prefix:
-        kept = F.transform(
-            kept,
-            lambda e: F.struct(F.concat(F.lit(prefix), e["key"]).alias("key"), e["value"].alias("value")),
-        )
-    return F.map_from_entries(kept)
+    def named(e: Column) -> Column:
+        key = F.concat(F.lit(prefix), e["key"]) if prefix else e["key"]
+        return F.struct(key.alias("key"), value_text(e["value"], text=e["text"]).alias("value"))
+
+    return F.map_from_entries(F.transform(F.filter(pairs, keep), named))
 
 
 def marker_map(kind: str, markers: Column | str = "markers") -> Column:

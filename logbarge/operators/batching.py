@@ -107,15 +107,14 @@ def assign_batches(
         *([F.col("ts_ms").alias("_ts")] if limits.timeout_ms is not None else []),
     )
     placed = with_position(narrow, "_seq", shard, block_rows)
-    dealt = _deal(placed, chunk_rows, limits)
+    dealt = _deal(placed, chunk_rows, limits).repartition(*shard, "_chunk")
     key_fields = [f for f in dealt.schema.fields if f.name in shard]
 
-    several = F.col("shard_rows") > chunk_rows
-    last = F.expr(f"(shard_rows - 1) div {chunk_rows}")
-    tables = _tables(
-        _deal(placed.filter(several), chunk_rows, limits).filter(F.col("_chunk") < last),
-        shard, key_fields, chunk_rows, group_chunks, limits,
-    )
+    # The last chunk of a shard, often the only one, hands nothing on. The always-zero random term
+    # keeps this filter above the shuffle, so that both passes read the same shuffled rows.
+    zero = F.floor(F.rand(0)).cast("bigint")
+    handing_on = F.col("_chunk") + zero < F.expr(f"(shard_rows - 1) div {chunk_rows}")
+    tables = _tables(dealt.filter(handing_on), shard, key_fields, chunk_rows, group_chunks, limits)
     entries = _entries(tables, shard, key_fields)
 
     out_schema = T.StructType(
@@ -153,7 +152,10 @@ def _deal(placed: DataFrame, chunk_rows: int, limits: Limits) -> DataFrame:
 
 def _run(table: pa.Table, chunk_rows: int, limits: Limits):
     """The rows of a chunk in order: (sorted table, Run, rows owned)."""
-    table = table.take(pa.array(np.argsort(table["pos"].to_numpy())))
+    table = table.combine_chunks()
+    pos = table["pos"].to_numpy()
+    if (pos[1:] < pos[:-1]).any():
+        table = table.take(pa.array(np.argsort(pos)))
     first = table["_chunk"][0].as_py() * chunk_rows
     ts = ts_before = None
     before = int(table["pos"][0].as_py() < first)
@@ -286,11 +288,12 @@ def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, s
             sizes.append(end - begin)
             number, at = number + 1, end
         rows = at - start if numbers else 0
-        columns = [pa.array([k.as_py()] * rows, k.type) for k in key[:n_keys]]
+        batch_of = pa.array(np.repeat(np.arange(len(sizes)), np.array(sizes, dtype=np.int64)))
+        columns = [pa.repeat(k, rows) for k in key[:n_keys]]
         columns += [
             table["_seq"].slice(start, rows),
-            pa.array(np.repeat(np.array(numbers, dtype=np.int64), sizes) if rows else [], pa.int64()),
-            pa.array(np.repeat(np.array(whys, dtype=object), sizes) if rows else [], pa.string()),
+            pa.array(numbers, pa.int64()).take(batch_of),
+            pa.array(whys, pa.string()).take(batch_of),
         ]
         return pa.table(columns, names=schema.names)
 

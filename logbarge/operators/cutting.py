@@ -128,8 +128,13 @@ def first_late(run: Run, clocks: np.ndarray, limit: np.ndarray, timeout_ms: int)
     starts = np.arange(len(clocks))
     due = clocks + timeout_ms
     late = np.searchsorted(np.maximum.accumulate(run.ts), due, side="right")
-    # where an earlier row was later still, times are out of order: look at the rows themselves
-    for p in np.flatnonzero(late <= starts):
+    # where that row is not behind the start, mostly the very next one is late as well
+    early = np.flatnonzero(late <= starts)
+    after = np.minimum(early + 1, len(run) - 1)
+    at_once = (after > early) & (run.ts[after] > due[early])
+    late[early[at_once]] = after[at_once]
+    # and otherwise times are out of order: look at the rows themselves
+    for p in early[~at_once]:
         hits = np.flatnonzero(run.ts[p + 1:limit[p]] > due[p])
         late[p] = p + 1 + hits[0] if len(hits) else limit[p]
     return np.minimum(late, limit)

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..settings import MAX_BACKOFF_MS, MAX_JITTER_MS, MAX_RETRIES, MIN_BACKOFF_MS
 
-# Failures worth another try.
+# Failures worth another try, of JVM senders and of Python transports.
 RETRY_EXCEPTIONS = (
     "ConnectException",
     "HttpHostConnectException",
     "HttpTimeoutException",
     "HttpConnectTimeoutException",
+    "ConnectionRefusedError",
+    "TimeoutError",
 )
 UNAVAILABLE = 503
 RATE_LIMITED = 429

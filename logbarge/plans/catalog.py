@@ -494,7 +494,7 @@ def simulated_transport(body: bytes, headers: dict) -> tuple[int, str]:
     batch, attempt = int(headers["Idempotency-Key"].rsplit("/", 1)[-1]), int(headers["Retry-Attempt"])
     status = SIMULATED[(batch * 7 + attempt * 3) % len(SIMULATED)]
     if status < 0:
-        raise ConnectionError("refused")
+        raise ConnectionRefusedError("refused")
     return status, ""
 
 

@@ -400,8 +400,8 @@ SELECT * FROM n WHERE count = 1 OR (count <= 90 AND count % 20 = 0) OR (count <=
     (SELECT unnest([0, 1, 2]) AS a)),
 attempts AS (
   SELECT b AS batch_no, a AS attempt, CASE WHEN code >= 0 THEN code END AS status,
-    CASE WHEN code < 0 THEN 'ConnectionError' END AS exception FROM sends),
-{_judged(exceptions="'ConnectionError'")}
+    CASE WHEN code < 0 THEN 'ConnectionRefusedError' END AS exception FROM sends),
+{_judged(exceptions="'ConnectionRefusedError'")}
 SELECT batch_no, attempt, status, exception, 0::BIGINT AS delay_ms FROM judged WHERE made""",
 }
 ORACLES["stream_batches"] = ORACLES["batches_no_drain"]

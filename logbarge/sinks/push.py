@@ -51,7 +51,8 @@ class PushOptions:
     max_ms: int = MAX_BACKOFF_MS
     jitter_ms: int = MAX_JITTER_MS
     drop_rate_limited: bool = False
-    retry_on: tuple[type[Exception], ...] = (ConnectionError, TimeoutError)
+    # only failures to connect or in time: after others the store may have taken the batch
+    retry_on: tuple[type[Exception], ...] = (ConnectionRefusedError, TimeoutError)
 
     def headers(self, row: dict) -> dict[str, str]:
         binary = isinstance(row[self.payload], (bytes, bytearray))

@@ -13,9 +13,10 @@ def read_payloads(df: DataFrame, col: str = "payload_json") -> DataFrame:
 
     ``entry_no`` is the position of the entry inside its stream. An entry is a list of two or three
     elements; the third is a JSON object, which the list type keeps as text for a second parse.
+    A document that is not JSON fails the query, so that its entries are not lost unseen.
     """
     others = [F.col(c) for c in df.columns if c != col]
-    streams = df.select(*others, F.explode(F.from_json(col, PUSH)["streams"]).alias("_s"))
+    streams = df.select(*others, F.explode(F.from_json(col, PUSH, {"mode": "FAILFAST"})["streams"]).alias("_s"))
     names = [c for c in df.columns if c != col]
     entries = streams.select(
         *names,

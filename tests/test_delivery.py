@@ -138,7 +138,7 @@ def test_push_attempts(spark, tmp_path):
     write_push(payloads(spark), recording(str(seen)), options, out)
     got = spark.read.parquet(out)
     assert sorted(values(got, "batch_no", "attempt", "status", "exception"), key=str) == sorted(WANT, key=str)
-    judged = delivery_outcomes(classify_attempts(got, ["shard"], retry_exceptions=["ConnectionRefusedError"]), ["shard"])
+    judged = delivery_outcomes(classify_attempts(got, ["shard"]), ["shard"])
     assert sorted(values(judged.filter("state = 'delivered'"), "batch_no")) == [0, 3, 5]
     body, headers = eval((seen / "0-0").read_text())
     assert body == b"body0" and dict(headers) == {
@@ -158,6 +158,14 @@ def test_push_sink(spark, tmp_path):
         payloads(spark).filter("batch_no = 4").write.format("strict_push").mode("append").save()
 
 
+@pytest.mark.parametrize("error, tries", [(TimeoutError, 3), (ConnectionResetError, 1)])
+def test_retry_on(spark, error, tries):
+    def fails(body, headers):
+        raise error("x")
+
+    assert push_attempts(payloads(spark, 1), fails, NO_WAIT).count() == tries
+
+
 def test_binary_content_type():
     options = PushOptions(payload="payload_bin")
     assert options.headers({"payload_bin": b"x", "batch_no": 1})["Content-Type"] == "application/x-protobuf"

@@ -1,6 +1,7 @@
 import json
 
 import pyarrow as pa
+import pytest
 from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
 from helpers import LINE, events, records, three_events, values
 from pyspark.sql import functions as F
@@ -159,6 +160,12 @@ def test_roundtrip(spark):
     assert sorted(values(lost, "sent", "stored", "missing", "extra")) == [(1, 1, 0, 0), (1, 2, 0, 1), (3, 2, 1, 0)]
 
 
+def test_broken_payload_fails(spark):
+    df = spark.createDataFrame([('{"streams":[{"stream":{}',)], "payload_json string")
+    with pytest.raises(Exception):
+        read_payloads(df).collect()
+
+
 def test_encode_errors(spark):
     df = spark.createDataFrame([(0, "{}"), (1, None), (2, "x")], "batch_no bigint, payload_json string")
     good, bad = split_encode_errors(df, check=F.try_parse_json("payload_json").isNotNull())
