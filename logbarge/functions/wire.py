@@ -1,69 +1,56 @@
-"""Binary wire columns of the push message.
+"""Binary wire format of the push message, as SQL expression text.
 
 Message layout (fixed values): request { 1: stream* }, stream { 1: labels, 2: entry* },
 entry { 1: time { 1: seconds, 2: nanos }, 2: line, 3: pair { 1: name, 2: value }* }.
 
-A length prefix needs its body twice. So that nested messages do not multiply the expression tree,
-every builder here expects plain columns (or lambda variables) as bodies, and the encoder computes
-them level by level.
+Arguments are column names (or lambda variables), not nested expressions: a length prefix needs its
+body twice, so the encoder names each level before it builds the next. Text keeps these long
+expressions to one call each; ``F.expr`` makes a Column of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+EMPTY = "X''"
 
-from .text import _col
 
+def _tag(number: int, wire_type: int) -> str:
+    return f"X'{number << 3 | wire_type:02X}'"
 
-def _tag(number: int, wire_type: int) -> bytes:
-    return bytes([number << 3 | wire_type])
 
-
-def varint(n: Column | str, width: int = 4) -> Column:
+def varint(n: str, width: int = 4) -> str:
     """Base-128 bytes of an integer from 0 to below ``2 ** (7 * width)``, width at most 8."""
-    n = _col(n).cast("bigint")
+    n = f"cast({n} as bigint)"
 
-    def packed(size: int) -> Column:
+    def packed(size: int) -> str:
         if size == 1:
-            return F.unhex(F.lpad(F.hex(n), 2, "0"))
-        total = None
+            return f"unhex(lpad(hex({n}), 2, '0'))"
+        groups = []
         for i in range(size):
-            group = F.shiftright(n, 7 * i).bitwiseAND(F.lit(127))
-            if i < size - 1:
-                group = group.bitwiseOR(F.lit(128))
-            group = F.shiftleft(group, 8 * (size - 1 - i))
-            total = group if total is None else total.bitwiseOR(group)
+            more = " | 128" if i < size - 1 else ""
+            groups.append(f"shiftleft(shiftright({n}, {7 * i}) & 127{more}, {8 * (size - 1 - i)})")
         # the first byte is never below 128, so the hex text has all its digits
-        return F.unhex(F.hex(total))
+        return f"unhex(hex({' | '.join(groups)}))"
 
-    out = F.when(n < 128, packed(1))
-    for size in range(2, width + 1):
-        out = out.when(n < (1 << 7 * size), packed(size))
-    return out
+    cases = " ".join(f"when {n} < {1 << 7 * size} then {packed(size)}" for size in range(1, width + 1))
+    return f"case {cases} end"
 
 
-def bytes_field(number: int, body: Column, width: int = 4) -> Column:
+def bytes_field(number: int, body: str, width: int = 4) -> str:
     """A length-delimited field that is always written."""
-    return F.concat(F.lit(_tag(number, 2)), varint(F.octet_length(body), width), body)
+    return f"concat({_tag(number, 2)}, {varint(f'octet_length({body})', width)}, {body})"
 
 
-def text_field(number: int, c: Column) -> Column:
+def text_field(number: int, body: str) -> str:
     """A string field given as binary; an empty string is the default and writes nothing."""
-    return F.when(F.octet_length(c) == 0, F.lit(b"")).otherwise(bytes_field(number, c))
+    return f"case when octet_length({body}) = 0 then {EMPTY} else {bytes_field(number, body)} end"
 
 
-def int_field(number: int, n: Column | str, width: int = 5) -> Column:
-    n = _col(n)
-    return F.when(n == 0, F.lit(b"")).otherwise(F.concat(F.lit(_tag(number, 0)), varint(n, width)))
+def int_field(number: int, n: str, width: int = 5) -> str:
+    return f"case when {n} = 0 then {EMPTY} else concat({_tag(number, 0)}, {varint(n, width)}) end"
 
 
-def pair_fields(number: int, m: Column | str) -> Column:
+def pair_fields(number: int, m: str) -> str:
     """One name-value message per map entry, joined."""
-    binary = F.transform(
-        F.map_entries(_col(m)),
-        lambda e: F.concat(
-            text_field(1, F.encode(e["key"], "UTF-8")), text_field(2, F.encode(e["value"], "UTF-8"))
-        ),
-    )
-    return F.aggregate(binary, F.lit(b""), lambda acc, pair: F.concat(acc, bytes_field(number, pair)))
+    coded = f"transform(map_entries({m}), e -> struct(encode(e.key, 'UTF-8') as k, encode(e.value, 'UTF-8') as v))"
+    pairs = f"transform({coded}, e -> concat({text_field(1, 'e.k')}, {text_field(2, 'e.v')}))"
+    return f"aggregate({pairs}, {EMPTY}, (acc, pair) -> concat(acc, {bytes_field(number, 'pair')}))"

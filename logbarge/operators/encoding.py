@@ -55,17 +55,14 @@ def encode_proto(
         df.withColumns(
             {
                 "_seconds": F.expr("ts_ms div 1000"),
-                "_nanos": F.col("ts_ms") % 1000 * 1_000_000 + F.col("nanos_in_ms"),
+                "_nanos": F.expr("ts_ms % 1000 * 1000000 + nanos_in_ms"),
                 "_line": F.encode("line", "UTF-8"),
-                "_pairs": pair_fields(3, "metadata"),
+                "_pairs": F.expr(pair_fields(3, "metadata")),
             }
         )
-        .withColumn("_time", F.concat(int_field(1, "_seconds"), int_field(2, "_nanos")))
-        .withColumn(
-            "_body",
-            F.concat(bytes_field(1, F.col("_time"), 1), text_field(2, F.col("_line")), F.col("_pairs")),
-        )
-        .withColumn("_entry", bytes_field(2, F.col("_body")))
+        .withColumn("_time", F.expr(f"concat({int_field(1, '_seconds')}, {int_field(2, '_nanos')})"))
+        .withColumn("_body", F.expr(f"concat({bytes_field(1, '_time', 1)}, {text_field(2, '_line')}, _pairs)"))
+        .withColumn("_entry", F.expr(bytes_field(2, "_body")))
         .drop("_seconds", "_nanos", "_line", "_pairs", "_time", "_body")
     )
     streams = (
@@ -75,8 +72,8 @@ def encode_proto(
             keys, order, static,
         )
         .withColumn("_labels", F.encode(selector("labels"), "UTF-8"))
-        .withColumn("_body", F.concat(text_field(1, F.col("_labels")), F.col("_entries")))
-        .withColumn("_stream", bytes_field(1, F.col("_body"), 5))
+        .withColumn("_body", F.expr(f"concat({text_field(1, '_labels')}, _entries)"))
+        .withColumn("_stream", F.expr(bytes_field(1, "_body", 5)))
     )
     payload = F.expr("listagg(_stream, X'') within group (order by stream_key)")
     out = _per_batch(streams, keys, payload, "payload_bin")

@@ -35,7 +35,7 @@ def evaluated_once(df: DataFrame) -> DataFrame:
     Sizes and the oversize filter use labels, metadata and line several times. Without this step the
     filter is pushed below the projection that renders them, and every use renders them again.
     """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
+    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
 
 
 def with_size(df: DataFrame) -> DataFrame:
