@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ from ..operators.readback import drop_labels, reconcile, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
 from ..sinks import PushOptions, push_attempts, write_payloads
-from ..sources import read_payloads, stream_events
+from ..sources import EventMapping, read_events, read_payloads, stream_events
 from ..sources.events import wire_time
 from ..streaming import cut_batches_stream, stage_times
 from . import tables as X
@@ -78,6 +79,23 @@ def shape_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_maps(rec).select(F.col("seq").alias("event_id"), wire_time().alias("ts_ns"), "labels", "line", "metadata")
 
 
+def event_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events written in four file formats and read back through one mapping."""
+    source = X.table(spark, sf_dir, "events").select(
+        "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), "event_type"
+    )
+    mapping = EventMapping("event_id", F.timestamp_micros("us"), {"level": "event_type"})
+    parts = []
+    for fmt in ("parquet", "orc", "json", "csv"):
+        path = _fresh(spark, f"events-{fmt}")
+        source.write.format(fmt).save(path)
+        events = read_events(spark, path, fmt, mapping, source.schema)
+        parts.append(events.groupBy(F.lit(fmt).alias("format"), "level").agg(
+            F.count("*").alias("events"), F.sum("ts_ms").alias("ts_ms"), F.sum("nanos_in_ms").alias("nanos")
+        ))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def default_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = X.shop_events(spark, sf_dir, mdc=F.create_map(F.lit("user"), F.col("user_id").cast("string")))
     rec = project_records(ev, "app=shop\nhost=h1\nagent=a")
@@ -538,7 +556,7 @@ def stream_stage_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        shape_records, default_rules, bulk_kvp, bulk_include_exclude, marker_labels, static_labels_shard,
+        event_formats, shape_records, default_rules, bulk_kvp, bulk_include_exclude, marker_labels, static_labels_shard,
         static_labels_all, logger_short, url_params, bad_records, attribute_pairs, blank_lines,
         text_layouts, json_layout, json_layout_custom, json_typed, quoted_text,
         record_sizes, oversize, dropped_events,

@@ -221,6 +221,9 @@ _PAYLOAD_COLUMNS = (
 )
 
 ORACLES: dict[str, str] = {
+    "event_formats": f"""WITH {EV}
+SELECT format, level, count(*) AS events, CAST(sum(ts_ms) AS BIGINT) AS ts_ms, CAST(sum(nanos) AS BIGINT) AS nanos
+FROM ev, (SELECT unnest(['parquet', 'orc', 'json', 'csv']) AS format) GROUP BY ALL""",
     "shape_records": f"WITH {REC} SELECT seq AS event_id, ts_ns, labels, line, metadata FROM rec",
     "default_rules": f"""WITH {REC}
 SELECT seq AS event_id, '{{"app":"shop","host":"h1","agent":"a"}}' AS labels, line,
