@@ -80,7 +80,7 @@ def cut_batches(
         records = records.withColumn("stream_key", stream_key("labels"))
     assigned = assign_batches(
         records, keys, order, Limits(max_items, max_bytes, timeout_ms), drain_on_stop,
-        chunk_rows, group_chunks, block_rows,
+        chunk_rows, group_chunks, block_rows, df,
     )
     return records.join(assigned, [*keys, order])
 
@@ -94,8 +94,12 @@ def assign_batches(
     chunk_rows: int = BLOCK_ROWS,
     group_chunks: int = GROUP_CHUNKS,
     block_rows: int = BLOCK_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """The narrow half of ``cut_batches``: (keys, order, batch_no, condition)."""
+    """The narrow half of ``cut_batches``: (keys, order, batch_no, condition).
+
+    ``counted`` may give the same rows before their sizes are computed (see ``with_position``).
+    """
     chunk_rows = max(chunk_rows, limits.max_items)
     shard = list(keys) or ["_all"]
     narrow = records.select(
@@ -106,7 +110,9 @@ def assign_batches(
         F.col("stream_key").alias("_stream"),
         *([F.col("ts_ms").alias("_ts")] if limits.timeout_ms is not None else []),
     )
-    placed = with_position(narrow, "_seq", shard, block_rows)
+    if counted is not None:
+        counted = counted.select(*(keys or [F.lit(0).alias("_all")]), F.col(order).cast("bigint").alias("_seq"))
+    placed = with_position(narrow, "_seq", shard, block_rows, counted)
     dealt = _deal(placed, chunk_rows, limits).repartition(*shard, "_chunk")
     key_fields = [f for f in dealt.schema.fields if f.name in shard]
 

@@ -39,15 +39,22 @@ def with_position(
     order: str = "seq",
     keys: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``pos`` (0-based position in the shard) and ``shard_rows`` (rows of the shard).
 
     Keys and order must not be null. ``block_rows`` is the width of a block in units of the order
-    column; a sparse one wants more (see ``block_width``).
+    column; a sparse one wants more (see ``block_width``). ``counted`` may give the same rows by a
+    cheaper plan, of which only keys and order are read for the block counts.
     """
     keys = list(keys)
-    rows = df.withColumns({c: required(c) for c in (*keys, order)}).withColumn("_block", F.expr(f"`{order}` div {int(block_rows)}"))
-    counts = rows.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
+
+    def in_blocks(rows: DataFrame) -> DataFrame:
+        checked = rows.withColumns({c: required(c) for c in (*keys, order)})
+        return checked.withColumn("_block", F.expr(f"`{order}` div {int(block_rows)}"))
+
+    rows = in_blocks(df)
+    counts = (rows if counted is None else in_blocks(counted.select(*keys, order))).groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
     shard = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     earlier = shard.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
