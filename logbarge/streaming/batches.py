@@ -105,7 +105,8 @@ def cut_batches_stream(
 
     A stream is batched per shard, one after the other. ``lanes`` splits every shard into that many
     independent sequences by a hash of the order column, so that a hot shard is not bound to one
-    task; a ``lane`` column joins the keys. Needs the RocksDB state store.
+    task; a ``lane`` column joins the keys. A task holds the rows of one key and trigger at a time, so
+    the source's rate limit bounds its memory. Needs the RocksDB state store.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
