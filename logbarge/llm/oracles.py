@@ -104,8 +104,25 @@ def url_reputation() -> str:
     from ruled join judged using (host)"""
 
 
+def dual_tree_top_k() -> str:
+    return """
+    with whole as (
+        select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as v
+        from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+        select q.uid, q.vec_id as query_id, d.vec_id,
+            coalesce(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])), 0)::bigint as score
+        from whole q join whole d on q.uid <> d.uid and len(q.v) = len(d.v)
+        where q.vec_id % 50 = 0)
+    select query_id, rank::int as rank, vec_id, score
+    from (select *, row_number() over (partition by uid order by score desc, vec_id nulls last) as rank from scored)
+    where rank <= 5"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_reputation": url_reputation(),
     "op5_license_digests": license_digests(),
+    "op6_dual_tree_top_k": dual_tree_top_k(),
     "op10_poisson_mix": poisson_mix(),
 }

@@ -7,15 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .dual_tree import top_k
 from .license_scan import scan_licenses
 from .mixing import mix_sources
 from .secret_scan import scan_secrets
+from .slack_packing import pack_tokens
+from .token_matrix import pack_matrix
 from .url_reputation import judge_urls
 
 #: Target weights of the sample sources: the hot first one down, the last ones up.
 WEIGHTS = {f"src{k}": w for k, w in enumerate([4.0] + [1.0] * 14 + [2.0] * 5)}
 
 
+def slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -25,6 +32,14 @@ def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+def token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_matrix(table(spark, sf_dir, "documents"))
+
+
 def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -34,8 +49,11 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_slack_packing": slack_packing,
     "op2_url_reputation": url_reputation,
     "op4_secret_scan": secret_scan,
     "op5_license_digests": license_digests,
+    "op6_dual_tree_top_k": dual_tree_top_k,
+    "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
 }
