@@ -10,6 +10,7 @@ from .common import table
 from .dual_tree import top_k
 from .license_scan import scan_licenses
 from .mixing import mix_sources
+from .prob_minhash import near_duplicates
 from .secret_scan import scan_secrets
 from .slack_packing import pack_tokens
 from .token_matrix import pack_matrix
@@ -36,6 +37,10 @@ def dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size", "kept")
+
+
 def token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_matrix(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": secret_scan,
     "op5_license_digests": license_digests,
     "op6_dual_tree_top_k": dual_tree_top_k,
+    "op7_prob_minhash": prob_minhash,
     "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
 }
