@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .dual_tree import top_k
+from .kneser_ney import quality_scores
 from .license_scan import scan_licenses
 from .mixing import mix_sources
 from .prob_minhash import near_duplicates
@@ -41,6 +42,10 @@ def prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "group_id", "group_size", "kept")
 
 
+def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_matrix(table(spark, sf_dir, "documents"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_digests": license_digests,
     "op6_dual_tree_top_k": dual_tree_top_k,
     "op7_prob_minhash": prob_minhash,
+    "op8_kneser_ney_quality": kneser_ney_quality,
     "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
 }
