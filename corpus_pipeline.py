@@ -11,9 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logbarge.llm.common import table, written
+from logbarge.llm.kneser_ney import good_documents
 from logbarge.llm.mixing import mix_sources
+from logbarge.llm.prob_minhash import deduplicated
 from logbarge.llm.queries import WEIGHTS
 from logbarge.llm.secret_scan import redact_secrets
+from logbarge.llm.slack_packing import pack_tokens
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language model of their language does not reject."""
+    return good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return deduplicated(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +39,17 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix_sources(docs, WEIGHTS, other=1.0).select(*docs.columns)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 ids, with their ids."""
+    return pack_tokens(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("secret scan", without_secrets),
-    ("mixing", mixed),
+    ("quality classifier", good),
+    ("MinHash near-dedup", without_copies),
+    ("secret scans", without_secrets),
+    ("mixing sources to target weights", mixed),
+    ("packing", packed),
 ]
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .binary_codes import near_vectors
 from .common import table
 from .dual_tree import top_k
 from .kneser_ney import quality_scores
@@ -30,6 +31,10 @@ def url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slack_packing": slack_packing,
     "op2_url_reputation": url_reputation,
+    "op3_binary_codes": binary_codes,
     "op4_secret_scan": secret_scan,
     "op5_license_digests": license_digests,
     "op6_dual_tree_top_k": dual_tree_top_k,
