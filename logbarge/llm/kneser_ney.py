@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import small, written
 
 #: Characters per gram and bits per character; code points beyond the bits share codes.
 ORDER, BITS = 4, 15
@@ -82,11 +82,6 @@ def trust(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(F.min(good).alias("trusted"))
 
 
-def small(df: DataFrame, row_bytes: int, limit: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit the limit; else Spark shuffles it."""
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
-
-
 def count_grams(rows: DataFrame) -> DataFrame:
     """(lang, gram, n): how often training text has each gram of ``rows`` (lang, text, part); 0 if only others have it."""
 

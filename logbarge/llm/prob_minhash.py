@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import small, written
 from .components import connected_components
 
 WORDS, BANDS, ROWS = 5, 20, 5
@@ -205,9 +205,16 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def exact_links(pairs: DataFrame, sketched: DataFrame, threshold: float) -> DataFrame:
+def chosen(rows: DataFrame, uids: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The ``rows`` with one of the uids; few enough uids go to the rows instead of the rows to them."""
+    return rows.join(small(written(uids.distinct(), "chosen"), 16, broadcast_bytes), "uid", "left_semi")
+
+
+def exact_links(pairs: DataFrame, sketched: DataFrame, threshold: float, broadcast_bytes: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose probability Jaccard reaches the threshold."""
-    side = lambda n: sketched.select(F.col("uid").alias(n), F.struct("shingles", "many").alias(f"s{n}"))
+    both = pairs.select(F.col("a").alias("uid")).union(pairs.select(F.col("b").alias("uid")))
+    picked = written(chosen(sketched.select("uid", "shingles", "many"), both, broadcast_bytes), "candidates")
+    side = lambda n: picked.select(F.col("uid").alias(n), F.struct("shingles", "many").alias(f"s{n}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,11 +278,14 @@ KEYS = ["band", "key", "i", "j"]
 
 
 def near_duplicates(
-    docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text",
+    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """One row per document: doc_id, group_id (least id of its group), group_size, kept, row_key.
 
-    ``row_key`` is a hash of id and text, for joining the rows back to the documents.
+    ``row_key`` is a hash of id and text, for joining the rows back to the documents. Bucket heads and
+    ids of candidates are counted and broadcast if they take at most ``broadcast_bytes``; else they
+    are shuffled.
     """
     rows = docs.select(
         docs[id_column].alias("doc_id"), docs[text_column].alias("text"),
@@ -285,16 +295,17 @@ def near_duplicates(
     classes = written(
         sketched.where("content is not null").groupBy("content").agg(F.min("uid").alias("a")), "classes"
     )
-    single = sketched.join(classes.select(F.col("a").alias("uid")), "uid", "left_semi")
-    banded = written(single.select("uid", F.posexplode("bands").alias("band", "key")), "bands")
+    single = sketched.select("uid", "bands").join(classes.select(F.col("a").alias("uid")), "uid", "left_semi")
+    banded = written(single, "bands").select("uid", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(F.min("uid").alias("b"), F.max("uid").alias("last")).where("b < last")
-    pairs = banded.join(buckets, ["band", "key"]).where("uid <> b").select(F.col("uid").alias("a"), "b").distinct()
-    links = written(exact_links(pairs, sketched, threshold), "first-links")
+    buckets = written(buckets.drop("last"), "buckets")
+    shared = written(banded.join(small(buckets, 32, broadcast_bytes), ["band", "key"]), "shared-buckets")
+    pairs = written(shared.where("uid <> b").select(F.col("uid").alias("a"), "b").distinct(), "pairs")
+    links = written(exact_links(pairs, sketched, threshold, broadcast_bytes), "first-links")
     first = connected_components(links)
 
-    component = F.coalesce("component", "uid").alias("component")
-    placed = banded.join(buckets, ["band", "key"], "left_semi").join(first.withColumnRenamed("node", "uid"), "uid", "left")
-    placed = written(placed.select("band", "key", "uid", component), "placed")
+    placed = shared.join(first.withColumnRenamed("node", "uid"), "uid", "left")
+    placed = written(placed.select("band", "key", "uid", F.coalesce("component", "uid").alias("component")), "placed")
     mixed_buckets = placed.groupBy("band", "key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
     ).where("low < high")
@@ -302,12 +313,14 @@ def near_duplicates(
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("uid"), blocks).cast("int")
     members = placed.join(mixed_buckets, ["band", "key"]).select("band", "key", "uid", "component", blocks.alias("blocks"), own.alias("own"))
+    members = written(members, "mixed-buckets")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    registers = chosen(sketched.select("uid", "registers"), members.select("uid"), broadcast_bytes)
     members = members.select("band", "key", "uid", "component", "own", other).select(
         "band", "key", "uid", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    ).join(sketched.select("uid", "registers"), "uid")
-    more = likely_pairs(members, threshold - 3 * error).join(pairs, ["a", "b"], "left_anti")
-    links = links.union(exact_links(more, sketched, threshold))
+    ).join(registers, "uid")
+    more = written(likely_pairs(members, threshold - 3 * error).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
+    links = links.union(exact_links(more, sketched, threshold, broadcast_bytes))
 
     groups = connected_components(links).withColumnsRenamed({"node": "a"})
     named = classes.join(groups, "a", "left").select("content", F.coalesce("component", "a").alias("component"))
