@@ -340,9 +340,23 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.struct(F.xxhash64(doc_id, text).alias("x"), F.xxhash64(text, doc_id, F.lit("row")).alias("y"))
 
 
-def deduplicated(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, of which each group keeps one."""
-    kept = near_duplicates(docs, threshold, id_column, text_column).where("kept").select(F.col("row_key").alias("_key"))
+def deduplicated(
+    docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text",
+    broadcast_bytes: int = 64 << 20,
+) -> DataFrame:
+    """The rows of ``docs``, all columns, of which each group keeps one.
+
+    Texts are shuffled only where a kept row has an equal twin, or where the keys of the kept rows
+    take more than ``broadcast_bytes``.
+    """
+    judged = near_duplicates(docs, threshold, id_column, text_column, broadcast_bytes)
+    keys = judged.groupBy(F.col("row_key").alias("_key")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = written(keys.where("kept").select("_key", "n"), "kept-rows")
     names = docs.columns
     shelled = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), row_key(docs[id_column], docs[text_column]).alias("_key"))
-    return shelled.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col("row")[c].alias(c) for c in names])
+
+    def rows(test: str) -> DataFrame:
+        return shelled.join(small(keys.where(test).select("_key"), 32, broadcast_bytes), "_key", "left_semi")
+
+    kept = rows("n = 1").union(rows("n > 1").dropDuplicates(["_key"]))
+    return kept.select(*[F.col("row")[c].alias(c) for c in names])
