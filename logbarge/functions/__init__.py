@@ -10,6 +10,7 @@ from .json import (
     map_fields,
     raw_field,
     scalar_fields,
+    value_text,
 )
 from .maps import bulk, bulk_kvp, map_bytes, marker_map, merge_maps, no_map
 from .text import abbreviate, extract_kv, is_blank, map_text, selector, stream_key, trim_control, utf8_len
@@ -43,5 +44,6 @@ __all__ = [
     "text_field",
     "trim_control",
     "utf8_len",
+    "value_text",
     "varint",
 ]

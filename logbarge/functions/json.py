@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from .text import _col
 
-# How deep lists that hold objects, and lists printed as plain text, may be nested.
-ARRAY_DEPTH = 3
-
 # Numbers with a fraction or exponent, outside of strings: $1 is what comes before, $2 the number.
 FRACTION = (
     r'\G((?:"(?:[^"\\]|\\.)*+"|-?[0-9]++(?![.eE])|[^"0-9-])*+)'
@@ -27,41 +24,60 @@ def json_quote(c: Column | str) -> Column:
     return F.btrim(F.to_json(F.array(_col(c))), F.lit("[]"))
 
 
-def _typed(text: Column, v: Column, depth: int) -> Column:
-    """``json_value`` where ``text`` is the JSON text of ``v``."""
+# The tokens of a JSON text without white space, as one group.
+TOKEN = r'("(?:[^"\\]|\\.)*+"|-?[0-9][0-9.eE+-]*+|[\[\]{},:]|[a-z]++)'
+
+
+def _walked(text: Column, write: Callable[[Column], Column]) -> Column:
+    """Rewrite the tokens of a JSON text that are in no object; objects stay as they are.
+
+    One pass over the tokens that counts open braces, so lists may be nested to any depth.
+    """
+    start = F.struct(F.lit(0).alias("open"), F.lit("").alias("out"))
+
+    def step(acc: Column, token: Column) -> Column:
+        begins, ends = (token == "{").cast("int"), (token == "}").cast("int")
+        kept = F.when(acc["open"] + begins > 0, token).otherwise(write(token))
+        return F.struct((acc["open"] + begins - ends).alias("open"), F.concat(acc["out"], kept).alias("out"))
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(1)), start, step, lambda acc: acc["out"])
+
+
+def _typed(text: Column) -> Column:
+    """``json_value`` of a JSON text."""
     quoted = F.regexp_replace(text, FRACTION, '$1"$2"')
     fraction = text.rlike(r"\A(?=[\[0-9-]).*[0-9][.eE]")
-    if depth > 0:
-        # objects inside a list are left as they are, so the list is walked element by element
-        items = F.transform(v.cast("array<variant>"), lambda x: _typed(F.to_json(x), x, depth - 1))
-        walked = F.concat(F.lit("["), F.array_join(items, ",", "null"), F.lit("]"))
-        quoted = F.when(text.contains("{"), walked).otherwise(quoted)
-    return F.when(text.isNull(), F.lit("null")).when(fraction, quoted).otherwise(text)
+
+    def write(token: Column) -> Column:
+        wide = token.rlike(r"\A-?[0-9]{19,}\z") & token.try_cast("bigint").isNull()
+        return F.when(token.rlike(r"\A-?[0-9]+[.eE]") | wide, F.concat(F.lit('"'), token, F.lit('"'))).otherwise(token)
+
+    # lists that hold objects and numbers that may be too wide need the tokens
+    hard = text.rlike(r"\A(?:\[.*\{|(?=[\[0-9-]).*[0-9]{19})")
+    return F.when(text.isNull(), F.lit("null")).when(hard, _walked(text, write)).when(fraction, quoted).otherwise(text)
 
 
 def json_value(v: Column | str) -> Column:
-    """JSON text of a VARIANT: strings quoted, whole numbers and booleans plain, arrays element by
-    element, objects verbatim, and every other scalar (decimals, doubles, dates) as a quoted string.
+    """JSON text of a VARIANT: strings quoted, whole numbers of up to 64 bits and booleans plain, arrays
+    element by element to any depth, objects verbatim, and every other scalar (wider numbers, decimals,
+    doubles, dates) as a quoted string.
     """
-    v = _col(v)
-    return _typed(F.to_json(v), v, ARRAY_DEPTH)
+    return _typed(F.to_json(_col(v)))
 
 
-def value_text(v: Column, depth: int = ARRAY_DEPTH, text: Column | None = None) -> Column:
-    """Plain text of a VARIANT: scalars as they print, lists as ``[a, b]``, objects as JSON.
+def value_text(v: Column, text: Column | None = None) -> Column:
+    """Plain text of a VARIANT: scalars as they print, lists as ``[a, b]`` to any depth, objects as JSON.
 
     ``text`` is ``v`` cast to string, when the caller has it already.
     """
     text = v.cast("string") if text is None else text
-    if depth == 0:
-        return text
-    items = F.transform(
-        v.cast("array<variant>"), lambda x: F.coalesce(value_text(x, depth - 1), F.lit("null"))
-    )
+
+    def write(token: Column) -> Column:
+        plain = F.from_json(F.concat(F.lit("["), token, F.lit("]")), "array<string>")[0]
+        return F.when(token == ",", ", ").when(token.startswith('"'), plain).otherwise(token)
+
     is_list = text.startswith("[") & F.schema_of_variant(v).startswith("ARRAY")
-    return F.when(
-        is_list, F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
-    ).otherwise(text)
+    return F.when(is_list, _walked(F.to_json(v), write)).otherwise(text)
 
 
 def _named(name: Column | str, value: Column) -> Column:
@@ -163,6 +179,6 @@ def kvp_fields(
         name = F.concat(lead, e["key"])
         if serializer is not None:
             return serializer(name, e["value"])
-        return _named(name, _typed(e["text"], e["value"], ARRAY_DEPTH))
+        return _named(name, _typed(e["text"]))
 
     return F.transform(F.filter(pairs, keep), write)

@@ -46,8 +46,11 @@ def cut_by_count(
     drain_on_stop: bool = True,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Batches of ``max_items`` records; adds batch_no and condition."""
-    placed = with_position(df, order, keys, block_rows)
+    """Batches of ``max_items`` records; adds batch_no and condition. A repeated order value is an error.
+
+    Batches bound records, not bytes: set oversize records aside first where lines may be long.
+    """
+    placed = with_position(df, order, keys, block_rows, unique=True)
     full = (F.expr(f"pos div {max_items}") + 1) * max_items <= F.col("shard_rows")
     out = placed.withColumns(
         {

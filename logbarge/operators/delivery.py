@@ -57,7 +57,7 @@ def classify_attempts(
     sticky: bool = True,
     retry_exceptions: Sequence[str] = RETRY_EXCEPTIONS,
 ) -> DataFrame:
-    """Judge each attempt of a batch: success, retryable, reason, and whether it is made at all.
+    """Judge each attempt of a batch: ordinal (from 0), success, retryable, reason, whether it is made at all.
 
     Attempts stop after the first success, after a failure that is not retryable, and after
     ``max_retries`` more than the first. With ``sticky`` an exception (or status) seen earlier stays
@@ -101,7 +101,7 @@ def classify_attempts(
     )
     goes_on = F.col("retryable") & (F.col("_no") < max_retries)
     made = F.coalesce(F.every(goes_on).over(earlier), F.lit(True))
-    return rows.withColumn("made", made).drop("_no", "_exception", "_status")
+    return rows.withColumn("made", made).withColumnRenamed("_no", "ordinal").drop("_exception", "_status")
 
 
 def delivery_outcomes(classified: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.text import map_text, selector
 from ..functions.wire import bytes_field, int_field, pair_fields, text_field
 from ..sources.events import wire_time
 from .grouping import group_streams
+from .projection import record_error
 
 # Fixed value: the separator of the debugging format.
 TEXT_SEPARATOR = " %%% "
@@ -33,8 +34,8 @@ def encode_json(
 ) -> DataFrame:
     """One JSON push document per batch; streams in key order, entries in arrival order."""
     streams = group_streams(
-        df.withColumn("_entry", json_entry()),
-        [F.expr(f"listagg(_entry, ',') within group (order by {order})").alias("_entries")],
+        _sound(df.withColumn("_entry", json_entry()), order),
+        [F.expr(f"listagg(_entry, ',') within group (order by {order})").alias("_entries"), *_entry_check()],
         keys, order, static,
     ).withColumn(
         "_stream",
@@ -67,8 +68,8 @@ def encode_proto(
     )
     streams = (
         group_streams(
-            entries,
-            [F.expr(f"listagg(_entry, X'') within group (order by {order})").alias("_entries")],
+            _sound(entries, order),
+            [F.expr(f"listagg(_entry, X'') within group (order by {order})").alias("_entries"), *_entry_check()],
             keys, order, static,
         )
         .withColumn("_labels", F.encode(selector("labels"), "UTF-8"))
@@ -89,8 +90,8 @@ def encode_text(
         F.lit("ts="), F.col("ts_ms").cast("string"), F.lit(" "), F.col("line"), F.lit("\n"),
     )
     streams = group_streams(
-        df.withColumn("_entry", line),
-        [F.expr(f"listagg(_entry, '') within group (order by {order})").alias("_entries")],
+        _sound(df.withColumn("_entry", line), order),
+        [F.expr(f"listagg(_entry, '') within group (order by {order})").alias("_entries"), *_entry_check()],
         keys, order, static,
     )
     payload = F.expr("listagg(_entries, '') within group (order by stream_key)")
@@ -98,13 +99,28 @@ def encode_text(
     return out.withColumn("size_bytes", F.octet_length("payload_text"))
 
 
+def _sound(df: DataFrame, order: str) -> DataFrame:
+    """Add ``_error``, why the record has no entry; a record with an error must not have one."""
+    lost = F.when(F.col("_entry").isNull(), F.lit("entry not encoded"))
+    checked = df.withColumn("_error", F.coalesce(record_error(order=order), lost))
+    return checked.withColumn("_entry", F.when(F.col("_error").isNull(), F.col("_entry")))
+
+
+def _entry_check() -> list[Column]:
+    """Per stream: the entries written and, if any is missing, why."""
+    return [F.count("_entry").alias("_written"), F.min("_error").alias("_error")]
+
+
 def _per_batch(streams: DataFrame, keys: Sequence[str], payload: Column, name: str) -> DataFrame:
+    """One row per batch. A batch with fewer entries than items has no payload but an ``encode_error``."""
+    whole = F.sum("_written") == F.sum("items")
     return streams.groupBy(*keys, "batch_no").agg(
         F.first("condition").alias("condition"),
         F.sum("items").alias("items"),
         F.count("*").alias("streams"),
         F.sum("est_bytes").alias("est_bytes"),
-        payload.alias(name),
+        F.when(whole, payload).alias(name),
+        F.when(~whole, F.coalesce(F.min("_error"), F.lit("entry not encoded"))).alias("encode_error"),
     )
 
 
@@ -144,11 +160,13 @@ def decompress_snappy(df: DataFrame, col: str = "payload_bin") -> DataFrame:
 def split_encode_errors(
     payloads: DataFrame, col: str = "payload_json", check: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(encoded batches, failed batches with a ``reason``).
+    """(encoded batches, failed batches with a ``reason``): a bad value fails its batch, not the job.
 
-    A batch fails when it has no payload or does not pass ``check`` (a boolean Column).
+    A batch fails with the reason of the encoder, or without a payload, or when it does not pass
+    ``check`` (a boolean Column). An error raised by an expression itself still ends the job.
     """
-    reason = F.when(F.col(col).isNull(), F.lit("no payload"))
+    told = F.col("encode_error") if "encode_error" in payloads.columns else F.lit(None)
+    reason = F.when(F.col(col).isNull(), F.coalesce(told, F.lit("no payload")))
     if check is not None:
         reason = reason.when(~F.coalesce(check, F.lit(False)), F.lit("invalid payload"))
     tagged = payloads.withColumn("reason", reason)

@@ -24,14 +24,13 @@ def trace_head(frames: int) -> Column:
 
 
 def _word(word: str, option: str | None) -> Column:
-    if word == "level":
-        return F.col("level")
-    if word == "thread":
-        return F.col("thread")
+    none = F.lit("")
+    if word in ("level", "thread"):
+        return F.coalesce(word, none)
     if word == "logger":
-        return abbreviate("logger", -1 if option is None else int(option))
+        return F.coalesce(abbreviate("logger", -1 if option is None else int(option)), none)
     if word == "msg":
-        return F.col("message")
+        return F.coalesce("message", none)
     if word == "n":
         return F.lit("\n")
     if word == "ex":
@@ -51,7 +50,7 @@ def format_text(pattern: str, whole_trace: bool = True) -> Column:
     """Render a pattern such as ``[%thread] %logger{20} - %msg%n``.
 
     Words: ``%level %thread %logger %logger{n} %msg %n %ex %ex{n}``, each with an optional minimum
-    width (``%-5level``). A message pattern without ``%ex`` still gets the stack trace appended;
+    width (``%-5level``). A null is written as nothing, so no line is lost. A message pattern without ``%ex`` still gets the stack trace appended;
     ``whole_trace=False`` is the form for labels, which never do.
     """
     parts: list[Column] = []

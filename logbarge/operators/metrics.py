@@ -67,7 +67,7 @@ def attempt_errors(
     classified: DataFrame, outcomes: DataFrame, max_retries: int, name: Sequence[str] = ()
 ) -> DataFrame:
     """Retry errors (a failure that is tried again) and send errors (a batch given up), by reason."""
-    again = classified.filter(F.col("made") & F.col("retryable") & (F.col("attempt") < max_retries))
+    again = classified.filter(F.col("made") & F.col("retryable") & (F.col("ordinal") < max_retries))
     gone = outcomes.filter(F.col("state") == "dropped")
     return error_counts(again, "retry", name=name).unionByName(error_counts(gone, "send", name=name))
 
@@ -98,11 +98,16 @@ RESTART = 1_000_000_000
 def thin_by_count(
     df: DataFrame, keys: Sequence[str] = (), order: str = "seq", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Keep the first row of each key and ever rarer ones after it; adds the running ``count``."""
-    counted = with_position(df, order, keys, block_rows).withColumn(
+    """Keep the first row of each key and ever rarer ones after it; adds the running ``count``.
+
+    Only keys and order are numbered; the few rows kept are joined with the table by them.
+    """
+    narrow = df.select(*keys, order)
+    counted = with_position(narrow, order, keys, block_rows).withColumn(
         "count", F.col("pos") % (RESTART + 1) + 1
     )
     keep = (F.col("count") == 1) | (F.col("count") > RESTART)
     for last, step in THIN_STEPS:
         keep = keep | ((F.col("count") <= last) & (F.col("count") % step == 0))
-    return counted.filter(keep).drop("pos", "shard_rows")
+    kept = counted.filter(keep).drop("pos", "shard_rows")
+    return df.join(kept, [*keys, order]).select(*df.columns, "count")

@@ -24,6 +24,12 @@ def required(name: str) -> Column:
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} must not be null"))).alias(name)
 
 
+def _once(order: str, inside) -> Column:
+    """The row number, failing where the row before has the same order value."""
+    repeated = F.lag(order).over(inside) == F.col(order)
+    return F.when(repeated, F.raise_error(F.lit(f"{order} is not unique"))).otherwise(F.row_number().over(inside))
+
+
 def block_width(df: DataFrame, order: str = "seq", rows: int = BLOCK_ROWS) -> int:
     """A block width for a sparse order column, such as a time in nanoseconds.
 
@@ -40,12 +46,14 @@ def with_position(
     keys: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
     counted: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Add ``pos`` (0-based position in the shard) and ``shard_rows`` (rows of the shard).
 
     Keys and order must not be null. ``block_rows`` is the width of a block in units of the order
     column; a sparse one wants more (see ``block_width``). ``counted`` may give the same rows by a
-    cheaper plan, of which only keys and order are read for the block counts.
+    cheaper plan, of which only keys and order are read for the block counts. ``unique`` fails on
+    an order value that a shard has twice, which would leave the positions to chance.
     """
     keys = list(keys)
 
@@ -66,6 +74,6 @@ def with_position(
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
     return (
         rows.join(offsets, [*keys, "_block"])
-        .withColumn("pos", F.row_number().over(inside) - 1 + F.col("_before"))
+        .withColumn("pos", (_once(order, inside) if unique else F.row_number().over(inside)) - 1 + F.col("_before"))
         .select(*df.columns, "pos", "shard_rows")
     )

@@ -34,6 +34,7 @@ def evaluated_once(df: DataFrame) -> DataFrame:
 
     Sizes and the oversize filter use labels, metadata and line several times. Without this step the
     filter is pushed below the projection that renders them, and every use renders them again.
+    The price: a filter added behind this step does not reach the scan, so filter events before it.
     """
     return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
 
@@ -46,7 +47,11 @@ def with_size(df: DataFrame) -> DataFrame:
 
 
 def split_oversize(df: DataFrame, max_bytes: int = MAX_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(records that fit into a batch of their own, records that are refused)."""
+    """(records that fit into a batch of their own, records that are refused).
+
+    A record without a size (a null line or map) is refused, so no record is in neither.
+    """
     sized = df if "msg_sz" in df.columns else with_size(df)
     total = F.col("msg_sz") + F.col("meta_sz") + F.col("stream_sz")
-    return sized.filter(total <= max_bytes), sized.filter(total > max_bytes)
+    fits = F.coalesce(total <= max_bytes, F.lit(False))
+    return sized.filter(fits), sized.filter(~fits)

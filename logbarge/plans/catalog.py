@@ -22,6 +22,7 @@ from ..functions import (
     selector,
     stream_key,
     utf8_len,
+    value_text,
 )
 from ..operators.batching import cut_batches, cut_by_count, summarize_batches
 from ..operators.delivery import classify_attempts, dead_letters, delivery_outcomes, retry_schedule
@@ -50,8 +51,10 @@ from ..settings import configure, shared_folder
 from ..sinks import PushOptions, push_attempts, write_payloads
 from ..sources import EventMapping, read_events, read_payloads, stream_events
 from ..sources.events import wire_time
-from ..streaming import cut_batches_stream, stage_times
+from ..streaming import cut_batches_stream, drain_open, use_rocksdb
 from . import tables as X
+from .ship import ShipOptions, shape, ship
+from .ship import batch as batch_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,7 +63,8 @@ COUNT = 250
 ITEMS, BYTES = 35, 1460
 IDLE_MS = 1_800_000
 OVERSIZE = 8192
-ENCODED_LIMIT = 24_400
+HOLED_BYTES = 120
+MOVED_BACK, MOVED_ON = 60 * 31_556_952_000, 3000 * 31_556_952_000
 # Rows numbered by one task; small because the sample tables are.
 BLOCK = 4096
 
@@ -211,7 +215,7 @@ def _traced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _traced(spark, sf_dir).select(
         F.col("seq").alias("event_id"),
-        format_text("l=%level c=%logger{20} t=%thread | %msg %ex{1}").alias("short_trace"),
+        format_text("%level/%thread %logger{20}: %msg; %ex{1}").alias("short_trace"),
         format_text("%-9level[%10thread] %logger{0} - %msg%n").alias("padded"),
         format_text("%msg %ex").alias("whole_trace"),
     )
@@ -228,12 +232,12 @@ def json_layout_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
         kvp=MapSpec(
             "pair_",
             serializer=lambda name, value: F.concat(
-                json_quote(F.concat(name, F.lit("_arr"))), F.lit(":["), json_quote(name), F.lit(","),
-                json_value(value), F.lit("]"),
+                json_quote(F.concat(F.lit("both_"), name)), F.lit(":{"), json_quote(name), F.lit(":"),
+                json_value(value), F.lit("}"),
             ),
         ),
         custom=(
-            field("msg_length", F.length("message"), "number"),
+            field("words_in_all", F.size(F.split("message", " ")), "number"),
             raw_field("raw", F.concat(F.lit('{"user":'), F.col("user_id").cast("string"), F.lit("}"))),
             raw_field("refused", F.lit("{oops"), checked=True),
             array_field("words", F.split("message", " ")),
@@ -253,6 +257,13 @@ def json_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def json_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists six levels deep with an object and a number wider than 64 bits, as JSON and as plain text."""
+    rows = X.table(spark, sf_dir, "events", "event_id").select("event_id", X.deep_list().alias("text"))
+    value = rows.withColumn("value", F.parse_json("text"))
+    return value.select("event_id", json_value("value").alias("typed"), value_text(F.col("value")).alias("plain"))
+
+
 def quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = X.table(spark, sf_dir, "documents").select(F.lit("documents").alias("source"), F.col("doc_id").alias("id"), "text")
     turns = X.table(spark, sf_dir, "conversations").select(
@@ -350,21 +361,25 @@ def stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- payloads ------------------------------------------------------------------------------------
 
 
+def _digest(payloads: DataFrame, col: str) -> DataFrame:
+    return payloads.withColumn(col, F.md5(F.col(col).cast("binary"))).drop("encode_error")
+
+
 def payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_json(_counted(spark, sf_dir)).withColumn("payload_json", F.md5(F.col("payload_json").cast("binary")))
+    return _digest(encode_json(_counted(spark, sf_dir)), "payload_json")
 
 
 def payload_json_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = cut_by_count(static_labels(X.shop_records(spark, sf_dir)), max_items=COUNT, block_rows=BLOCK)
-    return encode_json(cut, static=True).withColumn("payload_json", F.md5(F.col("payload_json").cast("binary")))
+    return _digest(encode_json(cut, static=True), "payload_json")
 
 
 def payload_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_text(_counted(spark, sf_dir)).withColumn("payload_text", F.md5(F.col("payload_text").cast("binary")))
+    return _digest(encode_text(_counted(spark, sf_dir)), "payload_text")
 
 
 def payload_proto(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_proto(_counted(spark, sf_dir)).withColumn("payload_bin", F.md5("payload_bin"))
+    return _digest(encode_proto(_counted(spark, sf_dir)), "payload_bin")
 
 
 def payload_snappy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,21 +391,70 @@ def payload_snappy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def payload_proto_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times before 1970 and far beyond it: every third event moved back 60 years, every third 3,000 on."""
+    moved = F.expr(f"ts_ms + (case pmod(seq, 3) when 0 then -{MOVED_BACK} when 1 then {MOVED_ON} else 0 end)")
+    rec = X.shop_records(spark, sf_dir).withColumn("ts_ms", moved)
+    return _digest(encode_proto(cut_by_count(split_oversize(rec)[0], max_items=COUNT, block_rows=BLOCK)), "payload_bin")
+
+
+def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with holes by rules on their columns: no thread, no message, no time."""
+    hole = lambda c, rule: F.when(~F.expr(rule), F.col(c))
+    return X.shop_events(spark, sf_dir).withColumns({
+        "shard": hole("thread", "user_id % 13 = 0"), "thread": hole("thread", "user_id % 7 = 0"),
+        "message": hole("message", "user_id % 5 = 0"), "ts_ms": hole("ts_ms", "seq % 401 = 0"),
+    })
+
+
+def shape_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each event with holes ends up: kept, refused for its size, or bad for a reason."""
+    options = ShipOptions(X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, shard=["shard"], max_bytes=HOLED_BYTES, max_items=COUNT, count_only=True, block_rows=BLOCK)
+    cut, refused, bad = batch_records(shape(_holed(spark, sf_dir), options), options)
+    tell = lambda df, state, reason: df.groupBy(F.lit(state).alias("state"), reason.alias("reason")).agg(
+        F.count("*").alias("events"), F.sum("seq").alias("ids")
+    )
+    none = F.lit(None).cast("string")
+    return tell(cut, "kept", none).unionAll(tell(refused, "refused", none)).unionAll(tell(bad, "bad", F.col("reason")))
+
+
 def encode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches that exceed a byte limit once encoded are failed batches."""
-    good, bad = split_encode_errors(encode_json(_counted(spark, sf_dir)), check=F.col("size_bytes") <= ENCODED_LIMIT)
+    """Batches with a record that has no time or no line fail with its reason, the others are encoded."""
+    cut = _counted(spark, sf_dir).withColumns({
+        "ts_ms": F.when(F.col("seq") % 997 != 0, F.col("ts_ms")),
+        "line": F.when(F.col("seq") % 1499 != 0, F.col("line")),
+    })
+    good, bad = split_encode_errors(encode_json(cut))
     return error_counts(bad, "encode").unionAll(
         good.agg(F.lit("encode").alias("stage"), F.lit("none").alias("reason"), F.count("*").alias("errors"))
     )
 
 
 def label_selector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.regexp_extract("text", "^[^.]*", 0)
     return X.table(spark, sf_dir, "documents").select(
-        "doc_id", selector(F.create_map(F.lit("lang"), "lang", F.lit("quote"), F.concat(F.lit('"'), words, F.lit('"\\')))).alias("selector")
+        "doc_id", selector(F.create_map(F.lit("lang"), "lang", F.lit("quote"), F.concat(F.lit('"'), "text", F.lit('"\\')))).alias("selector")
     )
 
 
+def _shipped(spark: SparkSession, sf_dir: str, protocol: str) -> DataFrame:
+    """The whole flow: shape, refuse, cut by items, bytes and idle time, group, encode."""
+    options = ShipOptions(
+        X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, shard=["thread"], max_items=ITEMS, max_bytes=BYTES,
+        timeout_ms=IDLE_MS, protocol=protocol, block_rows=BLOCK,
+    )
+    return ship(X.shop_events(spark, sf_dir), options, stage=f"flow-{protocol}").payloads
+
+
+def ship_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(_shipped(spark, sf_dir, "json"), "payload_json")
+
+
+def ship_proto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with compressed Protobuf; the digest is that of the message before compression."""
+    plain = decompress_snappy(_shipped(spark, sf_dir, "proto"))
+    return _digest(plain.withColumn("size_bytes", F.octet_length("payload_bin")), "payload_bin")
+
+
 def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = read_payloads(encode_json(_counted(spark, sf_dir)).select("batch_no", "payload_json"))
     return _text_maps(back).select("batch_no", "labels", "entry_no", "ts_ms", "nanos_in_ms", "line", "metadata")
@@ -494,6 +558,12 @@ def send_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attempt_errors(judged, delivery_outcomes(judged), 2)
 
 
+def send_errors_from_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same attempts, numbered from 1."""
+    judged = classify_attempts(X.shop_attempts(spark, sf_dir).withColumn("attempt", F.col("attempt") + 1))
+    return attempt_errors(judged, delivery_outcomes(judged), 2)
+
+
 def unsent_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = X.table(spark, sf_dir, "lineitem").groupBy(F.expr("l_orderkey div 4").alias("batch_no")).agg(F.count("*").alias("items"))
     return unsent(orders, _outcomes(spark, sf_dir))
@@ -525,12 +595,16 @@ def push_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
-def _run_stream(spark: SparkSession, sf_dir: str):
+def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The events as four files, one trigger each; (closed batches, the query's checkpoint)."""
     folder = _fresh(spark, "stream")
-    raw = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = stream_events(
-        spark, sf_dir, "parquet", raw, X.shop_mapping(), 1, pathGlobFilter="events.parquet"
-    ).withColumn("shard", F.col("thread"))
+    source = spark.read.parquet(f"{sf_dir}/events.parquet")
+    step = source.agg(F.max("event_id")).first()[0] // 4 + 1
+    for k in range(4):
+        part = source.filter(F.col("event_id").between(k * step, (k + 1) * step - 1))
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    events = stream_events(spark, f"{folder}/in", "parquet", source.schema, X.shop_mapping(), 1)
+    events = events.withColumn("shard", F.col("thread"))
     rec = project_records(events, X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, keep=["shard"])
     cut = cut_batches_stream(rec, ["shard"], max_items=ITEMS, max_bytes=BYTES)
     query = (
@@ -538,19 +612,18 @@ def _run_stream(spark: SparkSession, sf_dir: str):
         .option("path", f"{folder}/out").trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return query, f"{folder}/out"
+    return spark.read.parquet(f"{folder}/out"), f"{folder}/state"
 
 
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    _, path = _run_stream(spark, sf_dir)
-    return _batch_table(spark.read.parquet(path), ["shard"])
+    """Batches of a stream over several triggers, with those still open when it stops."""
+    closed, checkpoint = _run_stream(use_rocksdb(configure(spark)), sf_dir)
+    return _batch_table(closed.unionByName(drain_open(spark, checkpoint, ["shard"])), ["shard"])
 
 
-def stream_stage_times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
-    query, _ = _run_stream(spark, sf_dir)
-    return stage_times(spark, query).select("trigger_no", "stage", "duration_ms", "input_rows")
+def stream_batches_no_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    closed, _ = _run_stream(use_rocksdb(configure(spark)), sf_dir)
+    return _batch_table(closed, ["shard"])
 
 
 QUERIES: dict[str, Query] = {
@@ -558,15 +631,15 @@ QUERIES: dict[str, Query] = {
     for f in (
         event_formats, shape_records, default_rules, bulk_kvp, bulk_include_exclude, marker_labels, static_labels_shard,
         static_labels_all, logger_short, url_params, bad_records, attribute_pairs, blank_lines,
-        text_layouts, json_layout, json_layout_custom, json_typed, quoted_text,
-        record_sizes, oversize, dropped_events,
+        text_layouts, json_layout, json_layout_custom, json_typed, json_deep, quoted_text,
+        record_sizes, oversize, dropped_events, shape_bad_records,
         batches_by_count, batches_bounded, batches_idle, batches_no_drain, batches_one_shard,
         batches_of_text, tenant_batches, stream_groups,
-        payload_json, payload_json_static, payload_text, payload_proto, payload_snappy, encode_errors,
+        payload_json, payload_json_static, payload_text, payload_proto, payload_proto_times, payload_snappy, encode_errors, ship_json, ship_proto,
         label_selector, payload_records, payload_roundtrip, payload_lost, payload_files,
         select_errors, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
-        delivery_totals, send_errors, unsent_events, thin_drops, push_delivery,
-        stream_batches, stream_stage_times,
+        delivery_totals, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,
+        stream_batches, stream_batches_no_drain,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .catalog import BYTES, COUNT, ENCODED_LIMIT, IDLE_MS, ITEMS, OVERSIZE, SIMULATED
+from .catalog import BYTES, COUNT, HOLED_BYTES, IDLE_MS, ITEMS, MOVED_BACK, MOVED_ON, OVERSIZE, SIMULATED
 
 NL = "chr(10)"
 
@@ -113,11 +113,13 @@ def _short(n: int) -> str:
 
 
 def _varint(n: str) -> str:
-    out = f"CASE WHEN {n} < 128 THEN printf('%02X', {n})"
-    for size in range(2, 6):
-        groups = [f"({n} >> {7 * i}) & 127" for i in range(size)]
-        args = ", ".join(f"({g}) + 128" if i < size - 1 else f"({g})" for i, g in enumerate(groups))
-        out += f" WHEN {n} < {1 << 7 * size} THEN printf('{'%02X' * size}', {args})"
+    def groups(size: int) -> str:
+        each = [f"({n} >> {7 * i}) & 127" for i in range(size)]
+        return ", ".join(f"({g}) + 128" if i < size - 1 else f"({g})" for i, g in enumerate(each))
+
+    out = f"CASE WHEN {n} < 0 THEN printf('{'%02X' * 10}', {groups(9)} + 128, 1) WHEN {n} < 128 THEN printf('%02X', {n})"
+    for size in range(2, 9):
+        out += f" WHEN {n} < {1 << 7 * size} THEN printf('{'%02X' * size}', {groups(size)})"
     return out + " END"
 
 
@@ -129,27 +131,40 @@ def _proto_pair(name: str, value: str) -> str:
     )
 
 
-PROTO = f"""{REC}, {_counted()},
+def _proto(base: str, cut: str, key: str = "", rows: str = "cut") -> str:
+    """CTEs up to ``messages``: (key, batch_no, condition, items, streams, est_bytes, payload)."""
+    return f"""{base}, {cut},
 times AS (
-  SELECT *, '08' || {_varint('(ts_ms // 1000)')} || CASE WHEN ts_ms % 1000 * 1000000 + nanos = 0 THEN ''
-    ELSE '10' || {_varint('(ts_ms % 1000 * 1000000 + nanos)')} END AS t FROM cut),
+  SELECT *, CASE WHEN trunc(ts_ms / 1000) = 0 THEN '' ELSE '08' || {_varint('((ts_ms - ts_ms % 1000) // 1000)')} END
+    || CASE WHEN ts_ms % 1000 * 1000000 + nanos = 0 THEN ''
+    ELSE '10' || {_varint('(ts_ms % 1000 * 1000000 + nanos)')} END AS t FROM {rows}),
 bodies AS (
   SELECT *, printf('0A%02X', length(t) // 2) || t || '12' || {_varint('strlen(line)')} || hex(line)
     || {_proto_pair("'thread'", "thread")} || {_proto_pair("'k'", "k")} AS body FROM times),
 entries AS (SELECT *, '12' || {_varint('(length(body) // 2)')} || body AS entry FROM bodies),
 grouped AS (
-  SELECT batch_no, stream_key, min(condition) AS condition, count(*) AS n, sum(own) + max(ssz) AS bytes,
+  SELECT {key}batch_no, stream_key, min(condition) AS condition, count(*) AS n, sum(own) + max(ssz) AS bytes,
     '{{app="shop",level="' || level || '"}}' AS sel, string_agg(entry, '' ORDER BY seq) AS entries
-  FROM entries GROUP BY batch_no, stream_key, level),
+  FROM entries GROUP BY {key}batch_no, stream_key, level),
 streams AS (SELECT *, '0A' || {_varint('strlen(sel)')} || hex(sel) || entries AS body FROM grouped),
 messages AS (
-  SELECT batch_no, min(condition) AS condition, CAST(sum(n) AS BIGINT) AS items, count(*) AS streams,
+  SELECT {key}batch_no, min(condition) AS condition, CAST(sum(n) AS BIGINT) AS items, count(*) AS streams,
     CAST(sum(bytes) AS BIGINT) AS est_bytes,
     string_agg('0A' || {_varint('(length(body) // 2)')} || body, '' ORDER BY stream_key) AS payload
-  FROM streams GROUP BY batch_no)"""
+  FROM streams GROUP BY {key}batch_no)"""
 
 
-def _json(base: str, cut: str, key: str = "", meta: bool = True, sizes: bool = True) -> str:
+PROTO = _proto(REC, _counted())
+MOVED = f"ts_ms + (CASE seq % 3 WHEN 0 THEN -{MOVED_BACK} WHEN 1 THEN {MOVED_ON} ELSE 0 END)"
+MOVED_REC = REC.replace("rec AS", "still AS") + f", rec AS (SELECT * REPLACE ({MOVED} AS ts_ms) FROM still)"
+PROTO_COLUMNS = (
+    "batch_no, condition, items, streams, est_bytes, md5(unhex(payload)) AS payload_bin,"
+    " CAST(length(payload) // 2 AS INTEGER) AS size_bytes"
+)
+DEEP = "(cents // 100) || '.251'"
+
+
+def _json(base: str, cut: str, key: str = "", meta: bool = True, sizes: bool = True, rows: str = "cut") -> str:
     """CTEs up to ``payloads``: (key, batch_no, condition, items, streams, est_bytes, doc)."""
     third = "|| ',' || metadata" if meta else ""
     size = "sum(own) + max(ssz)" if sizes else "0"
@@ -159,7 +174,7 @@ grouped AS (
   SELECT {key}batch_no, stream_key, min(condition) AS condition, count(*) AS n, {size} AS bytes,
     '{{"stream":' || stream_key || ',"values":[' || string_agg(
       '["' || {ts} || '",' || CAST(to_json(line) AS VARCHAR) {third} || ']', ',' ORDER BY seq) || ']}}' AS s
-  FROM cut GROUP BY {key}batch_no, stream_key),
+  FROM {rows} GROUP BY {key}batch_no, stream_key),
 payloads AS (
   SELECT {key}batch_no, min(condition) AS condition, CAST(sum(n) AS BIGINT) AS items, count(*) AS streams,
     CAST(sum(bytes) AS BIGINT) AS est_bytes,
@@ -272,7 +287,7 @@ SELECT page_id, CAST(CASE WHEN bad THEN 0 ELSE len(parts) END AS INTEGER) AS pai
 SELECT doc_id, count(*) AS lines, count(*) FILTER (regexp_matches(line, {BLANK_SQL})) AS blank FROM l GROUP BY ALL""",
     "text_layouts": f"""WITH {EV}
 SELECT seq AS event_id,
-  'l=' || level || ' c=' || {SHORT_20} || ' t=' || thread || ' | ' || message || ' ' || {ON_ERROR.format(TRACE_1)} AS short_trace,
+  level || '/' || thread || ' ' || {SHORT_20} || ': ' || message || '; ' || {ON_ERROR.format(TRACE_1)} AS short_trace,
   rpad(level, 9, ' ') || '[' || lpad(thread, 10, ' ') || '] ' || level || ' - ' || message || {NL}
     || {ON_ERROR.format(TRACE)} AS padded,
   message || ' ' || {ON_ERROR.format(TRACE)} AS whole_trace
@@ -286,8 +301,8 @@ SELECT seq AS event_id, '{{"timestamp_ms":' || ts_ms || ',"logger_name":"' || lo
 FROM ev""",
     "json_layout_custom": f"""WITH {EV}
 SELECT seq AS event_id, '{{"logger_name":"' || level || '","level":"' || level || '","message":"' || message
-  || '","user":"' || user_id || '"' || {VIP.format("")} || ',"pair_k_arr":["pair_k",' || k || '],"msg_length":'
-  || length(message) || ',"raw":{{"user":' || user_id || '}},"words":["' || level || '","' || cents
+  || '","user":"' || user_id || '"' || {VIP.format("")} || ',"both_pair_k":{{"pair_k":' || k || '}},"words_in_all":2'
+  || ',"raw":{{"user":' || user_id || '}},"words":["' || level || '","' || cents
   || '"],"objects":[{{"w":"' || level || '"}},{{"w":"' || cents || '"}}]}}' AS doc
 FROM ev""",
     "json_typed": f"""WITH {EV}
@@ -343,18 +358,38 @@ payloads AS (
     CAST(sum(bytes) AS BIGINT) AS est_bytes, string_agg(s, '' ORDER BY stream_key) AS doc
   FROM grouped GROUP BY batch_no)
 SELECT {_PAYLOAD_COLUMNS.format('payload_text')} FROM payloads""",
-    "payload_proto": f"""WITH {PROTO}
-SELECT batch_no, condition, items, streams, est_bytes, md5(unhex(payload)) AS payload_bin,
-  CAST(length(payload) // 2 AS INTEGER) AS size_bytes FROM messages""",
+    "payload_proto": f"WITH {PROTO} SELECT {PROTO_COLUMNS} FROM messages",
+    "payload_proto_times": f"WITH {_proto(MOVED_REC, _counted())} SELECT {PROTO_COLUMNS} FROM messages",
+    "ship_json": f"""WITH RECURSIVE {_json(REC, _fold(ITEMS, BYTES, IDLE_MS), "thread, ", rows="ends")}
+SELECT thread, {_PAYLOAD_COLUMNS.format('payload_json')} FROM payloads""",
+    "ship_proto": f"""WITH RECURSIVE {_proto(REC, _fold(ITEMS, BYTES, IDLE_MS), "thread, ", "ends")}
+SELECT thread, {PROTO_COLUMNS} FROM messages""",
+    "shape_bad_records": f"""WITH {EV}, holed AS (
+  SELECT seq, thread AS user_thread, CASE WHEN user_id % 13 <> 0 THEN thread END AS shard,
+    CASE WHEN user_id % 7 <> 0 THEN thread ELSE '' END AS thread, level, logger,
+    CASE WHEN user_id % 5 <> 0 THEN message ELSE '' END AS message, k, CASE WHEN seq % 401 <> 0 THEN ts_ms END AS ts_ms FROM ev),
+sized AS (
+  SELECT *, strlen('[' || thread || '] ' || {SHORT_20} || ' - ' || message || {NL}) + 24 + 7 + strlen(thread) + strlen(k) + 24 + 8
+    + 12 + strlen(level) + 8 AS size FROM holed),
+judged AS (
+  SELECT seq, CASE WHEN shard IS NULL THEN 'no shard' WHEN ts_ms IS NULL THEN 'no time' END AS reason, size FROM sized)
+SELECT CASE WHEN reason IS NOT NULL THEN 'bad' WHEN size <= {HOLED_BYTES} THEN 'kept' ELSE 'refused' END AS state, reason,
+  count(*) AS events, CAST(sum(seq) AS BIGINT) AS ids FROM judged GROUP BY ALL""",
+    "json_deep": f"""WITH {EV} SELECT seq AS event_id,
+  '[[[[[["' || {DEEP} || '",{{"x":' || {DEEP} || '}},"' || level || '","99999999999999999999' || user_id || '",null]]]]],' || user_id || ']' AS typed,
+  '[[[[[[' || {DEEP} || ', {{"x":' || {DEEP} || '}}, ' || level || ', 99999999999999999999' || user_id || ', null]]]]], ' || user_id || ']' AS plain
+FROM ev""",
     "payload_snappy": f"""WITH {PROTO}
 SELECT batch_no, items, CAST(length(payload) // 2 AS INTEGER) AS plain_bytes, md5(unhex(payload)) AS plain_md5,
   true AS smaller FROM messages""",
-    "encode_errors": f"""WITH {_json(REC, _counted())}
-SELECT 'encode' AS stage, 'invalid payload' AS reason, count(*) AS errors FROM payloads WHERE strlen(doc) > {ENCODED_LIMIT}
-HAVING count(*) > 0
-UNION ALL SELECT 'encode', 'none', count(*) FROM payloads WHERE strlen(doc) <= {ENCODED_LIMIT}""",
+    "encode_errors": f"""WITH {REC}, {_counted()},
+failed AS (
+  SELECT batch_no, min(CASE WHEN seq % 997 = 0 THEN 'no time' WHEN seq % 1499 = 0 THEN 'no line' END) AS reason
+  FROM cut GROUP BY batch_no)
+SELECT 'encode' AS stage, reason, count(*) AS errors FROM failed WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'encode', 'none', count(*) FROM failed WHERE reason IS NULL""",
     "label_selector": r"""SELECT doc_id, '{lang="' || lang || '",quote="'
-  || replace('"' || split_part(text, '.', 1) || '"\', '"', '\"') || '"}' AS selector FROM documents""",
+  || replace('"' || text || '"\', '"', '\"') || '"}' AS selector FROM documents""",
     "payload_records": f"""WITH {REC}, {_counted()}
 SELECT batch_no, labels, CAST(row_number() OVER (PARTITION BY batch_no, stream_key ORDER BY seq) - 1 AS INTEGER) AS entry_no,
   ts_ms, CAST(nanos AS INTEGER) AS nanos_in_ms, line, metadata FROM cut""",
@@ -407,4 +442,6 @@ attempts AS (
 {_judged(exceptions="'ConnectionRefusedError'")}
 SELECT batch_no, attempt, status, exception, 0::BIGINT AS delay_ms FROM judged WHERE made""",
 }
-ORACLES["stream_batches"] = ORACLES["batches_no_drain"]
+ORACLES["send_errors_from_one"] = ORACLES["send_errors"]
+ORACLES["stream_batches"] = ORACLES["batches_bounded"]
+ORACLES["stream_batches_no_drain"] = ORACLES["batches_no_drain"]

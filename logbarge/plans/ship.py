@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 
 from ..operators.batching import cut_batches, cut_by_count
 from ..operators.encoding import compress_snappy, encode_json, encode_proto, encode_text
 from ..operators.grouping import prepared
-from ..operators.projection import check_static, project_records, static_labels
+from ..operators.projection import check_static, project_records, split_bad, static_labels
 from ..operators.sizing import split_oversize
 from ..settings import BLOCK_ROWS, DEFAULT_MESSAGE, DEFAULT_METADATA, MAX_BYTES, MAX_ITEMS, shared_folder
 
@@ -36,14 +38,14 @@ class ShipOptions:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write rows to the shared folder and read them back.
+    """Write rows to the shared folder, under a name of this call's own, and read them back.
 
     Worth it for wide or costly projections: batching reads its input more than once, and a written
     table also survives lost executors.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shape(events: DataFrame, options: ShipOptions) -> DataFrame:
@@ -61,10 +63,11 @@ def shape(events: DataFrame, options: ShipOptions) -> DataFrame:
     return prepared(records)
 
 
-def batch(records: DataFrame, options: ShipOptions) -> tuple[DataFrame, DataFrame]:
-    """(records with their batch, refused records)."""
-    kept, refused = split_oversize(records, options.max_bytes)
+def batch(records: DataFrame, options: ShipOptions) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records with their batch, refused records, bad records with a reason)."""
     keys = list(options.shard)
+    good, bad = split_bad(records, keys)
+    kept, refused = split_oversize(good, options.max_bytes)
     if options.count_only:
         cut = cut_by_count(
             kept, keys, max_items=options.max_items, drain_on_stop=options.drain_on_stop,
@@ -76,7 +79,7 @@ def batch(records: DataFrame, options: ShipOptions) -> tuple[DataFrame, DataFram
             timeout_ms=options.timeout_ms, drain_on_stop=options.drain_on_stop,
             block_rows=options.block_rows, chunk_rows=options.chunk_rows,
         )
-    return cut, refused
+    return cut, refused, bad
 
 
 def encode(batched: DataFrame, options: ShipOptions) -> DataFrame:
@@ -91,12 +94,21 @@ def encode(batched: DataFrame, options: ShipOptions) -> DataFrame:
     raise ValueError(f"unknown protocol: {options.protocol}")
 
 
-def ship(events: DataFrame, options: ShipOptions, stage: str | None = None) -> DataFrame:
+class Shipped(NamedTuple):
+    """Every event is in one of the three: in a payload, too large, or bad (with a reason)."""
+
+    payloads: DataFrame
+    refused: DataFrame
+    bad: DataFrame
+
+
+def ship(events: DataFrame, options: ShipOptions, stage: str | None = None) -> Shipped:
     """Events to payloads. ``stage`` names a table in the shared folder for the shaped records."""
     records = shape(events, options)
     if stage:
         records = staged(records, stage)
-    return encode(batch(records, options)[0], options)
+    cut, refused, bad = batch(records, options)
+    return Shipped(encode(cut, options), refused, bad)
 
 
-__all__ = ["ShipOptions", "batch", "encode", "shape", "ship", "staged"]
+__all__ = ["ShipOptions", "Shipped", "batch", "encode", "shape", "ship", "staged"]

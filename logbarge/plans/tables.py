@@ -78,6 +78,16 @@ def typed_pairs() -> Column:
     )
 
 
+def deep_list() -> Column:
+    """A JSON list nested six deep, built from the event columns."""
+    user, name = F.col("user_id").cast("string"), json_quote("event_type")
+    amount = F.concat(F.expr("cast(round(value * 100) as bigint) div 100").cast("string"), F.lit(".251"))
+    return F.concat(
+        F.lit("[[[[[["), amount, F.lit(',{"x":'), amount, F.lit("},"), name, F.lit(",99999999999999999999"), user,
+        F.lit(",null]]]]],"), user, F.lit("]"),
+    )
+
+
 def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as log records: long lines in several languages."""
     docs = table(spark, sf_dir, "documents", "doc_id")

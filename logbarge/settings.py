@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -57,22 +57,21 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "logba
     return configure(spark)
 
 
-def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
-
-    ``fallback`` is for tests on one machine, where the setting is absent.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, as named by ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if folder:
-        return folder
-    if fallback is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        import tempfile
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return folder
+
 
-        fallback = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    os.makedirs(fallback, exist_ok=True)
-    return fallback
+def own_shared_folder(spark: SparkSession, folder: str | None = None) -> SparkSession:
+    """For one machine: name a fresh folder where the session names none. A cluster must name its own."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"):
+        return spark
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    spark.conf.set("spark.checkpoint.dir", folder or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return spark

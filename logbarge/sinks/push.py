@@ -2,7 +2,7 @@
 
 The transport is any picklable callable ``(body: bytes, headers: dict) -> (status, text)``, which may
 raise. It runs in Spark tasks, one payload per call; waiting between retries is per task. A retried
-task may send a payload again, so each carries its (shard, batch) as an idempotency key.
+task may send a payload again, so each carries (run, shard, batch) as an idempotency key.
 """
 
 from __future__ import annotations
@@ -10,8 +10,9 @@ from __future__ import annotations
 import base64
 import random
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -53,12 +54,14 @@ class PushOptions:
     drop_rate_limited: bool = False
     # only failures to connect or in time: after others the store may have taken the batch
     retry_on: tuple[type[Exception], ...] = (ConnectionRefusedError, TimeoutError)
+    # batch numbers start anew in every run, so a store that honours the key needs the run as well
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def headers(self, row: dict) -> dict[str, str]:
         binary = isinstance(row[self.payload], (bytes, bytearray))
         out = {
             CONTENT_TYPE: PROTO_TYPE if binary else JSON_TYPE,
-            IDEMPOTENCY: "/".join(str(row[k]) for k in (*self.keys, "batch_no")),
+            IDEMPOTENCY: "/".join((self.run_id, *(str(row[k]) for k in (*self.keys, "batch_no")))),
         }
         tenant = row.get("tenant") or self.tenant
         if tenant:
@@ -102,11 +105,12 @@ def deliver(row: dict, transport: Transport, options: PushOptions) -> Iterator[d
             return
 
 
-def push_attempts(df: DataFrame, transport: Transport, options: PushOptions = PushOptions()) -> DataFrame:
+def push_attempts(df: DataFrame, transport: Transport, options: PushOptions | None = None) -> DataFrame:
     """Send every payload and return the attempts made: keys, batch_no, attempt, status, exception.
 
     Sending happens when the result is computed, so write it to a table and read that.
     """
+    options = options or PushOptions()
     names = [*options.keys, "batch_no"]
     keys = [df.schema[k] for k in options.keys]
     schema = T.StructType([*keys, *ATTEMPT_FIELDS])
@@ -133,7 +137,7 @@ class Delivered(WriterCommitMessage):
 
 
 def push_sink(
-    transport: Transport, options: PushOptions = PushOptions(), name: str = "log_push", fail: bool = False
+    transport: Transport, options: PushOptions | None = None, name: str = "log_push", fail: bool = False
 ) -> type[DataSource]:
     """A data source for ``df.write.format(name)`` and ``df.writeStream.format(name)``.
 
@@ -141,6 +145,8 @@ def push_sink(
     by default it is given up after the last retry, as ``push_attempts`` would report.
     """
 
+    options = options or PushOptions()
+
     class Writer(DataSourceWriter, DataSourceStreamWriter):
         def write(self, iterator):
             sent = tries = 0
@@ -175,7 +181,7 @@ def push_sink(
 def write_push(
     df: DataFrame,
     transport: Transport,
-    options: PushOptions = PushOptions(),
+    options: PushOptions | None = None,
     attempts_path: str | None = None,
 ) -> None:
     """Send every payload now. With ``attempts_path`` the attempts are kept as a table."""

@@ -1,4 +1,4 @@
-from .batches import cut_batches_stream
+from .batches import cut_batches_stream, drain_open, use_rocksdb
 from .progress import StageTimes, stage_times
 
-__all__ = ["StageTimes", "cut_batches_stream", "stage_times"]
+__all__ = ["StageTimes", "cut_batches_stream", "drain_open", "stage_times", "use_rocksdb"]

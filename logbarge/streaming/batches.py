@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -15,9 +15,16 @@ from ..operators.cutting import DRAIN, OPEN, Limits, Run, batches
 from ..operators.grouping import prepared
 from ..settings import MAX_BYTES, MAX_ITEMS
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Make RocksDB the session's state store, which transformWithState needs."""
+    spark.conf.set(PROVIDER, ROCKSDB)
+    return spark
+
+
 class OpenBatch(StatefulProcessor):
     """One open batch per shard.
 
@@ -56,7 +63,7 @@ class OpenBatch(StatefulProcessor):
             whys.append(why)
             sizes.append(end - begin)
             number, at, last_cut = number + 1, end, now
-        self._keep(pending.iloc[at:], number, last_cut)
+        self._keep(pending.iloc[at:], number, last_cut, len(kept) if not at else 0)
         if at:
             yield self._closed(pending.iloc[:at], np.repeat(numbers, sizes), np.repeat(whys, sizes))
 
@@ -71,11 +78,12 @@ class OpenBatch(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    def _keep(self, rows: pd.DataFrame, number: int, last_cut: int) -> None:
-        if len(rows):
-            self.records.put(list(rows.itertuples(index=False, name=None)))
-        elif self.records.exists():
+    def _keep(self, rows: pd.DataFrame, number: int, last_cut: int, held: int = 0) -> None:
+        """Hold ``rows``, of which the first ``held`` are in state already."""
+        if not held and self.records.exists():
             self.records.clear()
+        if len(rows) > held:
+            self.records.appendList(list(rows.iloc[held:].itertuples(index=False, name=None)))
         self.cursor.update((int(number), int(last_cut)))
         if self.limits.timeout_ms is not None:
             for timer in list(self.handle.listTimers()):
@@ -88,6 +96,25 @@ class OpenBatch(StatefulProcessor):
         return rows.assign(batch_no=np.asarray(numbers, dtype=np.int64), condition=list(whys))[self.out.names]
 
 
+def drain_open(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """The batches still open when a stream was stopped, as rows of ``cut_batches_stream``: condition DRAIN.
+
+    Reads the stopped query's state as a table, so shards are drained in parallel. Union it with the
+    closed batches; leave it out to lose what was never closed.
+    """
+
+    def state(variable: str) -> DataFrame:
+        reader = spark.read.format("statestore").option("stateVarName", variable)
+        return reader.load(checkpoint)
+
+    shard = [F.col(f"key.{k}").alias(k) for k in keys]
+    records = state("records").select(F.col("list_element.*"))
+    cursor = state("cursor").select(*shard, F.col("value.next_batch").alias("batch_no"))
+    out = records.join(cursor, list(keys)).withColumn("condition", F.lit(DRAIN))
+    maps = [c for c in ("labels", "metadata") if c in out.columns]
+    return out.withColumns({m: F.from_json(m, "map<string,string>") for m in maps})
+
+
 def cut_batches_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -101,15 +128,16 @@ def cut_batches_stream(
 
     ``timeout_ms`` drains an open batch when more wall-clock time has passed since the last cut
     (choose a processing-time trigger, which sets how often it is checked). Without it an open batch
-    waits for more records.
+    waits for more records; ``drain_open`` gives what is open when the stream has stopped.
 
     A stream is batched per shard, one after the other. ``lanes`` splits every shard into that many
     independent sequences by a hash of the order column, so that a hot shard is not bound to one
     task; a ``lane`` column joins the keys. A task holds the rows of one key and trigger at a time, so
-    the source's rate limit bounds its memory. Needs the RocksDB state store.
+    the source's rate limit bounds its memory. Needs the RocksDB state store, which the session has to
+    name (``use_rocksdb``).
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    if df.sparkSession.conf.get(PROVIDER, None) != ROCKSDB:
+        raise ValueError(f"set {PROVIDER} to {ROCKSDB}, or call use_rocksdb")
     records = prepared(df)
     keys = list(keys)
     if lanes > 1:

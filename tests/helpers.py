@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from logbarge.schemas import EVENT, RECORD
 
-LINE = "l=%level c=%logger{20} t=%thread | %msg %ex{1}"
+LINE = "%level/%thread %logger{20}: %msg; %ex{1}"
 
 # A variant cannot be built on the Python side, and a dict loses its order on the way: both come as text.
 MAP = "map<string,string>"
@@ -26,7 +26,7 @@ _RECORD = _plain(RECORD, "labels", "metadata")
 
 
 def events(spark, *rows):
-    defaults = {"nanos_in_ms": 0, "level": "INFO", "logger": "test.TestApp", "thread": "thread-1"}
+    defaults = {"nanos_in_ms": 0, "level": "INFO", "logger": "shop.cart.Basket", "thread": "worker-1"}
     data = []
     for i, row in enumerate(rows):
         full = {**defaults, "seq": i, "ts_ms": 100 + i, "message": "m", **row}
@@ -49,9 +49,9 @@ def records(spark, *rows):
 def three_events(spark):
     return events(
         spark,
-        {"ts_ms": 100, "message": "Test message 1"},
-        {"ts_ms": 104, "level": "WARN", "thread": "thread-2", "message": "Test message 2"},
-        {"ts_ms": 107, "message": "Test message 3"},
+        {"ts_ms": 5000, "message": "basket opened"},
+        {"ts_ms": 5020, "level": "WARN", "thread": "worker-9", "message": "stock is low"},
+        {"ts_ms": 5300, "message": "basket paid"},
     )
 
 

@@ -157,7 +157,7 @@ def test_sizes_and_oversize(spark):
 def test_oversize_in_flow(spark):
     long = {"message": "x" * 720, "ts_ms": 105}
     df = three_events(spark).unionAll(events(spark, {**long, "seq": 10}))
-    kept, refused = split_oversize(project_records(df, "level=%level\napp=my-app", "off", LINE), 500)
+    kept, refused = split_oversize(project_records(df, "level=%level\napp=store", "off", LINE), 500)
     cut = cut_batches(kept, max_items=3, max_bytes=500)
     assert set(values(cut, "condition")) == {"MAX_ITEMS"} and cut.count() == 3 and refused.count() == 1
 
@@ -182,6 +182,8 @@ def test_unusable_order_is_refused(spark):
     rows = spark_rows(spark, random_rows(random.Random(1), 20, True))
     with pytest.raises(Exception, match="not unique"):
         cut_batches(rows.withColumn("seq", F.col("seq") % 10), ["shard"]).collect()
+    with pytest.raises(Exception, match="not unique"):
+        cut_by_count(rows.withColumn("seq", F.col("seq") % 10), ["shard"]).collect()
     with pytest.raises(Exception, match="must not be null"):
         cut_batches(rows.withColumn("shard", F.when(F.col("seq") > 3, F.col("shard"))), ["shard"]).collect()
     with pytest.raises(Exception, match="must not be null"):

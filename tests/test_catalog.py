@@ -40,15 +40,15 @@ def test_entry(spark):
 def test_ship(spark, sf, protocol):
     events = shop_events(spark, sf)
     options = ShipOptions(SHOP_LABELS, SHOP_METADATA, SHOP_LINE, max_items=100, max_bytes=9000, timeout_ms=10**7, protocol=protocol)
-    direct = ship(events, options)
-    via_table = ship(events, options, stage=f"shaped-{protocol}")
+    direct = ship(events, options).payloads
+    via_table = ship(events, options, stage=f"shaped-{protocol}").payloads
     assert sorted(map(str, direct.collect())) == sorted(map(str, via_table.collect()))
     assert sum(r["items"] for r in direct.collect()) == 1000
 
 
 def test_ship_static(spark, sf):
     options = ShipOptions(SHOP_LABELS, SHOP_METADATA, SHOP_LINE, static_labels=True, max_items=300)
-    rows = ship(shop_events(spark, sf), options).collect()
+    rows = ship(shop_events(spark, sf), options).payloads.collect()
     assert [r.streams for r in rows] == [1] * 4
     with pytest.raises(ValueError):
         ship(shop_events(spark, sf), ShipOptions("*=%%mdc", static_labels=True))

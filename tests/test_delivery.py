@@ -131,7 +131,7 @@ WANT = [(0, 0, 204, None), (1, 0, None, "ConnectionRefusedError"), (1, 1, None,
 
 
 def test_push_attempts(spark, tmp_path):
-    options = PushOptions(keys=("shard",), username="u", password="p", tenant="t0", min_ms=0, max_ms=0, jitter_ms=0)
+    options = PushOptions(keys=("shard",), run_id="r1", username="u", password="p", tenant="t0", min_ms=0, max_ms=0, jitter_ms=0)
     out = str(tmp_path / "attempts")
     seen = tmp_path / "seen"
     seen.mkdir()
@@ -142,12 +142,25 @@ def test_push_attempts(spark, tmp_path):
     assert sorted(values(judged.filter("state = 'delivered'"), "batch_no")) == [0, 3, 5]
     body, headers = eval((seen / "0-0").read_text())
     assert body == b"body0" and dict(headers) == {
-        "Content-Type": "application/json", "Idempotency-Key": "s/0", "X-Scope-OrgID": "t1",
+        "Content-Type": "application/json", "Idempotency-Key": "r1/s/0", "X-Scope-OrgID": "t1",
         "Authorization": "Basic dTpw", "Retry-Attempt": "0",
     }
     assert dict(eval((seen / "5-0").read_text())[1])["X-Scope-OrgID"] == "t0"
 
 
+def test_every_run_has_its_own_keys():
+    row = {"payload_json": "x", "batch_no": 0}
+    assert PushOptions().headers(row)["Idempotency-Key"] != PushOptions().headers(row)["Idempotency-Key"]
+
+
+def test_retry_errors_do_not_depend_on_numbering(spark):
+    for first in (0, 1, 7):
+        rows = [(5, first + k, 503, None) for k in range(3)]
+        judged = classify_attempts(spark.createDataFrame(rows, "batch_no bigint, attempt int, status int, exception string"))
+        got = attempt_errors(judged, delivery_outcomes(judged), 2)
+        assert sorted(values(got, "stage", "reason", "errors")) == [("retry", "status:503", 2), ("send", "status:503", 1)]
+
+
 def test_push_sink(spark, tmp_path):
     write_push(payloads(spark), recording(str(tmp_path)), NO_WAIT)
     assert len(list(tmp_path.iterdir())) == len(WANT)

@@ -21,16 +21,12 @@ from logbarge.operators.readback import drop_labels, reconcile, select_stream
 from logbarge.sources import read_payloads
 
 
-def line(level, thread, n):
-    return f"l={level} c=test.TestApp t=thread-{thread} | Test message {n}"
-
-
-D, I = {"level": "DEBUG", "app": "my-app"}, {"level": "INFO", "app": "my-app"}
+D, I = {"kind": "audit", "app": "store"}, {"kind": "sale", "app": "store"}
 FOUR = (
-    {"ts_ms": 3000, "nanos_in_ms": 1, "labels": D, "line": line("DEBUG", 2, 2)},
-    {"ts_ms": 1000, "nanos_in_ms": 2, "labels": I, "line": line("INFO", 1, 1)},
-    {"ts_ms": 2000, "nanos_in_ms": 3, "labels": I, "line": line("INFO", 3, 4)},
-    {"ts_ms": 5000, "nanos_in_ms": 4, "labels": I, "line": line("INFO", 1, 3)},
+    {"ts_ms": 86_400_000, "nanos_in_ms": 250, "labels": D, "line": "audit began"},
+    {"ts_ms": 7_250, "nanos_in_ms": 999_999, "labels": I, "line": "sold b-17"},
+    {"ts_ms": 9_001, "nanos_in_ms": 0, "labels": I, "line": "sold c-4"},
+    {"ts_ms": 8_000, "nanos_in_ms": 31, "labels": I, "line": "returned b-17"},
 )
 
 
@@ -55,8 +51,8 @@ def push_request():
 def test_json_payload(spark):
     row = encode_json(cut_by_count(records(spark, *FOUR))).collect()[0]
     want = {"streams": [
-        {"stream": D, "values": [["3000000001", FOUR[0]["line"]]]},
-        {"stream": I, "values": [[t, FOUR[i]["line"]] for i, t in ((1, "1000000002"), (2, "2000000003"), (3, "5000000004"))]},
+        {"stream": D, "values": [["86400000000250", "audit began"]]},
+        {"stream": I, "values": [["7250999999", "sold b-17"], ["9001000000", "sold c-4"], ["8000000031", "returned b-17"]]},
     ]}
     assert json.loads(row.payload_json) == want
     assert row.payload_json == json.dumps(want, separators=(",", ":"))
@@ -64,20 +60,20 @@ def test_json_payload(spark):
 
 
 def test_json_metadata(spark):
-    meta = {"cluster": "clusterA", "traceId": "A875754"}
+    meta = {"order": "77", "till": "north-2"}
     row = encode_json(cut_by_count(records(spark, {"labels": I, "line": "x", "metadata": meta}))).collect()[0]
     assert row.payload_json == (
-        '{"streams":[{"stream":{"level":"INFO","app":"my-app"},"values":[["0000000","x",'
-        '{"cluster":"clusterA","traceId":"A875754"}]]}]}'
+        '{"streams":[{"stream":{"kind":"sale","app":"store"},"values":[["0000000","x",'
+        '{"order":"77","till":"north-2"}]]}]}'
     )
 
 
-SIX = [(105, "INFO", 1, 1), (103, "DEBUG", 2, 2), (100, "INFO", 1, 3), (104, "WARN", 1, 4), (103, "ERROR", 2, 5), (110, "INFO", 2, 6)]
+MOVES = [("sale", 40), ("sale", 12), ("audit", 33), ("return", 12), ("sale", 51), ("audit", 20), ("lost", 60)]
 
 
-def six(spark):
-    df = events(spark, *({"ts_ms": t, "level": l, "thread": f"thread-{h}", "message": f"Test message {n}"} for t, l, h, n in SIX))
-    return project_records(df, "l=%level", "off", "%level | %msg")
+def moves(spark):
+    df = events(spark, *({"ts_ms": t, "level": kind, "message": f"{kind} at {t}"} for kind, t in MOVES))
+    return project_records(df, "k=%level", "off", "%msg")
 
 
 def streams_of(payload):
@@ -85,31 +81,31 @@ def streams_of(payload):
 
 
 def test_order_in_streams(spark):
-    row = encode_json(cut_by_count(six(spark), max_items=6)).collect()[0]
+    """Streams are grouped, entries stay in arrival order whatever their time."""
+    row = encode_json(cut_by_count(moves(spark), max_items=7)).collect()[0]
     assert streams_of(row.payload_json) == {
-        '{"l": "INFO"}': [105, 100, 110], '{"l": "DEBUG"}': [103], '{"l": "WARN"}': [104], '{"l": "ERROR"}': [103]
+        '{"k": "sale"}': [40, 12, 51], '{"k": "audit"}': [33, 20], '{"k": "return"}': [12], '{"k": "lost"}': [60]
     }
-    fixed = static_labels(six(spark))
-    row = encode_json(cut_by_count(fixed, max_items=6), static=True).collect()[0]
-    assert streams_of(row.payload_json) == {'{"l": "INFO"}': [105, 103, 100, 104, 103, 110]}
-    assert (row.streams, row.items) == (1, 6)
+    row = encode_json(cut_by_count(static_labels(moves(spark)), max_items=7), static=True).collect()[0]
+    assert streams_of(row.payload_json) == {'{"k": "sale"}': [t for _, t in MOVES]}
+    assert (row.streams, row.items) == (1, 7)
 
 
 def test_text_payload(spark):
-    rec = project_records(three_events(spark), "level=%level\napp=my-app", "off", LINE)
+    rec = project_records(three_events(spark), "level=%level\napp=store", "off", LINE)
     text = encode_text(cut_by_count(rec, max_items=3)).collect()[0].payload_text
     assert text == (
-        "{level=INFO, app=my-app} %%% {} %%% ts=100 l=INFO c=test.TestApp t=thread-1 | Test message 1 \n"
-        "{level=INFO, app=my-app} %%% {} %%% ts=107 l=INFO c=test.TestApp t=thread-1 | Test message 3 \n"
-        "{level=WARN, app=my-app} %%% {} %%% ts=104 l=WARN c=test.TestApp t=thread-2 | Test message 2 \n"
+        "{level=INFO, app=store} %%% {} %%% ts=5000 INFO/worker-1 shop.cart.Basket: basket opened; \n"
+        "{level=INFO, app=store} %%% {} %%% ts=5300 INFO/worker-1 shop.cart.Basket: basket paid; \n"
+        "{level=WARN, app=store} %%% {} %%% ts=5020 WARN/worker-9 shop.cart.Basket: stock is low; \n"
     )
 
 
 def test_varints(spark):
-    numbers = [0, 1, 127, 128, 300, 16383, 16384, 70000, 2**21, 2**28 - 1, 2**28, 2**34, 2**35 - 1, 2**55]
+    numbers = [0, 1, 127, 128, 300, 16383, 16384, 70000, 2**21, 2**28 - 1, 2**28, 2**34, 2**35 - 1, 2**55, 2**56, 2**62, 2**63 - 1, -1, -1500, -(2**63)]
     df = spark.createDataFrame([(n,) for n in numbers], "n bigint")
-    for n, b in values(df.select("n", F.expr(varint("n", 8)).alias("b")), "n", "b"):
-        out = bytearray()
+    for n, b in values(df.select("n", F.expr(varint("n", 10)).alias("b")), "n", "b"):
+        out, n = bytearray(), n % 2**64
         while True:
             out.append(n & 127 | (128 if n > 127 else 0))
             n >>= 7
@@ -127,10 +123,10 @@ def test_proto_payload(spark):
     Push = push_request()
     got = Push.FromString(payload)
     assert [s.labels for s in got.streams] == [
-        '{level="DEBUG",app="my-app"}', '{level="INFO",app="my-app"}', '{q="say \\"hi\\" \\"}', '{q="z"}'
+        '{kind="audit",app="store"}', '{kind="sale",app="store"}', '{q="say \\"hi\\" \\"}', '{q="z"}'
     ]
     assert [(e.time.seconds, e.time.nanos, e.line) for s in got.streams[:2] for e in s.entries] == [
-        (3, 1, FOUR[0]["line"]), (1, 2, FOUR[1]["line"]), (2, 3, FOUR[2]["line"]), (5, 4, FOUR[3]["line"])
+        (86400, 250, "audit began"), (7, 250_999_999, "sold b-17"), (9, 1_000_000, "sold c-4"), (8, 31, "returned b-17")
     ]
     e = got.streams[2].entries[0]
     assert (e.time.seconds, e.time.nanos, e.line) == (1704067207, 179575000, "ю" * 20000)
@@ -143,6 +139,22 @@ def test_proto_payload(spark):
     assert bytes(decompress_snappy(packed).collect()[0].payload_bin) == payload
 
 
+def test_times_of_any_age(spark):
+    """Times before 1970 and far too late ones: every entry is written and the message decodes."""
+    times = [-1500, -1, 0, 1_700_000_000_000_000, -(2**53)]
+    row = encode_proto(cut_by_count(records(spark, *({"ts_ms": t, "labels": I, "line": str(t)} for t in times)))).collect()[0]
+    got = [(e.time.seconds * 1000 + e.time.nanos // 10**6, e.line) for s in push_request().FromString(bytes(row.payload_bin)).streams for e in s.entries]
+    assert got == [(t, str(t)) for t in times] and row["items"] == len(times) and row.encode_error is None
+
+
+@pytest.mark.parametrize("encode, payload", [(encode_json, "payload_json"), (encode_proto, "payload_bin"), (encode_text, "payload_text")])
+def test_a_bad_value_fails_its_batch_only(spark, encode, payload):
+    rows = ({"labels": I, "line": "a"}, {"labels": I, "line": None}, {"labels": D, "line": "b"}, {"labels": I, "line": "c"}, {"ts_ms": None, "line": "d"})
+    good, bad = split_encode_errors(encode(cut_by_count(records(spark, *rows), max_items=2)), payload)
+    assert values(good, "batch_no", "items") == [(1, 2)]
+    assert sorted(values(bad, "batch_no", "reason")) == [(0, "no line"), (2, "no time")]
+
+
 def test_selector(spark):
     df = spark.sql("""select map('a', 'x"y', 'b', 'p\\\\q\n') as m""")
     assert values(df.select(selector("m").alias("s")), "s") == ['{a="x\\"y",b="p\\q\n"}']
@@ -156,7 +168,7 @@ def test_roundtrip(spark):
     assert sorted(values(back, *key)) == sorted(values(cut, *key))
     assert values(back.filter("ts_ms = 7"), "metadata", "labels") == [({"k": "v\n"}, {"q": "1"})]
     assert set(values(reconcile(cut, back), "missing", "extra")) == {(0, 0)}
-    lost = reconcile(cut, back.filter("ts_ms <> 2000").unionAll(back.filter("ts_ms = 7")))
+    lost = reconcile(cut, back.filter("ts_ms <> 9001").unionAll(back.filter("ts_ms = 7")))
     assert sorted(values(lost, "sent", "stored", "missing", "extra")) == [(1, 1, 0, 0), (1, 2, 0, 1), (3, 2, 1, 0)]
 
 

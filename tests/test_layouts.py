@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from logbarge.functions import array_field, field, json_object, json_quote, json_value, raw_field
 from logbarge.operators.layouts import FieldSpec, JsonLayout, MapSpec, format_json
 
-E1 = {"ts_ms": 100, "logger": "io.test.TestApp", "thread": "main", "message": "m1-line1\r\nline2\r\n"}
-PAIRS = {"kvp": '{"property1":"value1","property2":"value2"}'}
-MDC = {"mdc": {"property1": "value1", "property2": "value2"}}
+E1 = {"ts_ms": 5000, "logger": "eu.shop.Basket", "thread": "worker-1", "message": "paid\t12.50\r\nthanks \"Ada\"\n"}
+PAIRS = {"kvp": '{"qty":"3","sku":"b-17"}'}
+MDC = {"mdc": {"qty": "3", "sku": "b-17"}}
 NONE = JsonLayout().only()
 
 
@@ -23,18 +23,18 @@ def q(text):
 
 def test_standard_fields(spark):
     assert render(spark, E1, JsonLayout()) == q(
-        r"{'timestamp_ms':100,'logger_name':'io.test.TestApp','level':'INFO','thread_name':'main',"
-        r"'message':'m1-line1\r\nline2\r\n'}"
+        r"{'timestamp_ms':5000,'logger_name':'eu.shop.Basket','level':'INFO','thread_name':'worker-1',"
+        r"'message':'paid\t12.50\r\nthanks \'Ada\'\n'}"
     )
     assert render(spark, E1, NONE) == "{}"
-    layout = JsonLayout(logger=FieldSpec("class"), logger_length=11).only("logger", "level")
-    assert render(spark, E1, layout) == q("{'class':'i.t.TestApp','level':'INFO'}")
+    layout = JsonLayout(logger=FieldSpec("class"), logger_length=12).only("logger", "level")
+    assert render(spark, E1, layout) == q("{'class':'e.s.Basket','level':'INFO'}")
     assert render(spark, {**E1, "thread": None}, JsonLayout().only("thread")) == q("{'thread_name':null}")
 
 
 def test_custom_fields_come_last(spark):
-    layout = JsonLayout(custom=(field("msg_length", F.length("message"), "number"),)).only("message")
-    assert render(spark, {"message": "m2-line1"}, layout) == q("{'message':'m2-line1','msg_length':8}")
+    layout = JsonLayout(custom=(field("is_long", F.length("message") > 4, "boolean"),)).only("message")
+    assert render(spark, {"message": "stock"}, layout) == q("{'message':'stock','is_long':true}")
 
 
 def test_stack_trace(spark):
@@ -48,10 +48,10 @@ def test_stack_trace(spark):
 @pytest.mark.parametrize(
     "spec, want",
     [
-        (MapSpec("kvp_"), "{'kvp_property1':'value1','kvp_property2':'value2'}"),
-        (MapSpec("key_value_", include=("property1",)), "{'key_value_property1':'value1'}"),
-        (MapSpec("kvp_", no_prefix=True, include=("property1",)), "{'property1':'value1'}"),
-        (MapSpec("kvp_", include=("property1", "property2"), exclude=("property1",)), "{'kvp_property2':'value2'}"),
+        (MapSpec("kvp_"), "{'kvp_qty':'3','kvp_sku':'b-17'}"),
+        (MapSpec("item.", include=("qty", "none")), "{'item.qty':'3'}"),
+        (MapSpec("kvp_", no_prefix=True, exclude=("qty",)), "{'sku':'b-17'}"),
+        (MapSpec("kvp_", include=("sku", "qty"), exclude=("sku",)), "{'kvp_qty':'3'}"),
         (MapSpec("kvp_", include=("none",)), "{}"),
     ],
 )
@@ -69,32 +69,32 @@ def test_same_name_twice(spark):
 
 
 def test_serializer(spark):
-    def arrays(name, value):
-        return F.concat(json_quote(F.concat(name, F.lit("_arr"))), F.lit(":["), json_quote(name), F.lit(","),
-                        json_value(value), F.lit("]"))
+    def both(name, value):
+        return F.concat(json_quote(F.concat(F.lit("both_"), name)), F.lit(":{"), json_quote(name), F.lit(":"), json_value(value), F.lit("}"))
 
-    layout = JsonLayout(kvp=MapSpec("kvp_", serializer=arrays)).only("kvp")
-    assert render(spark, PAIRS, layout) == q(
-        "{'kvp_property1_arr':['kvp_property1','value1'],'kvp_property2_arr':['kvp_property2','value2']}"
-    )
+    layout = JsonLayout(kvp=MapSpec("k_", serializer=both)).only("kvp")
+    assert render(spark, PAIRS, layout) == q("{'both_k_qty':{'k_qty':'3'},'both_k_sku':{'k_sku':'b-17'}}")
 
 
 def test_list_of_structs(spark):
-    rows = F.from_json(F.lit('[{"n":"Aaaa","a":10},{"n":"Bbbb","a":20}]'), "array<struct<n:string,a:int>>")
-    fragment = array_field("kvp_prop", rows, lambda r: json_object(field("name", r["n"]), field("age", r["a"], "number")))
+    rows = F.from_json(F.lit('[{"s":"b-17","n":3},{"s":null,"n":1}]'), "array<struct<s:string,n:int>>")
+    fragment = array_field("items", rows, lambda r: json_object(field("sku", r["s"]), field("qty", r["n"], "number")))
     assert values(spark.range(1).select(json_object(fragment).alias("d")), "d") == [
-        q("{'kvp_prop':[{'name':'Aaaa','age':10},{'name':'Bbbb','age':20}]}")
+        q("{'items':[{'sku':'b-17','qty':3},{'sku':null,'qty':1}]}")
     ]
 
 
 @pytest.mark.parametrize(
     "text, want",
     [
-        ('"abc"', '"abc"'), ("123", "123"), ("-7", "-7"), ("false", "false"), ("null", "null"), ("0.987", '"0.987"'),
-        ('{"arr":[1,2,3],"val":null}', '{"arr":[1,2,3],"val":null}'), ('["one","two","three"]', '["one","two","three"]'),
-        ("[1,2,3]", "[1,2,3]"), ("[]", "[]"), ("[1,2.5,[3.25,4]]", '[1,"2.5",["3.25",4]]'),
+        ('"red"', '"red"'), ("48", "48"), ("-7", "-7"), ("true", "true"), ("null", "null"), ("12.5", '"12.5"'),
+        ('{"none":null,"sizes":[4,4.5]}', '{"none":null,"sizes":[4,4.5]}'), ('["red","blue"]', '["red","blue"]'),
+        ("[4,8]", "[4,8]"), ("[]", "[]"), ("[1,2.5,[3.25,4]]", '[1,"2.5",["3.25",4]]'),
         ('["1.5",1.5,"a,2.5,b",-0.25]', '["1.5","1.5","a,2.5,b","-0.25"]'), ('"1.5"', '"1.5"'),
         ('["q\\"1.5",1.5]', '["q\\"1.5","1.5"]'), ('[{"x":1.5},2.5,[{"y":[0.5]},0.5]]', '[{"x":1.5},"2.5",[{"y":[0.5]},"0.5"]]'),
+        ('[[[[[[{"x":1.5},2.5]]]]],"}"]', '[[[[[[{"x":1.5},"2.5"]]]]],"}"]'), ("9223372036854775807", "9223372036854775807"),
+        ("9223372036854775808", '"9223372036854775808"'), ("[-12345678901234567890123,7]", '["-12345678901234567890123",7]'),
+        ('"12345678901234567890123"', '"12345678901234567890123"'),
     ],
 )
 def test_typed_values(spark, text, want):
@@ -112,18 +112,18 @@ def test_typed_values_not_from_json(spark):
 
 
 def test_raw_fields(spark):
-    df = lit(spark, '{"arr":[1,2,3],"val":"строка"}')
+    df = lit(spark, '{"sizes":[4,8],"note":"žluť"}')
     assert values(df.select(json_object(raw_field("raw", "s")).alias("j")), "j") == [
-        '{"raw":{"arr":[1,2,3],"val":"строка"}}'
+        '{"raw":{"sizes":[4,8],"note":"žluť"}}'
     ]
     assert values(lit(spark, None).select(json_object(raw_field("raw", "s")).alias("j")), "j") == ["{}"]
     assert values(lit(spark, "{oops").select(json_object(raw_field("raw", "s", checked=True)).alias("j")), "j") == ["{}"]
 
 
 def test_quoting(spark):
-    text = 'спец !@#$%^&*()" \n\tсимволы <>?/\\№ё:{}[]🏁'
+    text = 'naïve "quotes" \\ slash/\t[tab]\nžluť {🚚}'
     assert values(lit(spark, text).select(json_quote("s").alias("j")), "j") == [
-        '"спец !@#$%^&*()\\" \\n\\tсимволы <>?/\\\\№ё:{}[]🏁"'
+        '"naïve \\"quotes\\" \\\\ slash/\\t[tab]\\nžluť {🚚}"'
     ]
     every = "".join(chr(c) for c in range(0, 256)) + "[] "
     got = values(lit(spark, every).select(json_quote("s").alias("j")), "j")[0]

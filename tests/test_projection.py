@@ -9,18 +9,20 @@ from logbarge.operators.projection import (
     project_records,
     read_pairs,
     read_rules,
+    split_bad,
     static_labels,
 )
+from logbarge.operators.sizing import split_oversize
 from logbarge.sources.events import record_time, wire_time
 
 
 def test_labels_and_text(spark):
-    rec = project_records(three_events(spark), "level=%level\napp=my-app", "off", LINE)
+    rec = project_records(three_events(spark), "level=%level\napp=store", "off", LINE)
     rows = rec.orderBy("seq").collect()
     assert [r.labels for r in rows] == [
-        {"level": "INFO", "app": "my-app"}, {"level": "WARN", "app": "my-app"}, {"level": "INFO", "app": "my-app"}
+        {"level": "INFO", "app": "store"}, {"level": "WARN", "app": "store"}, {"level": "INFO", "app": "store"}
     ]
-    assert rows[0].line == "l=INFO c=test.TestApp t=thread-1 | Test message 1 "
+    assert rows[0].line == "INFO/worker-1 shop.cart.Basket: basket opened; "
     assert all(r.metadata == {} for r in rows)
 
 
@@ -32,7 +34,7 @@ def test_metadata_switch(spark, switch):
 def test_default_message_appends_trace(spark):
     df = events(spark, {"message": "boom", "stack_trace": "E: x\n\tat a\n\tat b\n"})
     rec = project_records(df, "a=b", None)
-    assert values(rec, "line") == ["[thread-1] test.TestApp - boom\nE: x\n\tat a\n\tat b\n"]
+    assert values(rec, "line") == ["[worker-1] shop.cart.Basket - boom\nE: x\n\tat a\n\tat b\n"]
     rec = project_records(df, "a=b", None, "%msg %ex{1}")
     assert values(rec, "line") == ["boom E: x\n\tat a\n"]
     # labels never get the trace on top
@@ -44,23 +46,17 @@ def test_duplicate_key_keeps_first_position(spark):
     assert ordered(rec, "labels") == [("a", "3"), ("b", "2")]
 
 
-BULK = {
-    "kvp": '{"kvp1":"kvpValue1","kvp2":"kvpValue2"}',
-    "mdc": {"mdc1": "mdcValue1", "mdc2": "mdcValue2"},
-    "thread": "thread-2",
-}
+BULK = {"kvp": '{"qty":"3","sku":"b-17"}', "mdc": {"user": "ada", "tenant": "north"}, "thread": "worker-4"}
 
 
 @pytest.mark.parametrize(
     "labels, metadata, event, want_labels, want_metadata",
     [
-        ("* = %%mdc\nc=%logger", "t=%thread\n*=%%kvp", BULK,
-         {"c": "test.TestApp", "mdc1": "mdcValue1", "mdc2": "mdcValue2"},
-         {"t": "thread-2", "kvp1": "kvpValue1", "kvp2": "kvpValue2"}),
-        ("* = %%mdc\nc=%logger", "t=%thread\n*=%%kvp", {"thread": "thread-2"},
-         {"c": "test.TestApp"}, {"t": "thread-2"}),
-        ("kvp_*=%%kvp{kvp1}\nc=%logger", "t=%thread\nmdc_* != %%mdc { mdc2 }", BULK,
-         {"c": "test.TestApp", "kvp_kvp1": "kvpValue1"}, {"t": "thread-2", "mdc_mdc1": "mdcValue1"}),
+        ("lg=%logger\n*=%%mdc", "*=%%kvp\nth=%thread", BULK,
+         {"lg": "shop.cart.Basket", "user": "ada", "tenant": "north"}, {"th": "worker-4", "qty": "3", "sku": "b-17"}),
+        ("lg=%logger\n*=%%mdc", "*=%%kvp\nth=%thread", {"thread": "worker-4"}, {"lg": "shop.cart.Basket"}, {"th": "worker-4"}),
+        ("item.*=%%kvp{qty}\nlg=%logger", "th=%thread\nctx.* ! = %%mdc {user, other}", BULK,
+         {"lg": "shop.cart.Basket", "item.qty": "3"}, {"th": "worker-4", "ctx.tenant": "north"}),
     ],
 )
 def test_bulk_rules(spark, labels, metadata, event, want_labels, want_metadata):
@@ -89,12 +85,12 @@ def marker(kind, **kv):
 @pytest.mark.parametrize(
     "markers, labels, metadata",
     [
-        ([marker("label", stcmrk="stat-val")], {"l": "INFO", "stcmrk": "stat-val"}, {"t": "thread-1"}),
-        ([marker("label", m1="v1", m2="v2")], {"l": "INFO", "m1": "v1", "m2": "v2"}, {"t": "thread-1"}),
-        ([marker("metadata", mrk="v")], {"l": "INFO"}, {"t": "thread-1", "mrk": "v"}),
-        ([marker("label", label="a"), marker("metadata", meta="b"), marker("label", no="no")],
-         {"l": "INFO", "label": "a"}, {"t": "thread-1", "meta": "b"}),
-        (None, {"l": "INFO"}, {"t": "thread-1"}),
+        ([marker("label", region="eu")], {"l": "INFO", "region": "eu"}, {"t": "worker-1"}),
+        ([marker("label", region="eu", zone="2")], {"l": "INFO", "region": "eu", "zone": "2"}, {"t": "worker-1"}),
+        ([marker("metadata", order="77")], {"l": "INFO"}, {"t": "worker-1", "order": "77"}),
+        ([marker("label", region="eu"), marker("metadata", order="77"), marker("label", late="x")],
+         {"l": "INFO", "region": "eu"}, {"t": "worker-1", "order": "77"}),
+        (None, {"l": "INFO"}, {"t": "worker-1"}),
     ],
 )
 def test_markers(spark, markers, labels, metadata):
@@ -102,7 +98,7 @@ def test_markers(spark, markers, labels, metadata):
     row = project_records(df, "l=%level", "t=%thread", read_markers=True).collect()[0]
     assert row.labels == labels and row.metadata == metadata
     row = project_records(df, "l=%level", "t=%thread").collect()[0]
-    assert row.labels == {"l": "INFO"} and row.metadata == {"t": "thread-1"}
+    assert row.labels == {"l": "INFO"} and row.metadata == {"t": "worker-1"}
 
 
 def test_merge_keeps_position(spark):
@@ -123,17 +119,14 @@ def test_static_labels(spark):
 
 
 PAIR_CASES = [
-    ("", ",", "=", None),
-    ('level=,app="my"app', ",", "=", None),
-    ('level=%level app="my"app', ",", "=", None),
-    (',,level=%level,,app="my"app,', ",", "=", [("level", "%level"), ("app", '"my"app')]),
-    ('\tlevel = %level,\n\tapp="my"app,\n', ",", "=", [("level", "%level"), ("app", '"my"app')]),
-    ('\n\n// level is label\nlevel=%level\n// another comment\n\napp="my"app\n\n// end comment',
-     "regex:(\n|//[^\n]+)+", "=", [("level", "%level"), ("app", '"my"app')]),
-    ('\r\nlevel=%level\rthread=t1\napp="my"app\n\r\r\r', "regex:\n|\r", "=",
-     [("level", "%level"), ("thread", "t1"), ("app", '"my"app')]),
-    ('level:%level;app:"my"app;test:test', ";", ":", [("level", "%level"), ("app", '"my"app'), ("test", "test")]),
-    ('level.%level|app."my"app|test.test', "|", ".", [("level", "%level"), ("app", '"my"app'), ("test", "test")]),
+    ("   ", ";", ":", None),
+    ("colour:;size:xl", ";", ":", None),
+    ("colour:red size:xl", ";", ":", None),
+    (";;colour: red ; size :xl;;", ";", ":", [("colour", "red"), ("size", "xl")]),
+    ("# palette\ncolour=red\n\n# end\n size\t=\txl", "regex:(?:\n|#[^\n]*)+", "=", [("colour", "red"), ("size", "xl")]),
+    ("colour=red\rsize=xl\r\n\n", "regex:\n|\r", "=", [("colour", "red"), ("size", "xl")]),
+    ("a*1+b*2", "+", "*", [("a", "1"), ("b", "2")]),
+    ("a?1^b?2", "^", "?", [("a", "1"), ("b", "2")]),
     ("a= ", ",", "=", [("a", "")]),
     ("=v", ",", "=", [("", "v")]),
     ("a=b=", ",", "=", [("a", "b")]),
@@ -156,21 +149,59 @@ def test_pairs_of_text(spark, text, pair_sep, kv_sep, want):
         assert read_pairs(text, pair_sep, kv_sep) == want
 
 
-def test_rule_texts():
-    r = bulk_rule("mdc_*", "%%mdc")
-    assert (r.prefix, r.func, r.include, r.exclude) == ("mdc_", "mdc", frozenset(), frozenset())
-    assert bulk_rule("*", "%%mdc{key1, key2}").include == {"key1", "key2"}
-    assert bulk_rule("mdc_*!", "%%mdc{key1,key2}").exclude == {"key1", "key2"}
-    r = bulk_rule("* !", "%%mdc{ }")
-    assert (r.prefix, r.include, r.exclude) == ("", frozenset(), frozenset())
-    r = bulk_rule(" * ", "%%mdc { key1 }")
-    assert (r.prefix, r.func, r.include) == ("", "mdc", {"key1"})
-    for key, value in (("mdc_", "%%mdc{a}"), ("mdc_*", "%mdc{a}"), ("mdc_*", "%%mdc{a},b")):
-        with pytest.raises(ValueError):
-            bulk_rule(key, value)
+@pytest.mark.parametrize(
+    "key, value, want",
+    [
+        ("*", "%%kvp", ("kvp", "", set(), set())),
+        ("ctx.*", "%%mdc", ("mdc", "ctx.", set(), set())),
+        ("ctx.*", "%%mdc{user}", ("mdc", "ctx.", {"user"}, set())),
+        ("a*b*  ", "%%MDC{ user ,, tenant}", ("MDC", "a*b", {"user", "tenant"}, set())),
+        ("ctx.*!", "%%mdc{user,tenant}", ("mdc", "ctx.", set(), {"user", "tenant"})),
+        ("ctx.*  !", "%% kvp {}", ("kvp", "ctx.", set(), set())),
+    ],
+)
+def test_rule_texts(key, value, want):
+    r = bulk_rule(key, value)
+    assert (r.func, r.prefix, r.include, r.exclude) == want
+
+
+@pytest.mark.parametrize(
+    "key, value",
+    [("ctx.", "%%mdc"), ("ctx.*x", "%%mdc"), ("ctx.*!!", "%%mdc"), ("*", "mdc"), ("*", "%mdc"), ("*", "%%"),
+     ("*", "%%mdc{a"), ("*", "%%mdc{a}b"), ("*", "%%mdc{a}{b}")],
+)
+def test_broken_rule_texts(key, value):
+    with pytest.raises(ValueError):
+        bulk_rule(key, value)
+
+
+def test_rules_of_text():
     with pytest.raises(ValueError):
-        read_rules("*=%%ctx")
-    assert [b.func for b in read_rules("level=%level\n*=%%mdc{vendor}\n*=%%kvp").bulks] == ["mdc", "kvp"]
+        read_rules("*=%%session")
+    rules = read_rules("*=%%kvp{sku}\nhost=h1\nc*=%%mdc")
+    assert [b.func for b in rules.bulks] == ["kvp", "mdc"] and dict(rules.named) == {"host": "h1"}
+
+
+def test_nulls_lose_no_event(spark):
+    """A null word is empty text; a null shard, time, order or line is a bad record with a reason."""
+    df = events(spark, {"thread": None, "message": None}, {"ts_ms": None}, {"seq": None}, {"level": None, "logger": None})
+    df = df.withColumn("shard", F.when(F.col("seq") != 3, "s"))
+    rec = project_records(df, "t=%thread", {"x": F.lit(None)}, keep=["shard"])
+    assert values(rec.where("seq = 0"), "line", "labels", "metadata") == [("[] shop.cart.Basket - \n", {"t": ""}, {"x": ""})]
+    good, bad = split_bad(rec, ["shard"])
+    assert values(good, "seq") == [0]
+    assert sorted(values(bad, "reason")) == ["no order", "no shard", "no time"]
+    lost = project_records(df, "a=b", None, F.lit(None).cast("string"), keep=["shard"])
+    assert "no line" in values(split_bad(lost, ["shard"])[1], "reason")
+    kept, refused = split_oversize(lost)
+    assert (kept.count(), refused.count()) == (0, 4)
+
+
+def test_static_labels_with_a_null_shard(spark):
+    df = events(spark, {"level": "INFO"}, {"level": "WARN"}, {"level": "ERROR"}).withColumn("shard", F.when(F.col("seq") == 0, "s"))
+    rec = project_records(df, "l=%level", "off", "%msg", keep=["shard"])
+    assert sorted(values(static_labels(rec, keys=["shard"]), "seq")) == [0, 1, 2]
+    assert values(static_labels(rec, keys=["shard"]).where("seq = 2"), "labels") == [{"l": "WARN"}]
 
 
 def test_unknown_word_is_refused(spark):
@@ -181,10 +212,9 @@ def test_unknown_word_is_refused(spark):
 @pytest.mark.parametrize(
     "name, n, want",
     [
-        ("io.test.TestApp", -1, "io.test.TestApp"), ("io.test.TestApp", 0, "TestApp"),
-        ("io.test.TestApp", 11, "i.t.TestApp"), ("test.TestApp", 8, "t.TestApp"),
-        ("test.TestApp", 20, "test.TestApp"), ("io.test.TestApp", 15, "i.test.TestApp"),
-        ("TestApp", 3, "TestApp"), ("TestApp", 0, "TestApp"), ("a.b.C", 1, "a.b.C"),
+        ("eu.shop.Basket", -1, "eu.shop.Basket"), ("eu.shop.Basket", 0, "Basket"), ("eu.shop.Basket", 1, "e.s.Basket"),
+        ("eu.shop.Basket", 12, "e.s.Basket"), ("eu.shop.Basket", 13, "e.shop.Basket"), ("eu.shop.Basket", 14, "e.shop.Basket"),
+        ("eu.shop.Basket", 15, "eu.shop.Basket"), ("Basket", 3, "Basket"), ("Basket", 0, "Basket"), ("a.b.C", 1, "a.b.C"),
     ],
 )
 def test_logger_names(spark, name, n, want):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logbarge.operators.batching import cut_batches
 from logbarge.sinks import PushOptions, push_sink
 from logbarge.sources import stream_events
-from logbarge.streaming import StageTimes, cut_batches_stream, stage_times
+from logbarge.streaming import StageTimes, cut_batches_stream, drain_open, stage_times, use_rocksdb
 
 SCHEMA = "seq bigint, shard string, ts_ms bigint, nanos_in_ms int, level string, line string"
 
@@ -35,6 +35,11 @@ def run(query_df, path, **trigger):
             .trigger(**trigger).start())
 
 
+@pytest.fixture(scope="module", autouse=True)
+def rocksdb(spark):
+    use_rocksdb(spark)
+
+
 @pytest.fixture(scope="module")
 def parts(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("parts"))
@@ -52,6 +57,11 @@ def test_same_batches_as_the_table(spark, parts, tmp_path):
     key = ("shard", "seq", "batch_no", "condition", "line")
     assert sorted(values(got, *key)) == sorted(values(table, *key))
     assert {"MAX_ITEMS", "MAX_BYTES"} == set(values(got, "condition"))
+    every = cut_batches(as_records(spark.read.schema(SCHEMA).json(parts)), ["shard"], max_items=9, max_bytes=350)
+    drained = drain_open(spark, f"{tmp_path}/state", ["shard"])
+    assert values(drained.select("condition").distinct(), "condition") == ["DRAIN"]
+    assert sorted(values(got.unionByName(drained), *key)) == sorted(values(every, *key))
+    assert sorted(values(drained.where("seq = 399"), "labels")) == [{"level": "l3"}]
     times = stage_times(spark, query)
     assert times.select("trigger_no").distinct().count() >= 4
     assert {"addBatch", "triggerExecution"} <= set(values(times, "stage"))
