@@ -17,6 +17,7 @@ from logbarge.llm.prob_minhash import deduplicated
 from logbarge.llm.queries import WEIGHTS
 from logbarge.llm.secret_scan import redact_secrets
 from logbarge.llm.slack_packing import pack_tokens
+from logbarge.settings import own_shared_folder
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder before the next."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(own_shared_folder(spark), sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):

@@ -33,6 +33,8 @@ MAX_RATE = 600.0  # beyond it exp(-rate) leaves the range of doubles
 
 def poisson_steps(rate: float) -> list[float]:
     """P(N <= 0), P(N <= 1), .. until the mass beyond is under 2^-60 (Chernoff bound)."""
+    if rate == 0:
+        return [1.0]
     term, total, out, k = math.exp(-rate), 0.0, [], 0
     while True:
         total += term
