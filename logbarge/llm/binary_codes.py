@@ -13,10 +13,13 @@ a band in common meet. The bits per band follow from the number of vectors (buck
 ``bucket`` random vectors), the number of bands from the recall wanted at the threshold, where two
 vectors agree in a bit with probability 1 - angle / pi. Recall grows quickly above it.
 
-Equal vectors are folded first, with their number as weight. A bucket of any size is cut into
-blocks, and a task compares one pair of blocks as matrices; no pair becomes a row: a task returns,
-per vector, its number of new links and the least vector it hangs together with in that block pair.
-A pair that meets in several bands counts in the first of them only.
+Equal vectors are folded first, with their number as weight. Crowds of near-equal vectors are folded
+next: in each bucket of more than a block, members within half the threshold's angle of one of a few
+leaders form its ball; any two of a ball are within the whole angle (the angle is a metric), so all
+of them are linked and need no comparison. What remains of a bucket, pairs with at least one member
+outside its ball, is cut into blocks, and a task compares one pair of blocks as matrices. No pair
+becomes a row: a task returns, per vector, its number of new links and the least vector it hangs
+together with in that block pair. A pair that meets in several bands counts in the first only.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component have no link
 and are their own component; vectors of different lengths are not compared; rows with equal ids
@@ -40,8 +43,8 @@ from pyspark.sql import types as T
 from .common import pick, written
 from .components import connected_components
 
-#: Vectors per block of a bucket.
-BLOCK = 1024
+#: Vectors per block of a bucket, and leaders tried in a bucket of more than one block.
+BLOCK, LEADERS = 1024, 8
 SEED = 20240607
 
 
@@ -93,9 +96,9 @@ class Codes:
 
 
 def block_links(
-    units: np.ndarray, keys: np.ndarray, band: int, own: np.ndarray, threshold: float, sigmas: float
+    units: np.ndarray, keys: np.ndarray, band: int, own: np.ndarray, ball: np.ndarray, threshold: float, sigmas: float
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (places) of one bucket's block pair that meet in no earlier band.
+    """Linked pairs (places) of one bucket's block pair that share no ball (-1: none) and no earlier band.
 
     ``own`` is 0 for rows of the first block and 1 for those of the second; if only one of the two
     occurs, the block is compared with itself.
@@ -111,6 +114,8 @@ def block_links(
         i, j = i + a.start, j + b.start
         if not crossed:
             i, j = i[i < j], j[i < j]
+        apart = (ball[i] != ball[j]) | (ball[i] < 0)
+        i, j = i[apart], j[apart]
         if len(i):
             near = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
             i, j = i[near], j[near]
@@ -148,7 +153,7 @@ def compare_blocks(rows: DataFrame, bits: int, bands: int, threshold: float, sig
         vectors = np.frombuffer(b"".join(group["vector"]), "<f8").reshape(len(group), -1)
         units = unit_vectors(vectors)
         keys = band_values(units, bits, int(group["band"].iloc[0]) or 1)
-        i, j = block_links(units, keys, int(group["band"].iloc[0]), group["own"].to_numpy(), threshold, sigmas)
+        i, j = block_links(units, keys, int(group["band"].iloc[0]), group["own"].to_numpy(), group["ball"].to_numpy(), threshold, sigmas)
         if not len(i):
             return None
         weight, uids = group["weight"].to_numpy(), group["uid"].to_numpy()
@@ -180,6 +185,29 @@ def compare_blocks(rows: DataFrame, bits: int, bands: int, threshold: float, sig
     return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInPandas(run, LINKS)
 
 
+def ball_members(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
+    """(uid, ball): vectors within half the threshold's angle of a leader; of several, the most common one."""
+    half = math.cos(math.acos(threshold) / 2) + 1e-9
+    side = keyed.select("uid", "vector", "dims")
+    joined = pairs.join(side, "uid").join(side.select(F.col("uid").alias("leader"), F.col("vector").alias("center")), "leader")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            dims = np.array(batch["dims"].to_pylist(), int)
+            ends = [batch[c].to_pylist() for c in ("vector", "center")]
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                a, b = (unit_vectors(np.frombuffer(b"".join(e[k] for k in at), "<f8").reshape(len(at), d)) for e in ends)
+                keep[at] = np.einsum("ij,ij->i", a, b) >= half
+            yield batch.select(["uid", "leader"]).filter(pa.array(keep))
+
+    inside = written(joined.select("uid", "leader", "dims", "vector", "center").mapInArrow(near, "uid long, leader long"), "near-leaders")
+    sizes = inside.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
+    chosen = F.max_by("leader", F.struct("n", -F.col("leader"))).alias("ball")
+    return inside.join(sizes, "leader").groupBy("uid").agg(chosen)
+
+
 def banded(classes: DataFrame, bits: int, bands: int) -> DataFrame:
     """uid, weight, vector, dims and the array of band keys, one row per different vector."""
 
@@ -227,16 +255,34 @@ def near_vectors(
     keyed = written(banded(folded, bits, bands), "banded-vectors")
 
     member = keyed.select("uid", "dims", F.posexplode("keys").alias("band", "key"))
-    sizes = member.groupBy("dims", "band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")
-    placed = member.join(sizes, ["dims", "band", "key"]).withColumn("blocks", blocks).withColumn("mine", own)
-    placed = placed.select("uid", "dims", "band", "key", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    placed = placed.select(
-        "uid", "dims", "band", "key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+    bucket = ["dims", "band", "key"]
+    drawn = [F.min_by("uid", F.xxhash64("uid", F.lit(k))) for k in range(LEADERS)]
+    sizes = member.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(*drawn)).alias("leaders"))
+    sizes = written(sizes.where("n > 1"), "vector-buckets")
+    crowded = sizes.where(F.col("n") > BLOCK)
+    pairs = member.join(crowded, bucket).select("uid", F.explode("leaders").alias("leader")).distinct()
+    balls = written(ball_members(pairs, keyed, threshold), "balls")
+
+    placed = member.join(balls.select("uid", "ball"), "uid", "left").withColumn("ball", F.coalesce("ball", F.lit(-1).cast("long")))
+    main = placed.where("ball >= 0").groupBy(*bucket, "ball").agg(F.count(F.lit(1)).alias("inside")).join(crowded.select(*bucket), bucket)
+    main = main.groupBy(*bucket).agg(F.max_by(F.struct("ball", "inside"), F.struct("inside", "ball")).alias("main"))
+    sizes = sizes.select(*bucket, "n").join(main, bucket, "left")
+    inner = F.ceil(F.coalesce("main.inside", F.lit(0)) / BLOCK).cast("int")
+    outer = F.ceil((F.col("n") - F.coalesce("main.inside", F.lit(0))) / BLOCK).cast("int")
+    placed = placed.join(sizes.select(*bucket, F.col("main.ball").alias("of"), inner.alias("inner"), outer.alias("outer")), bucket)
+    # blocks 0 .. inner - 1 hold the ball, which is not compared with itself; the others all else
+    in_ball = F.coalesce(F.col("ball") == F.col("of"), F.lit(False))
+    mine = F.when(in_ball, F.pmod(F.xxhash64("uid"), "inner")).otherwise(F.col("inner") + F.pmod(F.xxhash64("uid"), "outer")).cast("int")
+    last = F.col("inner") + F.col("outer") - 1
+    others = F.when(~in_ball, F.sequence(F.lit(0), last)).when(F.col("outer") > 0, F.sequence("inner", last))
+    placed = placed.select("uid", *bucket, "ball", mine.alias("mine"), F.explode(others).alias("other")).select(
+        "uid", *bucket, "ball", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("own"),
     ).join(keyed.select("uid", "weight", "vector"), "uid")
     found = written(compare_blocks(placed, bits, bands, threshold, sigmas), "vector-links")
+    whole = balls.join(keyed.select("uid", "weight"), "uid").groupBy("ball").agg(F.sum("weight").alias("all"), F.min("uid").alias("least"))
+    whole = balls.join(keyed.select("uid", "weight"), "uid").join(whole, "ball").select("uid", (F.col("all") - F.col("weight")).alias("links"), "least")
+    found = found.union(whole)
 
     linked = connected_components(found.where("uid <> least").select(F.col("uid").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("uid").agg(F.sum("links").alias("links"))
