@@ -31,7 +31,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, written
+from .common import per_group, pick, written
 from .components import connected_components
 
 #: Vectors per block of a bucket, and leaders tried in a bucket of more than one block.
@@ -162,27 +161,7 @@ def compare_blocks(rows: DataFrame, bits: int, bands: int, threshold: float, sig
         least = least_reachable(len(group), i, j, uids)
         return pd.DataFrame({"uid": uids[hit], "links": links[hit].astype(np.int64), "least": least[hit]})
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in chain(frames, [None]):
-            if frame is None:
-                ready, rest = rest, None
-            else:
-                frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-                if frame.empty:
-                    continue
-                other = (frame[KEYS] != frame[KEYS].iloc[-1]).any(axis=1).to_numpy()
-                done = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
-                ready, rest = frame.iloc[:done], frame.iloc[done:]
-            if ready is None or ready.empty:
-                continue
-            breaks = np.flatnonzero((ready[KEYS] != ready[KEYS].shift()).any(axis=1).to_numpy())
-            for x, y in zip(breaks, [*breaks[1:], len(ready)], strict=True):
-                found = of(ready.iloc[x:y])
-                if found is not None:
-                    yield found
-
-    return rows.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInPandas(run, LINKS)
+    return per_group(rows, KEYS, of, LINKS)
 
 
 def ball_members(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:

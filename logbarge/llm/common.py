@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from itertools import chain
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +46,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def unit_draw(key: Column) -> Column:
     """A number in [0, 1) from the first 52 bits of the key's MD5; the same on every engine."""
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+
+
+def per_group(rows: DataFrame, keys: list[str], of: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
+    """``of`` applied to every group of rows with equal keys; groups without a result give None.
+
+    Like ``applyInPandas``, but many small groups share a batch. A task holds a batch and one group.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in chain(frames, [None]):
+            if frame is None:
+                ready, rest = rest, None
+            else:
+                frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+                if frame.empty:
+                    continue
+                other = (frame[keys] != frame[keys].iloc[-1]).any(axis=1).to_numpy()
+                done = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+                ready, rest = frame.iloc[:done], frame.iloc[done:]
+            if ready is None or ready.empty:
+                continue
+            begins = np.flatnonzero((ready[keys] != ready[keys].shift()).any(axis=1).to_numpy())
+            for begin, end in zip(begins, [*begins[1:], len(ready)], strict=True):
+                found = of(ready.iloc[begin:end])
+                if found is not None:
+                    yield found
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)

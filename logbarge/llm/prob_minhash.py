@@ -14,11 +14,14 @@ which is the plain Jaccard index where all weights are 1.
    documents of a batch at once.
 2. Documents with the same weighted shingles are one class; only one of each class goes on.
 3. Banding: 20 bands of 5 registers, found alike with probability 1 - (1 - J^5)^20, over 0.9996
-   at J = 0.8. In each bucket every member is compared with the bucket's least member, exactly.
+   at J = 0.8. In each bucket every member is compared with the bucket's head, exactly; heads are
+   drawn by a hash that differs from band to band.
 4. Links found so far give components. Buckets whose members lie in several components are
-   compared further: all pairs across components whose registers agree in ``threshold`` less
-   three standard errors go to the exact comparison too, in blocks, so no link of a bucket is lost,
-   whether its members are like the least one or not.
+   compared further, in blocks: all pairs across components whose registers agree in ``threshold``
+   less three standard errors are compared exactly too, unless joined by then, so no link between
+   components is lost, whether a bucket's members are like its head or not. First the registers
+   tell which members have such a pair at all; only those bring their shingles. No pair becomes a
+   row but the links that join components.
 5. The components of all exact links are the groups.
 
 Groups of copies are folded by partial aggregation; buckets of near copies give one pair per
@@ -42,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, written
+from .common import per_group, small, written
 from .components import connected_components
 
 WORDS, BANDS, ROWS = 5, 20, 5
@@ -229,52 +232,59 @@ def exact_links(pairs: DataFrame, sketched: DataFrame, threshold: float, broadca
     return joined.mapInArrow(verify, "a long, b long")
 
 
-def likely_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Pairs across components within a block pair whose registers agree in the share ``least`` or more.
-
-    ``members``: band, key, i, j (the block pair), own (the row's block), uid, component, registers.
-    """
+KEYS = ["band", "key", "i", "j"]
 
-    def of(group: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        uid, component = group["uid"].to_numpy(), group["component"].to_numpy()
-        values = np.frombuffer(b"".join(group["registers"]), "<u4").reshape(len(group), -1)
-        own = group["own"].to_numpy()
-        same_block = group["i"].iloc[0] == group["j"].iloc[0]
-        for k in range(len(group) - 1):
-            other = component[k + 1 :] != component[k]
-            if not same_block:
-                other &= own[k + 1 :] != own[k]
-            if not other.any():
-                continue
-            at = np.flatnonzero(other) + k + 1
-            at = at[(values[at] == values[k]).mean(1) >= least]
-            if len(at):
-                yield np.full(len(at), uid[k]), uid[at]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for frame in chain(frames, [None]):
-            if frame is not None:
-                frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-                if frame.empty:
-                    continue
-                cut = (frame[KEYS] != frame[KEYS].iloc[-1]).any(axis=1).to_numpy()
-                done = int(np.flatnonzero(cut)[-1]) + 1 if cut.any() else 0
-                ready, rest = frame.iloc[:done], frame.iloc[done:]
-            else:
-                ready = rest
-            if ready is None or ready.empty:
-                continue
-            breaks = np.flatnonzero((ready[KEYS] != ready[KEYS].shift()).any(axis=1).to_numpy())
-            found = [p for x, y in zip(breaks, [*breaks[1:], len(ready)], strict=True) for p in of(ready.iloc[x:y])]
-            if found:
-                left, right = (np.concatenate(c) for c in zip(*found, strict=True))
-                yield pd.DataFrame({"a": np.maximum(left, right), "b": np.minimum(left, right)})
-
-    return members.repartition(*KEYS).sortWithinPartitions(*KEYS).mapInPandas(run, "a long, b long").distinct()
 
+def likely_pairs(group: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of pairs of a block pair to compare, and their share of equal registers, at least ``least``.
 
-KEYS = ["band", "key", "i", "j"]
+    Only pairs of different components, of the two blocks if they differ, that meet in no earlier band.
+    """
+    component, own = group["component"].to_numpy(), group["own"].to_numpy()
+    values = np.frombuffer(b"".join(group["registers"]), "<u4").reshape(len(group), -1)
+    bands = np.stack(group["bands"].to_numpy())[:, : int(group["band"].iloc[0])]
+    crossed = group["i"].iloc[0] != group["j"].iloc[0]
+    parts = []
+    for k in range(len(group) - 1):
+        other = component[k + 1 :] != component[k]
+        if crossed:
+            other &= own[k + 1 :] != own[k]
+        at = np.flatnonzero(other) + k + 1
+        share = (values[at] == values[k]).mean(1)
+        at, share = at[share >= least], share[share >= least]
+        new = ~(bands[at] == bands[k]).any(1)
+        parts.append((np.full(int(new.sum()), k), at[new], share[new]))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, int),) * 3
+
+
+def with_likely_pairs(members: DataFrame, least: float) -> DataFrame:
+    """The members of each block pair that have a likely pair in it."""
+    columns = [*KEYS, "own", "uid", "component"]
+
+    def of(group: pd.DataFrame) -> pd.DataFrame | None:
+        a, b, _ = likely_pairs(group, least)
+        return group.iloc[np.union1d(a, b)][columns] if len(a) else None
+
+    kinds = "band int, key long, i int, j int, own int, uid long, component long"
+    return per_group(members, KEYS, of, kinds)
+
+
+def links_across(members: DataFrame, least: float, threshold: float) -> DataFrame:
+    """Links (a, b) that join components: likely pairs in falling order, compared exactly unless joined by now."""
+
+    def of(group: pd.DataFrame) -> pd.DataFrame | None:
+        a, b, share = likely_pairs(group, least)
+        uids, component = group["uid"].to_numpy(), group["component"].to_numpy().copy()
+        texts = [unpacked(x, y) for x, y in zip(group["shingles"], group["many"], strict=True)]
+        found = []
+        for k in np.argsort(-share, kind="stable"):
+            x, y = component[a[k]], component[b[k]]
+            if x != y and probability_jaccard(texts[a[k]], texts[b[k]]) >= threshold - 1e-9:
+                component[component == y] = x
+                found.append((max(uids[a[k]], uids[b[k]]), min(uids[a[k]], uids[b[k]])))
+        return pd.DataFrame(found, columns=["a", "b"]) if found else None
+
+    return per_group(members, KEYS, of, "a long, b long")
 
 
 def near_duplicates(
@@ -297,10 +307,13 @@ def near_duplicates(
     )
     single = sketched.select("uid", "bands").join(classes.select(F.col("a").alias("uid")), "uid", "left_semi")
     banded = written(single, "bands").select("uid", F.posexplode("bands").alias("band", "key"))
-    buckets = banded.groupBy("band", "key").agg(F.min("uid").alias("b"), F.max("uid").alias("last")).where("b < last")
-    buckets = written(buckets.drop("last"), "buckets")
+    # every band draws its heads anew, so a member of a crowd meets up to as many heads as there are bands
+    head = F.min_by("uid", F.xxhash64("uid", "band")).alias("head")
+    buckets = banded.groupBy("band", "key").agg(head, F.min("uid").alias("low"), F.max("uid").alias("high"))
+    buckets = written(buckets.where("low < high").select("band", "key", "head"), "buckets")
     shared = written(banded.join(small(buckets, 32, broadcast_bytes), ["band", "key"]), "shared-buckets")
-    pairs = written(shared.where("uid <> b").select(F.col("uid").alias("a"), "b").distinct(), "pairs")
+    pairs = shared.where("uid <> head").select(F.greatest("uid", "head").alias("a"), F.least("uid", "head").alias("b"))
+    pairs = written(pairs.distinct(), "pairs")
     links = written(exact_links(pairs, sketched, threshold, broadcast_bytes), "first-links")
     first = connected_components(links)
 
@@ -315,12 +328,14 @@ def near_duplicates(
     members = placed.join(mixed_buckets, ["band", "key"]).select("band", "key", "uid", "component", blocks.alias("blocks"), own.alias("own"))
     members = written(members, "mixed-buckets")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    registers = chosen(sketched.select("uid", "registers"), members.select("uid"), broadcast_bytes)
+    registers = chosen(sketched.select("uid", "registers", "bands"), members.select("uid"), broadcast_bytes)
     members = members.select("band", "key", "uid", "component", "own", other).select(
         "band", "key", "uid", "component", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     ).join(registers, "uid")
-    more = written(likely_pairs(members, threshold - 3 * error).join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-    links = links.union(exact_links(more, sketched, threshold, broadcast_bytes))
+    least = threshold - 3 * error
+    likely = written(with_likely_pairs(members, least), "likely-members")
+    texts = chosen(sketched.select("uid", "registers", "bands", "shingles", "many"), likely.select("uid"), broadcast_bytes)
+    links = links.union(links_across(likely.join(texts, "uid"), least, threshold))
 
     groups = connected_components(links).withColumnsRenamed({"node": "a"})
     named = classes.join(groups, "a", "left").select("content", F.coalesce("component", "a").alias("component"))
