@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from logbarge.plans.catalog import QUERIES  # noqa: E402
-from logbarge.settings import local_session  # noqa: E402
+from logbarge.settings import local_session, own_shared_folder  # noqa: E402
 
 HEADLINE = (
     "shape_records",
@@ -33,6 +33,8 @@ HEADLINE = (
     "payload_proto",
     "payload_snappy",
     "payload_roundtrip",
+    "ship_json",
+    "ship_proto",
     "delivery_states",
     "thin_drops",
     "select_errors",
@@ -44,7 +46,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8)
+    spark = own_shared_folder(local_session(cpus, partitions=int(cpus) if cpus.isdigit() else 8))
     events = spark.read.parquet(f"{folder}/events.parquet").count()
     seconds: dict[str, float] = {}
     for name in names:

@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from ..settings import BLOCK_ROWS
 
 
+# With more blocks than this in a shard, a block must hold this many rows on average.
+MANY_BLOCKS, SPARSE = 100_000, 16
+
+
 def required(name: str) -> Column:
     """The column, failing on null: a null key or order would silently lose its rows in a join."""
     return F.coalesce(F.col(name), F.raise_error(F.lit(f"{name} must not be null"))).alias(name)
@@ -51,7 +55,8 @@ def with_position(
     """Add ``pos`` (0-based position in the shard) and ``shard_rows`` (rows of the shard).
 
     Keys and order must not be null. ``block_rows`` is the width of a block in units of the order
-    column; a sparse one wants more (see ``block_width``). ``counted`` may give the same rows by a
+    column; a sparse one wants more (see ``block_width``), and fails if it would give as many blocks
+    as rows. ``counted`` may give the same rows by a
     cheaper plan, of which only keys and order are read for the block counts. ``unique`` fails on
     an order value that a shard has twice, which would leave the positions to chance.
     """
@@ -68,7 +73,10 @@ def with_position(
     offsets = counts.select(
         *keys,
         "_block",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.when(
+            (F.count("*").over(shard) > MANY_BLOCKS) & (F.sum("_n").over(shard) < SPARSE * F.count("*").over(shard)),
+            F.raise_error(F.lit(f"{order} is sparse: take block_rows from block_width()")),
+        ).otherwise(F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_before"),
         F.sum("_n").over(shard).alias("shard_rows"),
     )
     inside = Window.partitionBy(*keys, "_block").orderBy(order)

@@ -17,9 +17,9 @@ SHOP_LINE = "[%thread] %logger{20} - %msg%n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str | None = None) -> DataFrame:
-    """A sample table; with ``key`` spread over the cores when its file has fewer splits than those."""
+    """A sample table; with ``key`` spread over the cores, since it is one file."""
     df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
-    return df if key is None else spread(df, key)
+    return df if key is None else spread(df, key, spark.sparkContext.defaultParallelism)
 
 
 def cents(value: str) -> Column:

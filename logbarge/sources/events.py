@@ -58,14 +58,13 @@ class EventMapping:
         return df.select(*out, *self.keep)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input over all cores by hash of ``key`` when it has fewer splits than cores.
+def spread(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """Spread an input over ``parts`` partitions by hash of ``key``.
 
-    Shaping is the costly part and runs in the scan stage, so a small table in one file would keep a
-    single core busy. An input with enough splits is left alone: no shuffle is added to a large scan.
+    Shaping is the costly part and runs in the scan stage, so a table in one small file would keep a
+    single core busy. Inputs of many splits need no such shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parts, key)
 
 
 def read_events(

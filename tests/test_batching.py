@@ -190,6 +190,14 @@ def test_unusable_order_is_refused(spark):
         cut_by_count(rows.withColumn("seq", F.when(F.col("seq") > 3, F.col("seq")))).collect()
 
 
+def test_sparse_order_fails_loudly(spark, monkeypatch):
+    monkeypatch.setattr("logbarge.operators.position.MANY_BLOCKS", 50)
+    df = spark.range(100).select((F.col("id") * 1000).alias("seq"))
+    with pytest.raises(Exception, match="block_width"):
+        with_position(df, block_rows=1000).collect()
+    assert with_position(df, block_rows=block_width(df, "seq", 20)).count() == 100
+
+
 def test_block_width(spark):
     df = spark.range(1000).select((F.col("id") * 1_000_000).alias("seq"))
     assert 9_900_000 < block_width(df, "seq", 10) <= 10_000_000

@@ -35,11 +35,9 @@ def test_unknown_event_column(spark):
         EventMapping("id", columns={"nosuch": "id"}).select(spark.range(1))
 
 
-def test_spread_only_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == cores
-    many = spark.range(0, 10, 1, cores + 3)
-    assert spread(many, "id").rdd.getNumPartitions() == cores + 3
+def test_spread(spark):
+    for given in (1, 9):
+        assert spread(spark.range(0, 10, 1, given), "id", 5).rdd.getNumPartitions() == 5
 
 
 def test_record_time_columns(spark):
