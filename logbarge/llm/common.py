@@ -8,6 +8,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +17,11 @@ from ..settings import shared_folder
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under new names; whatever else the table holds cannot clash."""
-    return df.select(*[df[_quoted(source)].alias(name) for name, source in columns.items()])
+    return df.select(*[df[quoted(source)].alias(name) for name, source in columns.items()])
 
 
-def _quoted(name: str) -> str:
+def quoted(name: str) -> str:
+    """The name as a column reference; names may hold dots."""
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -35,10 +37,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def small(df: DataFrame, row_bytes: int, limit: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit the limit; else Spark shuffles it."""
+    """``df`` with a broadcast hint if its counted rows fit the limit; else Spark shuffles it.
+
+    ``row_bytes`` is what a row takes in a broadcast hash table: 48 for one number as key, else 160.
+    """
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that texts become Python strings a few at a time.
+
+    What a batch took goes back to the system before the next one, since workers live long.
+    """
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

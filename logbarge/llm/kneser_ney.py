@@ -39,13 +39,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small, written
+from .common import quoted, slices, small, written
 
 #: Characters per gram and bits per character; code points beyond the bits share codes.
 ORDER, BITS = 4, 15
 BEGIN, END = 1, 2
-#: Characters that array work takes at once, and that one block of counts covers.
-CHUNK, BLOCK = 1 << 21, 1 << 24
+#: Characters that array work takes at once, grams counted between two folds, and that one block of counts covers.
+CHUNK, FOLD, BLOCK = 1 << 18, 1 << 19, 1 << 24
 
 
 @dataclass(frozen=True)
@@ -105,15 +105,15 @@ def count_grams(rows: DataFrame) -> DataFrame:
             held.clear()
 
         fresh = 0
-        for batch in batches:
+        for batch in slices(batches):
             for lang, text, part in zip(batch["lang"].to_pylist(), batch["text"], batch["part"].to_pylist(), strict=True):
                 for keys in grams_of(text.as_py() or ""):
                     parts = held.setdefault(lang, {"keys": [], "n": []})
                     parts["keys"].append(keys)
-                    parts["n"].append(np.full(len(keys), float(part == "train")))
+                    parts["n"].append(np.full(len(keys), part == "train", np.int32))
                     fresh += len(keys)
                     size += len(keys)
-                    if fresh >= CHUNK:
+                    if fresh >= FOLD:
                         folded()
                         fresh = 0
                 if size >= BLOCK:
@@ -213,15 +213,15 @@ class Scorer:
 def score(docs: DataFrame, probabilities: DataFrame, lang: str, text: str, broadcast_bytes: int) -> DataFrame:
     """All rows and columns of ``docs`` as ``row``, with ``lang`` and ``score`` (null where there is none)."""
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), _lang(docs[lang]).alias("lang"), docs[text].alias("text")
+        F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row"), _lang(docs[quoted(lang)]).alias("lang"), docs[quoted(text)].alias("text")
     )
-    if probabilities.count() * 24 <= broadcast_bytes:
+    if probabilities.count() * 48 <= broadcast_bytes:
         model = docs.sparkSession.sparkContext.broadcast(probabilities.toArrow())
         schema = T.StructType([rows.schema["row"], rows.schema["lang"], T.StructField("score", T.DoubleType())])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = Scorer(model.value)
-            for batch in batches:
+            for batch in slices(batches):
                 found = scorer.scores(batch["lang"].to_pylist(), batch["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([batch["row"], batch["lang"], pa.array(found, pa.float64())], schema.names)
 
@@ -230,7 +230,7 @@ def score(docs: DataFrame, probabilities: DataFrame, lang: str, text: str, broad
     keyed = written(rows.withColumn("uid", F.monotonically_increasing_id()), "to-score")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for uid, lang, text in zip(batch["uid"].to_pylist(), batch["lang"].to_pylist(), batch["text"], strict=True):
                 for keys in grams_of(text.as_py() or ""):
                     grams, times = np.unique(keys, return_counts=True)
@@ -254,11 +254,11 @@ def judged(
     text_column: str = "text", broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """``row`` (a struct of all columns of ``docs``), ``lang``, ``score``, ``limit``, ``kept``."""
-    marks = small(trust(labels), 16, broadcast_bytes)
+    marks = small(trust(labels), 48, broadcast_bytes)
     held_out = F.pmod(F.xxhash64("label_id"), F.lit(10)) == 0
     part = F.when(F.col("trusted"), F.when(held_out, "test").otherwise("train"))
     marked = docs.select(
-        docs[id_column].alias("doc_id"), _lang(docs[lang_column]).alias("lang"), docs[text_column].alias("text")
+        docs[quoted(id_column)].alias("doc_id"), _lang(docs[quoted(lang_column)]).alias("lang"), docs[quoted(text_column)].alias("text")
     ).join(marks, F.col("doc_id") == F.col("label_id"), "left").select("lang", "text", part.alias("part"))
     counts = count_grams(marked).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     probabilities = log_probabilities(written(counts, "gram-counts"))
@@ -271,7 +271,7 @@ def judged(
     bounds = written(bounds, "limits")
     general = bounds.agg(F.avg("limit")).first()[0]
     found = score(docs, probabilities, lang_column, text_column, broadcast_bytes)
-    found = found.join(small(bounds, 64, broadcast_bytes).withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"), "left")
+    found = found.join(small(bounds, 160, broadcast_bytes).withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"), "left")
     limit = F.coalesce("limit", F.lit(general).cast("double"))
     return found.select("row", "lang", "score", limit.alias("limit"), F.coalesce(F.col("score") <= limit, F.lit(True)).alias("kept"))
 

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import per_group, small, written
+from .common import per_group, quoted, slices, small, written
 from .components import connected_components
 
 WORDS, BANDS, ROWS = 5, 20, 5
@@ -53,7 +53,7 @@ REGISTERS = BANDS * ROWS
 #: Bits of a shingle's hash; with a document's number in a batch above them.
 BITS = 44
 #: Characters that one round of array work takes at once, and members of a block of a bucket.
-CHUNK_CHARS, BLOCK = 1 << 21, 512
+CHUNK_CHARS, BLOCK = 1 << 19, 512
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -193,7 +193,7 @@ def sketches(rows: DataFrame) -> DataFrame:
     kinds = [pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             begin = size = 0
             texts: list[str | None] = []
             for k, text in enumerate(batch["text"]):
@@ -210,7 +210,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 def chosen(rows: DataFrame, uids: DataFrame, broadcast_bytes: int) -> DataFrame:
     """The ``rows`` with one of the uids; few enough uids go to the rows instead of the rows to them."""
-    return rows.join(small(written(uids.distinct(), "chosen"), 16, broadcast_bytes), "uid", "left_semi")
+    return rows.join(small(written(uids.distinct(), "chosen"), 48, broadcast_bytes), "uid", "left_semi")
 
 
 def exact_links(pairs: DataFrame, sketched: DataFrame, threshold: float, broadcast_bytes: int) -> DataFrame:
@@ -298,7 +298,7 @@ def near_duplicates(
     are shuffled.
     """
     rows = docs.select(
-        docs[id_column].alias("doc_id"), docs[text_column].alias("text"),
+        docs[quoted(id_column)].alias("doc_id"), docs[quoted(text_column)].alias("text"),
     ).select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.monotonically_increasing_id().alias("uid"), "text")
     sketched = written(sketches(rows), "sketches")
 
@@ -311,7 +311,7 @@ def near_duplicates(
     head = F.min_by("uid", F.xxhash64("uid", "band")).alias("head")
     buckets = banded.groupBy("band", "key").agg(head, F.min("uid").alias("low"), F.max("uid").alias("high"))
     buckets = written(buckets.where("low < high").select("band", "key", "head"), "buckets")
-    shared = written(banded.join(small(buckets, 32, broadcast_bytes), ["band", "key"]), "shared-buckets")
+    shared = written(banded.join(small(buckets, 160, broadcast_bytes), ["band", "key"]), "shared-buckets")
     pairs = shared.where("uid <> head").select(F.greatest("uid", "head").alias("a"), F.least("uid", "head").alias("b"))
     pairs = written(pairs.distinct(), "pairs")
     links = written(exact_links(pairs, sketched, threshold, broadcast_bytes), "first-links")
@@ -365,13 +365,13 @@ def deduplicated(
     take more than ``broadcast_bytes``.
     """
     judged = near_duplicates(docs, threshold, id_column, text_column, broadcast_bytes)
-    keys = judged.groupBy(F.col("row_key").alias("_key")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    keys = written(keys.where("kept").select("_key", "n"), "kept-rows")
+    keys = judged.groupBy(F.col("row_key").alias("_key")).agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keys = written(keys.where("kept > 0"), "kept-rows")
     names = docs.columns
-    shelled = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), row_key(docs[id_column], docs[text_column]).alias("_key"))
+    shelled = docs.select(F.struct(*[docs[quoted(c)] for c in names]).alias("row"), row_key(docs[quoted(id_column)], docs[quoted(text_column)]).alias("_key"))
 
     def rows(test: str) -> DataFrame:
-        return shelled.join(small(keys.where(test).select("_key"), 32, broadcast_bytes), "_key", "left_semi")
+        return shelled.join(small(keys.where(test).select("_key"), 160, broadcast_bytes), "_key", "left_semi")
 
-    kept = rows("n = 1").union(rows("n > 1").dropDuplicates(["_key"]))
+    kept = rows("kept = n").union(rows("kept < n").dropDuplicates(["_key"]))
     return kept.select(*[F.col("row")[c].alias(c) for c in names])

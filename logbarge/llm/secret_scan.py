@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, slices
 
 # Kinds in the order that breaks ties of the start position.
 KINDS = ("assign", "access", "hex", "ghtoken", "npm", "jwt", "pem")
@@ -177,7 +177,7 @@ def scan_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = automaton()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in batch["text"].to_pylist():
                 spans = find_secrets(text, words)
@@ -205,7 +205,7 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", length_column: st
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = automaton()
         at = names.index(text_column)
-        for batch in batches:
+        for batch in slices(batches):
             columns = batch.columns
             before = columns[at].to_pylist()
             after = [redacted(t, find_secrets(t, words)) for t in before]

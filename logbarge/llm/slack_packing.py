@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, slices
 from .tokens import Vocabulary, encoder
 
 #: Sequence ids of a task start here times its number.
@@ -170,7 +170,7 @@ def pack_tokens(
                 del held[doc], names[doc]
             return pa.RecordBatch.from_arrays(columns, schema.names)
 
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch["doc_id"].type
             for name, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 ids = encode(text.as_py())

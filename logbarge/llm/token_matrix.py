@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, slices
 from .tokens import Vocabulary, encoder
 
 
@@ -129,7 +129,7 @@ def pack_matrix(
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], schema.names)
 
         key = 0
-        for batch in batches:
+        for batch in slices(batches):
             id_type = batch["doc_id"].type
             for name, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 ids = encode(text.as_py())

@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+from tokenizers import Tokenizer
 
 
 @dataclass(frozen=True)
@@ -31,12 +32,18 @@ class Vocabulary:
 @lru_cache(maxsize=2)
 def encoder(vocabulary: Vocabulary) -> Callable[[str | None], np.ndarray]:
     """A function from a text (null: empty) to its ids, the end id included, as unsigned 32-bit."""
-    from tokenizers import Tokenizer
-
-    full = Tokenizer.from_file(vocabulary.json_path)
     end = [vocabulary.end_id]
+
+    @lru_cache(maxsize=1)
+    def full() -> Tokenizer:
+        """Loaded at the first text that needs it."""
+        return Tokenizer.from_file(vocabulary.json_path)
+
+    def slow(text: str) -> list[int]:
+        return full().encode(text, add_special_tokens=False).ids
+
     if vocabulary.ranks_path is None:
-        return lambda text: np.array(full.encode(text or "", add_special_tokens=False).ids + end, "<u4")
+        return lambda text: np.array(slow(text or "") + end, "<u4")
 
     import tiktoken
 
@@ -49,7 +56,7 @@ def encoder(vocabulary: Vocabulary) -> Callable[[str | None], np.ndarray]:
     def encode(text: str | None) -> np.ndarray:
         text = text or ""
         if any(s in text for s in special):
-            ids = full.encode(text, add_special_tokens=False).ids
+            ids = slow(text)
         else:
             ids = fast.encode_ordinary(text)
         return np.array(ids + end, "<u4")

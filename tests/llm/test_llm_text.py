@@ -75,7 +75,7 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block, limit):
             texts.append(link)
             link = changed(draw, link, 0.018)
     texts += [text_of(draw, draw.randint(5, 200)) for _ in range(40)]
-    docs = documents(spark, *texts).withColumns({"band": F.lit(1), "row_key": F.lit("x"), "kept": F.lit(False)})
+    docs = documents(spark, *texts).withColumns({"a.b`c": F.lit(1), "band": F.lit(1), "row_key": F.lit("x"), "kept": F.lit(False)})
     got = P.near_duplicates(docs, broadcast_bytes=limit)
     want = groups_by_brute_force(texts)
     assert {r.doc_id: r.group_id for r in got.collect()} == want
@@ -86,7 +86,7 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, block, limit):
 
 def test_repeated_rows_keep_one(spark):
     docs = documents(spark, (1, "a b c d e f", "en", "s"), (1, "a b c d e f", "en", "s"), (None, "a b c d e f", "en", "s"), (2, None, "en", "s"), (2, None, "en", "s"))
-    assert rows_of(P.deduplicated(docs), "doc_id") == [(1,), (2,)] or rows_of(P.deduplicated(docs), "doc_id") == [(1,), (2,), (2,)]
+    assert rows_of(P.deduplicated(docs), "doc_id") == [(1,), (2,), (2,)]
     assert sorted(P.near_duplicates(docs).select("kept").toPandas().kept) == [False, False, True, True, True]
 
 
@@ -133,7 +133,7 @@ def corpus(spark):
     junk = ["XQ!! " * 20, "#$%^ " * 15]
     rows = [(k, t, "en", "s") for k, t in enumerate(good)] + [(100 + k, t, "en", "s") for k, t in enumerate(junk)]
     rows += [(200, None, "en", "s"), (201, "", "en", "s"), (202, "rien", "fr", "s"), (203, "nada", None, "s"), (0, good[0], "en", "s"), (204, good[1] * 400, "en", "s"), (205, "日本 🏁", "en", "s")]
-    docs = documents(spark, *rows).withColumns({"score": F.lit("mine"), "kept": F.lit(False), "limit": F.lit(1)})
+    docs = documents(spark, *rows).withColumns({"a.b": F.lit(1), "score": F.lit("mine"), "kept": F.lit(False), "limit": F.lit(1)})
     labels = [(k, 1, 0) for k in range(60)] + [(3, 1, 1), (100, 0, 0), (None, 1, 0), (5, None, 0)]
     return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rows
 
