@@ -10,10 +10,14 @@ where h' is h without its first character, g(h) the mass the discounts free, and
 highest order are numbers of different left neighbours. An unseen h passes on to h'; below single
 characters stands a uniform distribution over the language's characters and one unknown.
 
-A document's score is the mean of -ln p over its characters and its end. It is rejected above the
-limit of its language, which comes from quantiles of the calibration documents:
+A document's score is the mean of -ln p over its n characters and its end. Scores of short texts
+scatter more than those of long ones, so distances are taken in units of w(n) = sqrt(1 + ``scatter``
+/ n). A document is rejected above the limit of its language and length, which comes from quantiles
+of the calibration documents:
 
-    limit = median + max(``spread`` * (upper quantile - median), ``margin`` * median)
+    limit = median + w(n) * max(``spread`` * upper quantile of (score - median) / w, floor)
+
+The floor, ``margin`` * median / sqrt(number of calibration documents), matters for few of them only.
 
 Counts, contexts, discounts and probabilities are tables joined on (language, gram), so the model
 is as large as the corpus makes it. Tasks emit each gram once per block of text. The probabilities
@@ -23,7 +27,7 @@ ways give the same scores.
 
 Defined results: null and empty texts, and texts of a language without trusted text, have no score
 and are kept; a null language is a language of its own; a language without calibration documents
-takes the limits' mean over the others, or rejects nothing if there is none; repeated rows are
+takes the mean of the others' medians and distances, or rejects nothing if there is none; repeated rows are
 scored each. An empty table gives an empty one.
 """
 
@@ -50,9 +54,10 @@ CHUNK, FOLD, BLOCK = 1 << 18, 1 << 19, 1 << 24
 
 @dataclass(frozen=True)
 class Limits:
-    upper: float = 0.95
+    upper: float = 0.9
     spread: float = 4.0
     margin: float = 0.3
+    scatter: float = 300.0
 
 
 def codes_of(text: str) -> np.ndarray:
@@ -263,16 +268,21 @@ def judged(
     counts = count_grams(marked).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     probabilities = log_probabilities(written(counts, "gram-counts"))
 
-    tested = score(marked.where("part = 'test'"), probabilities, "lang", "text", broadcast_bytes)
-    middle, upper = F.percentile_approx("score", 0.5, 10000), F.percentile_approx("score", limits.upper, 10000)
-    bounds = tested.where("score is not null").groupBy("lang").agg(middle.alias("middle"), upper.alias("upper")).select(
-        "lang", (F.col("middle") + F.greatest(limits.spread * (F.col("upper") - F.col("middle")), limits.margin * F.col("middle"))).alias("limit")
+    width = lambda text: F.sqrt(1 + limits.scatter / (F.coalesce(F.length(text), F.lit(0)) + 1))
+    tested = score(marked.where("part = 'test'"), probabilities, "lang", "text", broadcast_bytes).where("score is not null")
+    tested = written(tested.select("lang", "score", width("row.text").alias("width")), "calibration")
+    middles = tested.groupBy("lang").agg(F.percentile_approx("score", 0.5, 10000).alias("middle"))
+    upper = F.percentile_approx((F.col("score") - F.col("middle")) / F.col("width"), limits.upper, 10000)
+    floor = limits.margin * F.col("middle") / F.sqrt("times")
+    bounds = tested.join(middles, "lang").groupBy("lang", "middle").agg(upper.alias("upper"), F.count(F.lit(1)).alias("times")).select(
+        "lang", "middle", F.greatest(limits.spread * F.col("upper"), floor).alias("reach")
     )
     bounds = written(bounds, "limits")
-    general = bounds.agg(F.avg("limit")).first()[0]
+    general = bounds.agg(F.avg("middle"), F.avg("reach")).first()
     found = score(docs, probabilities, lang_column, text_column, broadcast_bytes)
     found = found.join(small(bounds, 160, broadcast_bytes).withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"), "left")
-    limit = F.coalesce("limit", F.lit(general).cast("double"))
+    middle, reach = (F.coalesce(c, F.lit(x).cast("double")) for c, x in zip(("middle", "reach"), general, strict=True))
+    limit = middle + width(F.col("row")[text_column]) * reach
     return found.select("row", "lang", "score", limit.alias("limit"), F.coalesce(F.col("score") <= limit, F.lit(True)).alias("kept"))
 
 

@@ -162,6 +162,16 @@ def test_no_labels_reject_nothing(spark, corpus):
     assert K.good_documents(docs, labels.limit(0)).count() == docs.count()
 
 
+def test_repeated_words_are_rejected(spark):
+    """A document of one word again and again, a little above the scores of good ones."""
+    draw = random.Random(4)
+    words = ["river", "stone", "green", "house", "walks", "slowly", "tree", "under", "light"]
+    good = [" ".join(draw.choice(words) for _ in range(draw.randint(20, 200))) + "." for _ in range(200)]
+    docs = documents(spark, *good, " ".join(["green"] * 150))
+    got = K.quality_scores(docs, spark.createDataFrame([(k, 1, 0) for k in range(200)], "doc_id long, quality int, toxic int"))
+    assert rows_of(got.where("not kept"), "doc_id") == [(200,)]
+
+
 def test_long_texts_are_cut_into_chunks(monkeypatch):
     text = "".join(random.Random(1).choice("abc é日") for _ in range(1000))
     whole = np.concatenate(list(K.grams_of(text)))
