@@ -36,8 +36,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated to the target weights, in random order; unweighted sources keep weight 1."""
-    return mix_sources(docs, WEIGHTS, other=1.0).select(*docs.columns)
+    """Documents repeated to the target weights, in random order; unweighted sources keep their share."""
+    return mix_sources(docs, WEIGHTS, other=None).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,10 +11,13 @@ function of the row and the rates: no state, no order, the same result on any pa
 
 The inverse is tabulated per source until the remaining probability is far below the resolution of
 a draw, so no count is cut off. There is one table row per weighted source, a number bounded by
-the ``weights`` argument and not by the data; the rows are literals of the plan.
+the ``weights`` argument and not by the data; the rows are literals of the plan. A mean above
+``MAX_RATE`` is split into equal parts of at most that: the count is then the sum of independent
+draws, from the hashes of (seed, id) and (seed, part, id), which has the same distribution.
 
 Defined results: all sources without a weight, a null source included, form one group of weight
-``other`` (0 unless given); a group of weight 0 gives no row. Rows with equal ids draw alike, so
+``other`` (0 unless given); a group of weight 0 gives no row. With ``other=None`` that group keeps its
+share of the table (rate 1 for the default total) and the weights share the rest. Rows with equal ids draw alike, so
 repeated rows stay equally repeated. A null id draws as the word null. An empty table gives an
 empty one. If a column is called like an added one, the added one gets a number.
 """
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import unit_draw
 
-MAX_RATE = 600.0  # beyond it exp(-rate) leaves the range of doubles
+MAX_RATE = 600.0  # of one draw; not far beyond it exp(-rate) leaves the range of doubles
 
 
 def poisson_steps(rate: float) -> list[float]:
@@ -46,28 +49,41 @@ def poisson_steps(rate: float) -> list[float]:
 
 
 def source_rates(
-    docs: DataFrame, weights: dict[str, float], source: str, total: int | None = None, other: float = 0.0
+    docs: DataFrame, weights: dict[str, float], source: str, total: int | None = None, other: float | None = 0.0,
+    most: float = MAX_RATE,
 ) -> dict[str | None, float]:
-    """Mean repetitions per weighted source; None stands for all others.
+    """Mean repetitions per weighted source; None stands for all others. A rate above ``most`` is an error.
 
     One small aggregate over the source column; at most ``len(weights) + 1`` rows reach the driver.
     """
     group = F.when(F.col(source).isin(*weights), F.col(source)) if weights else F.lit(None).cast("string")
     sizes = {r["s"]: r["n"] for r in docs.groupBy(group.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    wanted = {s: w for s, w in {**weights, None: other}.items() if w > 0 and sizes.get(s)}
-    total = sum(sizes.values()) if total is None else total
+    wanted = {s: w for s, w in {**weights, None: other or 0.0}.items() if w > 0 and sizes.get(s)}
+    rows = sum(sizes.values())
+    total = rows if total is None else total
     norm = sum(wanted.values())
-    rates = {s: w / norm * total / sizes[s] for s, w in wanted.items()}
-    if any(r > MAX_RATE for r in rates.values()):
-        raise ValueError(f"a source would be repeated more than {MAX_RATE:.0f} times on average: {rates}")
+    natural = other is None and sizes.get(None)
+    shared = total * (rows - sizes[None]) / rows if natural else total
+    rates = {s: w / norm * shared / sizes[s] for s, w in wanted.items()}
+    if natural:
+        rates[None] = total / rows
+    if any(r > most for r in rates.values()):
+        raise ValueError(f"a source would be repeated more than {most:.0f} times on average: {rates}")
     return rates
 
 
-def copies_of(draw: Column, source: Column, rates: dict[str | None, float], weights: dict[str, float]) -> Column:
-    """Number of copies: how many steps of the source's distribution lie at or below the draw."""
+def copies_of(seed: str, ident: Column, source: Column, rates: dict[str | None, float], weights: dict[str, float]) -> Column:
+    """Number of copies: how many steps of the source's distribution lie at or below the draw, summed over the parts."""
 
     def count(rate: float) -> Column:
-        return F.size(F.filter(F.array(*[F.lit(x) for x in poisson_steps(rate)]), lambda x: x <= draw))
+        parts = max(math.ceil(rate / MAX_RATE), 1)
+        steps = F.array(*[F.lit(x) for x in poisson_steps(rate / parts)])
+        below = lambda draw: F.size(F.filter(steps, lambda x: x <= draw))
+        first = below(unit_draw(F.concat(F.lit(f"{seed}|"), ident)))
+        if parts == 1:
+            return first
+        drawn = lambda k: below(unit_draw(F.concat(F.lit(f"{seed}|"), k.cast("string"), F.lit("|"), ident)))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(parts - 1)), first, lambda n, k: n + drawn(k))
 
     chain = F
     for name in weights:
@@ -83,7 +99,7 @@ def free_name(names: list[str], wanted: str) -> str:
 
 def mix_sources(
     docs: DataFrame, weights: dict[str, float], seed: str = "mix-1", source: str = "source",
-    id_column: str = "doc_id", total: int | None = None, other: float = 0.0, partitions: int | None = None,
+    id_column: str = "doc_id", total: int | None = None, other: float | None = 0.0, partitions: int | None = None,
 ) -> DataFrame:
     """The documents' columns plus ``copy`` (from 0) and ``mix_key``; rows in random order.
 
@@ -91,10 +107,9 @@ def mix_sources(
     them: a uniform shuffle of the whole table in one exchange, whatever the hot source.
     """
     copy, key = free_name(docs.columns, "copy"), free_name(docs.columns, "mix_key")
-    rates = source_rates(docs, weights, source, total, other)
+    rates = source_rates(docs, weights, source, total, other, most=math.inf)
     ident = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
-    draw = unit_draw(F.concat(F.lit(f"{seed}|"), ident))
-    count = copies_of(draw, F.col(source), rates, weights)
+    count = copies_of(seed, ident, F.col(source), rates, weights)
     counted = docs.select("*", F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias(copy))
     keyed = counted.withColumn(key, F.md5(F.concat_ws("|", F.lit(seed), ident, F.col(copy).cast("string"))))
     dealt = keyed.repartition(partitions, key) if partitions else keyed.repartition(key)

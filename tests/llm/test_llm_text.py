@@ -204,3 +204,16 @@ def test_mix(spark):
     assert sum(rates[s] * docs.where(F.col("source") == s).count() for s in ("big", "small")) == pytest.approx(100)
     with pytest.raises(ValueError):
         source_rates(docs.limit(1), weights, "source", total=10**6)
+
+
+def test_mix_of_rare_sources(spark):
+    """A rare weighted source is repeated as often as its weight says; unlisted ones keep their share."""
+    rows = [(k, "t", "en", {0: "rare", 1: None, 2: "odd"}.get(k, "big")) for k in range(5000)]
+    got = mix_sources(documents(spark, *rows), {"big": 1.0, "rare": 1.0}, other=None)
+    n = {r["source"]: r["n"] for r in got.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert abs(n["rare"] - 2499) < 5 * 2499**0.5 and abs(n["big"] - 2499) < 5 * 2499**0.5
+    assert rows_of(got.where("source = 'rare'"), "copy") == sorted(((k,) for k in range(n["rare"])), key=str)
+    rates = source_rates(documents(spark, *rows), {"big": 1.0}, "source", other=None)
+    assert rates == {"big": 1.0, None: 1.0}
+    copies = mix_sources(documents(spark, *rows), {"rare": 1.0, "big": 1.0}, other=1.0).where("source is null or source = 'odd'").count()
+    assert abs(copies - 5000 / 3) < 5 * (2 * 5000 / 3) ** 0.5 * 2
