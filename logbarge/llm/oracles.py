@@ -120,9 +120,56 @@ def dual_tree_top_k() -> str:
     where rank <= 5"""
 
 
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit."""
+    bit = "lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {codes}), {byte}), 4294967295)"
+
+
+def merkle_manifest(heights: int = 6, above: int = 4) -> str:
+    """For up to 16 ** heights rows per source and 16 ** above sources."""
+    fields = ["doc_id::varchar", "source", "lang", "n_chars::varchar", "{}"]
+    leaf = "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"""
+    with rows as (
+        select doc_id, source, {leaf.format("text", "text")} as leaf,
+            case when {crc32("doc_id::varchar")} % 5 = 0 then {leaf.format(lowered, lowered)} end as other
+        from documents),
+    n0 as (
+        select source as g, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p, leaf as h,
+            count(*) over (partition by source) as n, doc_id, other
+        from rows),
+    d0 as (select doc_id, g, p, h as leaf, coalesce(other, h) as cur, '' as proof from n0)"""]
+    for k in range(heights + above):
+        if k == heights:
+            parts.append(f""",
+    subroots as (select g, h, row_number() over (order by g nulls first) - 1 as p from n{k}),
+    t{k} as (select 0 as g, p, h, count(*) over () as n from subroots),
+    e{k} as (select doc_id, leaf, cur, proof, s.h as subroot, 0 as g, s.p from d{k} d join subroots s on d.g is not distinct from s.g)""")
+        nodes, docs = ("n", "d") if k < heights else ("t", "e")
+        kept = "doc_id, leaf" if k < heights else "doc_id, leaf, subroot"
+        parts.append(f""",
+    r{k} as (select g, p // 16 as p, list(h order by p) as run, any_value(n) as n from {nodes}{k} group by g, p // 16),
+    {nodes}{k + 1} as (select g, p, case when n = 1 then run[1] else sha256(array_to_string(run, '')) end as h, (n + 15) // 16 as n from r{k}),
+    {docs}{k + 1} as (
+        select {kept}, d.g, d.p // 16 as p,
+            case when n = 1 then cur else sha256(array_to_string(run[:d.p % 16], '') || cur || array_to_string(run[d.p % 16 + 2:], '')) end as cur,
+            case when n = 1 then proof else proof || array_to_string(run[:d.p % 16], '') || array_to_string(run[d.p % 16 + 2:], '') end as proof
+        from {docs}{k} d join r{k} r on d.g is not distinct from r.g and d.p // 16 = r.p)""")
+    last = heights + above
+    return "".join(parts) + f"""
+    select doc_id, leaf, subroot, (select h from t{last}) as root, sha256(proof) as proof_sha256, cur as folded_root,
+        cur = (select h from t{last}) as verified
+    from e{last}"""
+
+
 ORACLES: dict[str, str] = {
     "op2_url_reputation": url_reputation(),
     "op5_license_digests": license_digests(),
     "op6_dual_tree_top_k": dual_tree_top_k(),
     "op10_poisson_mix": poisson_mix(),
+    "op12_merkle_manifest": merkle_manifest(),
 }

@@ -11,6 +11,7 @@ from .common import table
 from .dual_tree import top_k
 from .kneser_ney import quality_scores
 from .license_scan import scan_licenses
+from .merkle import prove
 from .mixing import mix_sources
 from .prob_minhash import near_duplicates
 from .secret_scan import scan_secrets
@@ -63,6 +64,10 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prove(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slack_packing": slack_packing,
     "op2_url_reputation": url_reputation,
@@ -74,4 +79,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney_quality": kneser_ney_quality,
     "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
+    "op12_merkle_manifest": merkle_manifest,
 }
