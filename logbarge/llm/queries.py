@@ -17,6 +17,7 @@ from .prob_minhash import near_duplicates
 from .secret_scan import scan_secrets
 from .slack_packing import pack_tokens
 from .token_matrix import pack_matrix
+from .toxicity import score_toxicity
 from .url_reputation import judge_urls
 
 #: Target weights of the sample sources: the hot first one down, the last ones up.
@@ -68,6 +69,10 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prove(table(spark, sf_dir, "documents"))
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_slack_packing": slack_packing,
     "op2_url_reputation": url_reputation,
@@ -80,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
     "op12_merkle_manifest": merkle_manifest,
+    "op13_toxicity": toxicity,
 }
