@@ -120,6 +120,28 @@ def dual_tree_top_k() -> str:
     where rank <= 5"""
 
 
+def cover_negatives() -> str:
+    return """
+    with whole as (
+        select row_number() over () as uid, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as v,
+            case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label
+        from embeddings
+        where embedding is not null and label is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+        select a.uid as a, a.vec_id as anchor_id, d.uid, d.vec_id, a.label = d.label as same,
+            coalesce(list_sum(list_transform(list_zip(a.v, d.v), lambda p: p[1] * p[2])), 0)::bigint as score
+        from whole a join whole d on a.uid <> d.uid and len(a.v) = len(d.v)
+        where a.vec_id % 100 = 0),
+    positives as (
+        select a, anchor_id, uid as p, vec_id as positive_id, score as positive_score from scored where same
+        qualify row_number() over (partition by a order by score desc, vec_id nulls last, uid) <= 5)
+    select p.anchor_id, positive_id, (row_number() over (partition by p.a, p order by score desc, vec_id nulls last, uid))::int as rank,
+        vec_id as negative_id, positive_score, score as negative_score
+    from positives p join scored s on p.a = s.a and not same
+        and 30 * positive_score::hugeint <= 100 * score::hugeint and 100 * score::hugeint <= 90 * positive_score::hugeint
+    qualify rank <= 10"""
+
+
 def crc32(text: str) -> str:
     """Unsigned CRC-32 of an ASCII text, bit by bit."""
     bit = "lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end"
@@ -171,5 +193,6 @@ ORACLES: dict[str, str] = {
     "op5_license_digests": license_digests(),
     "op6_dual_tree_top_k": dual_tree_top_k(),
     "op10_poisson_mix": poisson_mix(),
+    "op11_cover_negatives": cover_negatives(),
     "op12_merkle_manifest": merkle_manifest(),
 }

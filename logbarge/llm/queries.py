@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .binary_codes import near_vectors
 from .common import table
 from .dual_tree import top_k
+from .hard_negatives import hard_negatives
 from .kneser_ney import quality_scores
 from .license_scan import scan_licenses
 from .merkle import prove
@@ -65,6 +67,13 @@ def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), WEIGHTS)
 
 
+def cover_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row counts as of the next label: positives that are less alike."""
+    label = F.col("label").cast("long")
+    moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prove(table(spark, sf_dir, "documents"))
 
@@ -84,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_kneser_ney_quality": kneser_ney_quality,
     "op9_token_matrix": token_matrix,
     "op10_poisson_mix": poisson_mix,
+    "op11_cover_negatives": cover_negatives,
     "op12_merkle_manifest": merkle_manifest,
     "op13_toxicity": toxicity,
 }
