@@ -27,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.text import stream_key
 from ..settings import BLOCK_ROWS, MAX_BYTES, MAX_ITEMS
 from .cutting import BYTES, DRAIN, ITEMS, OPEN, Limits, Run, batches, compose, transfer
 from .position import with_position
-from .sizing import with_size
+from .sizing import known, with_size
 
 # The functions handed to applyInArrow carry no annotations: Spark reads them as eval-type hints.
 GROUP_CHUNKS = 1024
@@ -98,24 +99,37 @@ def assign_batches(
     group_chunks: int = GROUP_CHUNKS,
     block_rows: int = BLOCK_ROWS,
     counted: DataFrame | None = None,
+    begins: DataFrame | None = None,
+    keep_open: bool = False,
 ) -> DataFrame:
     """The narrow half of ``cut_batches``: (keys, order, batch_no, condition).
 
     ``counted`` may give the same rows before their sizes are computed (see ``with_position``).
+    ``begins`` continues earlier cuts: (keys, next_batch, by_items, last_ts) per shard, where the last
+    two say whether the last cut was by items and the time of the record before it. ``keep_open``
+    marks the records of a shard's last, still open batch with condition OPEN.
     """
     chunk_rows = max(chunk_rows, limits.max_items)
     shard = list(keys) or ["_all"]
+    if begins is not None and not keys:
+        begins = begins.withColumn("_all", F.lit(0))
     narrow = records.select(
         *(keys or [F.lit(0).alias("_all")]),
         F.col(order).cast("bigint").alias("_seq"),
-        (F.col("msg_sz") + F.col("meta_sz")).alias("_own"),
-        F.col("stream_sz").alias("_stream_sz"),
+        known(F.col("msg_sz") + F.col("meta_sz")).alias("_own"),
+        known(F.col("stream_sz")).alias("_stream_sz"),
         F.col("stream_key").alias("_stream"),
         *([F.col("ts_ms").alias("_ts")] if limits.timeout_ms is not None else []),
     )
     if counted is not None:
         counted = counted.select(*(keys or [F.lit(0).alias("_all")]), F.col(order).cast("bigint").alias("_seq"))
     placed = with_position(narrow, "_seq", shard, block_rows, counted)
+    if begins is not None and limits.timeout_ms is not None:
+        # the record before the first one, for its time
+        sizes = narrow.groupBy(*shard).agg(F.count("*").alias("shard_rows"))
+        before = begins.where("last_ts is not null").join(sizes, shard)
+        before = before.select(*shard, F.col("last_ts").alias("_ts"), F.lit(-1).cast("bigint").alias("pos"), "shard_rows")
+        placed = placed.unionByName(before, allowMissingColumns=True)
     dealt = _deal(placed, chunk_rows, limits).repartition(*shard, "_chunk")
     key_fields = [f for f in dealt.schema.fields if f.name in shard]
 
@@ -124,7 +138,10 @@ def assign_batches(
     zero = F.floor(F.rand(0)).cast("bigint")
     handing_on = F.col("_chunk") + zero < F.expr(f"(shard_rows - 1) div {chunk_rows}")
     tables = _tables(dealt.filter(handing_on), shard, key_fields, chunk_rows, group_chunks, limits)
-    entries = _entries(tables, shard, key_fields)
+    if begins is not None:
+        by_items = F.col("by_items").cast("bigint") if limits.clocks == 2 else F.lit(0).cast("bigint")
+        begins = begins.select(*shard, by_items.alias("_state"), F.col("next_batch").alias("_before"))
+    entries = _entries(tables, shard, key_fields, begins)
 
     out_schema = T.StructType(
         [
@@ -137,7 +154,7 @@ def assign_batches(
     cut = (
         dealt.join(entries, [*shard, "_chunk"], "left")
         .groupBy(*shard, "_chunk")
-        .applyInArrow(_cutter(len(shard), chunk_rows, limits, drain_on_stop, out_schema), out_schema)
+        .applyInArrow(_cutter(len(shard), chunk_rows, limits, drain_on_stop, keep_open, out_schema), out_schema)
     )
     return cut if keys else cut.drop("_all")
 
@@ -233,8 +250,11 @@ def _walk(key, table: pa.Table, state: int, before: int, schema: T.StructType) -
     return pa.table(columns, names=schema.names)
 
 
-def _entries(tables: DataFrame, shard, key_fields) -> DataFrame:
-    """Step 3: (keys, _chunk, _state, _before) for every chunk after the first."""
+def _entries(tables: DataFrame, shard, key_fields, begins: DataFrame | None = None) -> DataFrame:
+    """Step 3: (keys, _chunk, _state, _before) for every chunk after the first.
+
+    With ``begins`` (keys, _state, _before) also for the first chunk of the shards in it.
+    """
     group_schema = T.StructType(
         [*key_fields, *(f for f in tables.schema.fields if f.name in ("_index", "exits", "counts"))]
     )
@@ -253,6 +273,16 @@ def _entries(tables: DataFrame, shard, key_fields) -> DataFrame:
     def walk_groups(key, table):
         return _walk(key, table, 0, 0, group_entry)
 
+    def walk_on(key, table, begin):
+        if table.num_rows == 0:
+            return group_entry_none()
+        known = begin.num_rows > 0
+        return _walk(key, table, begin["_state"][0].as_py() if known else 0, begin["_before"][0].as_py() if known else 0, group_entry)
+
+    def group_entry_none():
+        fields = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in group_entry.fields])
+        return fields.empty_table()
+
     def walk_chunks(key, chunks, entry):
         if chunks.num_rows == 0:
             return pa.table([pa.array([], f.type) for f in pa.schema(
@@ -264,15 +294,21 @@ def _entries(tables: DataFrame, shard, key_fields) -> DataFrame:
         return _walk(key[:-1], chunks, state, before, chunk_entry)
 
     groups = tables.groupBy(*shard, "_group").applyInArrow(join_group, group_schema)
-    entered = groups.groupBy(*shard).applyInArrow(walk_groups, group_entry)
-    return (
+    if begins is None:
+        entered = groups.groupBy(*shard).applyInArrow(walk_groups, group_entry)
+    else:
+        entered = groups.groupBy(*shard).cogroup(begins.groupBy(*shard)).applyInArrow(walk_on, group_entry)
+        first = F.lit(0).cast("bigint")
+        entered = entered.unionByName(begins.withColumn("_group", first))
+    entries = (
         tables.groupBy(*shard, "_group")
         .cogroup(entered.groupBy(*shard, "_group"))
         .applyInArrow(walk_chunks, chunk_entry)
     )
+    return entries if begins is None else entries.unionByName(begins.withColumn("_chunk", first))
 
 
-def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, schema: T.StructType):
+def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, keep_open: bool, schema: T.StructType):
     """Step 4: the batches that start in a chunk, one output row per record in them."""
 
     def cut(key, table):
@@ -280,7 +316,7 @@ def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, s
         order = table["_seq"].to_numpy()
         if (order[1:] == order[:-1]).any():
             raise ValueError(f"order is not unique in shard {[k.as_py() for k in key[:n_keys]]}")
-        # a chunk without an entry is the first of its shard
+        # a chunk without an entry is the first of a shard that begins here
         state, number = table["_state"][0].as_py() or 0, table["_before"][0].as_py() or 0
         start, by_items = divmod(state, limits.clocks)
         clock = None
@@ -288,7 +324,7 @@ def _cutter(n_keys: int, chunk_rows: int, limits: Limits, drain_on_stop: bool, s
             clock = run.clock(start, by_items)
         at, numbers, whys, sizes = start, [], [], []
         for begin, end, why in batches(run, start, own, clock, limits):
-            if why == OPEN:
+            if why == OPEN and not keep_open:
                 if not drain_on_stop:
                     break
                 why = DRAIN
@@ -333,4 +369,4 @@ def summarize_batches(df: DataFrame, keys: Sequence[str] = (), order: str | None
     )
 
 
-__all__ = ["BYTES", "DRAIN", "ITEMS", "assign_batches", "cut_batches", "cut_by_count", "summarize_batches"]
+__all__ = ["BYTES", "DRAIN", "ITEMS", "OPEN", "assign_batches", "cut_batches", "cut_by_count", "summarize_batches"]

@@ -29,6 +29,11 @@ def stream_size() -> Column:
     return map_bytes("labels") + PER_STREAM
 
 
+def known(size: Column) -> Column:
+    """A size, failing on null: as a number it would switch the byte limit off."""
+    return F.coalesce(size, F.raise_error(F.lit("a record has no size: set records without line or labels aside")))
+
+
 def evaluated_once(df: DataFrame) -> DataFrame:
     """The same rows behind a one-row ``inline``.
 

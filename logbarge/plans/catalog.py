@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +44,14 @@ from ..operators.metrics import (
     thin_by_count,
     unsent,
 )
-from ..operators.projection import by_tenant, project_records, split_errors, static_labels
+from ..operators.projection import by_tenant, project_records, split_bad, split_errors, static_labels
 from ..operators.readback import drop_labels, reconcile, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
 from ..sinks import PushOptions, push_attempts, write_payloads
 from ..sources import EventMapping, read_events, read_payloads, stream_events
 from ..sources.events import wire_time
-from ..streaming import cut_batches_stream, drain_open, use_rocksdb
+from ..streaming import ParallelCut, cut_batches_stream, drain_open, use_rocksdb
 from . import tables as X
 from .ship import ShipOptions, shape, ship
 from .ship import batch as batch_records
@@ -398,24 +398,27 @@ def payload_proto_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(encode_proto(cut_by_count(split_oversize(rec)[0], max_items=COUNT, block_rows=BLOCK)), "payload_bin")
 
 
-def _holed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _holed(events: DataFrame) -> DataFrame:
     """Events with holes by rules on their columns: no thread, no message, no time."""
     hole = lambda c, rule: F.when(~F.expr(rule), F.col(c))
-    return X.shop_events(spark, sf_dir).withColumns({
+    return events.withColumns({
         "shard": hole("thread", "user_id % 13 = 0"), "thread": hole("thread", "user_id % 7 = 0"),
         "message": hole("message", "user_id % 5 = 0"), "ts_ms": hole("ts_ms", "seq % 401 = 0"),
     })
 
 
-def shape_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each event with holes ends up: kept, refused for its size, or bad for a reason."""
-    options = ShipOptions(X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, shard=["shard"], max_bytes=HOLED_BYTES, max_items=COUNT, count_only=True, block_rows=BLOCK)
-    cut, refused, bad = batch_records(shape(_holed(spark, sf_dir), options), options)
+def _ends(kept: DataFrame, refused: DataFrame, bad: DataFrame) -> DataFrame:
     tell = lambda df, state, reason: df.groupBy(F.lit(state).alias("state"), reason.alias("reason")).agg(
         F.count("*").alias("events"), F.sum("seq").alias("ids")
     )
     none = F.lit(None).cast("string")
-    return tell(cut, "kept", none).unionAll(tell(refused, "refused", none)).unionAll(tell(bad, "bad", F.col("reason")))
+    return tell(kept, "kept", none).unionAll(tell(refused, "refused", none)).unionAll(tell(bad, "bad", F.col("reason")))
+
+
+def shape_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each event with holes ends up: kept, refused for its size, or bad for a reason."""
+    options = ShipOptions(X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, shard=["shard"], max_bytes=HOLED_BYTES, max_items=COUNT, count_only=True, block_rows=BLOCK)
+    return _ends(*batch_records(shape(_holed(X.shop_events(spark, sf_dir)), options), options))
 
 
 def encode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,24 +598,36 @@ def push_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams -------------------------------------------------------------------------------------
 
 
-def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
-    """The events as four files, one trigger each; (closed batches, the query's checkpoint)."""
-    folder = _fresh(spark, "stream")
+def _arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
+    """The events' table arriving by quarters of the id range (null ids with the first): each time, the stream of all so far.
+
+    The rows of a quarter come in as many files as Spark deals out and are one trigger.
+    """
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
-    step = source.agg(F.max("event_id")).first()[0] // 4 + 1
+    low, high = source.agg(F.min("event_id"), F.max("event_id")).first()
+    step = 1 if low is None else (high - low) // 4 + 1
+    quarter = F.coalesce(F.expr(f"(event_id - {low or 0}) div {step}"), F.lit(0))
     for k in range(4):
-        part = source.filter(F.col("event_id").between(k * step, (k + 1) * step - 1))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    events = stream_events(spark, f"{folder}/in", "parquet", source.schema, X.shop_mapping(), 1)
-    events = events.withColumn("shard", F.col("thread"))
-    rec = project_records(events, X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, keep=["shard"])
-    cut = cut_batches_stream(rec, ["shard"], max_items=ITEMS, max_bytes=BYTES)
-    query = (
-        cut.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
-        .option("path", f"{folder}/out").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.parquet(f"{folder}/out"), f"{folder}/state"
+        source.where(quarter == k).write.mode("append").parquet(f"{folder}/in")
+        yield stream_events(spark, f"{folder}/in", "parquet", source.schema, X.shop_mapping(), 1_000_000)
+
+
+def _shop_lines(events: DataFrame) -> DataFrame:
+    return project_records(events.withColumn("shard", F.col("thread")), X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, keep=["shard"])
+
+
+def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """(closed batches, the query's checkpoint) of a stream that is stopped and goes on three times."""
+    folder = _fresh(spark, "stream")
+    for events in _arrivals(spark, sf_dir, folder):
+        kept, _ = split_bad(_shop_lines(events), ["shard"])
+        cut = cut_batches_stream(kept, ["shard"], max_items=ITEMS, max_bytes=BYTES)
+        query = (
+            cut.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state")
+            .option("path", f"{folder}/out").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    return spark.read.schema(cut.schema).parquet(f"{folder}/out"), f"{folder}/state"
 
 
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -626,6 +641,31 @@ def stream_batches_no_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_table(closed, ["shard"])
 
 
+def stream_one_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of a stream as one hot shard, each trigger cut by many tasks, stopped and started in between."""
+    folder = _fresh(spark, "one-shard")
+    cut = ParallelCut(
+        f"{folder}/out", max_items=ITEMS, max_bytes=BYTES, timeout_ms=IDLE_MS, chunk_rows=512, group_chunks=4, block_rows=BLOCK
+    )
+    for events in _arrivals(spark, sf_dir, folder):
+        cut.start(_shop_lines(events), f"{folder}/state").awaitTermination()
+    cut.drain(spark)
+    return _batch_table(cut.rows(spark, "batch"), [])
+
+
+def stream_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each event with holes ends up in a running stream, as in the table."""
+    folder = _fresh(spark, "holed")
+    cut = ParallelCut(f"{folder}/out", ["shard"], max_items=COUNT, max_bytes=HOLED_BYTES, block_rows=BLOCK)
+    for events in _arrivals(spark, sf_dir, folder):
+        records = project_records(
+            _holed(events.withColumn("shard", F.col("thread"))), X.SHOP_LABELS, X.SHOP_METADATA, X.SHOP_LINE, keep=["shard"]
+        )
+        cut.start(records, f"{folder}/state").awaitTermination()
+    cut.drain(spark)
+    return _ends(*(cut.rows(spark, state) for state in ("batch", "refused", "bad")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -640,6 +680,6 @@ QUERIES: dict[str, Query] = {
         select_errors, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
         delivery_totals, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,
-        stream_batches, stream_batches_no_drain,
+        stream_batches, stream_batches_no_drain, stream_one_shard, stream_bad_records,
     )
 }

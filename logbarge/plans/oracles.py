@@ -445,3 +445,5 @@ SELECT batch_no, attempt, status, exception, 0::BIGINT AS delay_ms FROM judged W
 ORACLES["send_errors_from_one"] = ORACLES["send_errors"]
 ORACLES["stream_batches"] = ORACLES["batches_bounded"]
 ORACLES["stream_batches_no_drain"] = ORACLES["batches_no_drain"]
+ORACLES["stream_one_shard"] = ORACLES["batches_one_shard"]
+ORACLES["stream_bad_records"] = ORACLES["shape_bad_records"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -13,6 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.cutting import DRAIN, OPEN, Limits, Run, batches
 from ..operators.grouping import prepared
+from ..operators.sizing import known
 from ..settings import MAX_BYTES, MAX_ITEMS
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -107,10 +110,11 @@ def drain_open(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> Dat
         reader = spark.read.format("statestore").option("stateVarName", variable)
         return reader.load(checkpoint)
 
-    shard = [F.col(f"key.{k}").alias(k) for k in keys]
+    shard = [F.col(f"key.{k}").alias(f"_{k}") for k in keys]
     records = state("records").select(F.col("list_element.*"))
     cursor = state("cursor").select(*shard, F.col("value.next_batch").alias("batch_no"))
-    out = records.join(cursor, list(keys)).withColumn("condition", F.lit(DRAIN))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+    out = records.join(cursor, same).drop(*(f"_{k}" for k in keys)).withColumn("condition", F.lit(DRAIN))
     maps = [c for c in ("labels", "metadata") if c in out.columns]
     return out.withColumns({m: F.from_json(m, "map<string,string>") for m in maps})
 
@@ -130,6 +134,10 @@ def cut_batches_stream(
     (choose a processing-time trigger, which sets how often it is checked). Without it an open batch
     waits for more records; ``drain_open`` gives what is open when the stream has stopped.
 
+    Set records without order, time, line or labels aside first (``split_bad``): one without a size ends
+    the query. A null key is a shard like any other. ``ParallelCut`` does both, and cuts a hot shard in
+    parallel.
+
     A stream is batched per shard, one after the other. ``lanes`` splits every shard into that many
     independent sequences by a hash of the order column, so that a hot shard is not bound to one
     task; a ``lane`` column joins the keys. A task holds the rows of one key and trigger at a time, so
@@ -138,7 +146,7 @@ def cut_batches_stream(
     """
     if df.sparkSession.conf.get(PROVIDER, None) != ROCKSDB:
         raise ValueError(f"set {PROVIDER} to {ROCKSDB}, or call use_rocksdb")
-    records = prepared(df)
+    records = prepared(df).withColumns({c: known(F.col(c)) for c in ("msg_sz", "meta_sz", "stream_sz")})
     keys = list(keys)
     if lanes > 1:
         records = records.withColumn("lane", F.pmod(F.xxhash64(order), F.lit(lanes)).cast("int"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logbarge.operators.batching import cut_batches
 from logbarge.sinks import PushOptions, push_sink
 from logbarge.sources import stream_events
-from logbarge.streaming import StageTimes, cut_batches_stream, drain_open, stage_times, use_rocksdb
+from logbarge.streaming import ParallelCut, StageTimes, cut_batches_stream, drain_open, stage_times, use_rocksdb
 
 SCHEMA = "seq bigint, shard string, ts_ms bigint, nanos_in_ms int, level string, line string"
 
@@ -116,3 +116,85 @@ def test_stream_to_push_sink(spark, parts, tmp_path):
              .trigger(availableNow=True).start())
     query.awaitTermination()
     assert len(list((tmp_path / "seen").iterdir())) == 400
+
+
+KEY = ("shard", "seq", "batch_no", "condition", "line")
+
+
+def test_null_shards_are_drained(spark, tmp_path):
+    df = spark.range(12).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, "a").alias("shard"), F.col("id").alias("ts_ms"), F.lit(0).alias("nanos_in_ms"),
+        F.lit("l").alias("level"), F.lit("x").alias("line"),
+    )
+    df.coalesce(1).write.json(f"{tmp_path}/in")
+    stream = as_records(stream_events(spark, f"{tmp_path}/in", "json", SCHEMA))
+    run(cut_batches_stream(stream, ["shard"], max_items=4), tmp_path, availableNow=True).awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").unionByName(drain_open(spark, f"{tmp_path}/state", ["shard"]))
+    assert sorted(values(rows, "seq")) == list(range(12))
+    assert sorted(values(rows.where("condition = 'DRAIN'"), "seq", "batch_no")) == [(8, 1), (9, 1), (10, 1), (11, 1)]
+
+
+def test_a_record_without_size_ends_the_query(spark, tmp_path):
+    spark.range(3).selectExpr("id seq", "'s' shard", "id ts_ms", "0 nanos_in_ms", "'l' level").write.json(f"{tmp_path}/in")
+    stream = as_records(stream_events(spark, f"{tmp_path}/in", "json", SCHEMA))
+    query = run(cut_batches_stream(stream, ["shard"], max_items=4), tmp_path, availableNow=True)
+    with pytest.raises(Exception, match="no size"):
+        query.awaitTermination()
+
+
+@pytest.mark.parametrize("keys, timeout", [(["shard"], None), ([], 40)])
+def test_parallel_cut_equals_the_table(spark, parts, tmp_path, keys, timeout):
+    """Four triggers, small chunks; the idle drain by event time needs the clock of the trigger before."""
+    cut = ParallelCut(f"{tmp_path}/out", keys, max_items=9, max_bytes=350, timeout_ms=timeout, chunk_rows=16, group_chunks=2, block_rows=32)
+    stream = as_records(stream_events(spark, parts, "json", SCHEMA, max_files=1))
+    stream = stream.withColumn("ts_ms", F.col("ts_ms") + F.when(F.col("seq") % 37 == 0, 50).otherwise(0))
+    cut.start(stream, f"{tmp_path}/state").awaitTermination()
+    table = as_records(spark.read.schema(SCHEMA).json(parts))
+    table = table.withColumn("ts_ms", F.col("ts_ms") + F.when(F.col("seq") % 37 == 0, 50).otherwise(0))
+    options = {"max_items": 9, "max_bytes": 350, "timeout_ms": timeout}
+    closed = cut_batches(table, keys, drain_on_stop=False, **options)
+    got = cut.rows(spark, "batch")
+    assert sorted(values(got, *KEY)) == sorted(values(closed, *KEY))
+    assert len(spark.read.parquet(f"{tmp_path}/out/commits").collect()) == 4
+    assert sorted(values(got.unionByName(cut.rows(spark, "open"), allowMissingColumns=True), "seq")) == list(range(400))
+    cut.drain(spark)
+    cut.drain(spark)
+    assert sorted(values(cut.rows(spark, "batch"), *KEY)) == sorted(values(cut_batches(table, keys, **options), *KEY))
+    assert cut.rows(spark, "open").count() == 0
+
+
+def holed(spark, begin, end):
+    return as_records(spark.range(begin, end).select(
+        F.col("id").alias("seq"), F.when(F.col("id") % 11 != 0, F.concat(F.lit("s"), F.col("id") % 2)).alias("shard"), F.col("id").alias("ts_ms"),
+        F.lit(0).alias("nanos_in_ms"), F.lit("l").alias("level"), F.when(F.col("id") % 7 != 0, F.repeat(F.lit("x"), F.when(F.col("id") % 13 == 0, 500).otherwise(3))).alias("line"),
+    )).withColumn("seq", F.when(F.col("seq") != 5, F.col("seq")))
+
+
+def test_parallel_cut_sets_bad_records_aside_and_goes_on_after_a_drain(spark, tmp_path):
+    cut = ParallelCut(str(tmp_path), ["shard"], max_items=10, max_bytes=400)
+    step = lambda begin, end, trigger: cut.cut(cut._judged(holed(spark, begin, end)), trigger)
+    step(0, 50, 0)
+    step(50, 90, 1)
+    first = {s: sorted(map(str, cut.rows(spark, s).collect())) for s in ("batch", "open", "refused", "bad")}
+    step(50, 90, 1)  # a trigger that is run again
+    assert {s: sorted(map(str, cut.rows(spark, s).collect())) for s in first} == first
+    cut.drain(spark)
+    step(90, 130, 2)
+    step(130, 130, 3)  # a trigger without rows
+    cut.drain(spark)
+    batch, bad, refused = (cut.rows(spark, s) for s in ("batch", "bad", "refused"))
+    reasons = {}
+    for seq, reason, ts in values(bad, "seq", "reason", "ts_ms"):
+        reasons.setdefault(reason, []).append(ts)
+    ids = range(130)
+    assert reasons["no order"] == [5] and sorted(reasons["no shard"]) == [i for i in ids if i % 11 == 0]
+    assert sorted(reasons["no line"]) == [i for i in ids if i % 7 == 0 and i % 11]
+    assert sorted(values(refused, "seq")) == [i for i in ids if i % 13 == 0 and i % 7 and i % 11]
+    assert len(values(batch, "seq")) + bad.count() + refused.count() == 130
+    for shard in ("s0", "s1"):
+        mine = sorted(values(batch.where(F.col("shard") == shard), "batch_no", "seq", "condition"))
+        numbers = [b for b, _, _ in mine]
+        assert sorted(set(numbers)) == list(range(max(numbers) + 1)) and [s for _, s, _ in mine] == sorted(s for _, s, _ in mine)
+        drained = sorted({b for b, _, c in mine if c == "DRAIN"})
+        assert len(drained) == 2 and drained[-1] == max(numbers)
+        assert all(numbers.count(b) == 10 for b in set(numbers) - set(drained))
