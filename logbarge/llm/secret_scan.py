@@ -11,7 +11,9 @@ still consumes its characters. The others are found independently; spans of diff
 overlap.
 
 Defined results: a null text counts as empty and has no span; spans are code points, end
-exclusive; repeated rows are scanned each on its own; other columns are never read by the scan.
+exclusive; repeated rows are scanned each on its own; other columns are never read by the scan. Texts of
+any length are scanned whole, in time that grows with their length: no pattern rescans what another
+start of its kind has failed on. Parts nested too deep to read are no token.
 """
 
 from __future__ import annotations
@@ -44,6 +46,7 @@ HEX_RUN = re.compile(r"[0-9a-f]+")
 GH_TOKEN = re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 NPM_TOKEN = re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+JWT_RUN = re.compile(r"[A-Za-z0-9_-]*")
 PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----[A-Za-z0-9+/=\s]+-----END \1-----")
 
 # Keyword (lower case) -> kind.
@@ -83,7 +86,7 @@ def _decodes(match: re.Match) -> bool:
         head, body = (
             json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))) for part in (match[1], match[2])
         )
-    except ValueError:
+    except (ValueError, RecursionError):  # nested beyond the reader's depth is no token either
         return False
     return isinstance(head, dict) and isinstance(body, dict) and "alg" in head
 
@@ -147,6 +150,9 @@ def find_secrets(text: str | None, words: ahocorasick.Automaton) -> list[tuple[i
         pattern, test = RULES[kind]
         match = pattern.match(text, begin)
         if match is None:
+            if kind == "jwt":
+                # its first part must reach the end of its run, so no later start in that run does better
+                free_from[kind] = JWT_RUN.match(text, begin).end()
             continue
         free_from[kind] = match.end()
         if test(match):
@@ -199,7 +205,8 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", length_column: st
 
     ``length_column`` takes the new length in code points where a text changed.
     """
-    schema, names = docs.schema, docs.columns
+    names = docs.columns
+    plain = docs.toDF(*(f"c{k}" for k in range(len(names))))  # names with dots would not resolve
     has_length = length_column in names
 
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,4 +224,4 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", length_column: st
                 columns[k] = pa.array(lengths, columns[k].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(redact, schema)
+    return plain.mapInArrow(redact, plain.schema).toDF(*names)

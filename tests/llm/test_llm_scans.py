@@ -79,3 +79,22 @@ def test_licenses(spark):
     assert got == [(0, "MIT", ""), (1, "MIT", ""), (2, "MIT", ""), (3, None, ""), (4, None, ""), (5, None, ""), (6, None, ""),
                    (7, None, "CC-BY-4.0,MIT"), (8, "MIT", "MIT"), (9, None, "")]
     assert rows_of(scan_licenses(documents(spark, "x"), known={}), "license", "notices") == [(None, "")]
+
+
+def test_tokens_nested_too_deep_are_none():
+    part = lambda text: base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
+    deep = "[" * 50_000
+    head = part('{"alg":"x"}')
+    assert find_secrets(f"{head}.{part('{\"a\":' + deep)}.x", automaton()) == []
+    token = f"{head}.{part('{\"a\":1}')}.x"
+    text = "eyJ" * 10 + " eyJ.eyJ " + token + " eyJab. " + token
+    assert [text[b:e] for b, e, kind in find_secrets(text, automaton()) if kind == "jwt"] == [token, token]
+
+
+def test_long_runs_take_time_in_proportion():
+    import time
+
+    began = time.perf_counter()
+    for text in ("eyJ" * 350_000, "eyJ." * 250_000, "token " * 170_000, "AKIA" * 250_000, "-----BEGIN " * 90_000, "0a" * 500_000):
+        find_secrets(text, automaton())
+    assert time.perf_counter() - began < 20
