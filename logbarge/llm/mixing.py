@@ -19,7 +19,8 @@ Defined results: all sources without a weight, a null source included, form one
 ``other`` (0 unless given); a group of weight 0 gives no row. With ``other=None`` that group keeps its
 share of the table (rate 1 for the default total) and the weights share the rest. Rows with equal ids draw alike, so
 repeated rows stay equally repeated. A null id draws as the word null. An empty table gives an
-empty one. If a column is called like an added one, the added one gets a number.
+empty one. A document may be repeated any number of times: copies are dealt out in two steps, so
+those of one document are not one task. If a column is called like an added one, the added one gets a number.
 """
 
 from __future__ import annotations
@@ -29,9 +30,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_draw
+from .common import quoted, unit_draw
 
 MAX_RATE = 600.0  # of one draw; not far beyond it exp(-rate) leaves the range of doubles
+#: Copies of a document that one row makes; more of them are dealt out first, so many to a row.
+COPIES = 1024
 
 
 def poisson_steps(rate: float) -> list[float]:
@@ -92,11 +95,37 @@ def copies_of(seed: str, ident: Column, source: Column, rates: dict[str | None,
     return chain.otherwise(rest) if weights else rest
 
 
+def most_copies(rates: dict[str | None, float]) -> int:
+    """More than any draw gives: the steps of the tables, over all their parts."""
+    parts = {r: max(math.ceil(r / MAX_RATE), 1) for r in rates.values()}
+    return max((n * len(poisson_steps(r / n)) for r, n in parts.items()), default=0)
+
+
 def free_name(names: list[str], wanted: str) -> str:
     taken = {n.lower() for n in names}
     return next(n for n in (wanted, *(f"{wanted}_{i}" for i in range(1, len(taken) + 2))) if n not in taken)
 
 
+def exploded(docs: DataFrame, count: Column, copy: str, ident: Column, many: bool) -> DataFrame:
+    """Each row ``count`` times, numbered by ``copy`` from 0.
+
+    With ``many`` a row becomes one row per ``COPIES`` copies first. These are dealt out before they become
+    the copies, so the copies of a rare source's document are as many tasks as there are.
+    """
+    if not many:
+        return docs.select("*", F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias(copy))
+    names = [*docs.columns]
+    total, begin = (free_name(names, n) for n in ("copies", "first_copy"))
+    some = docs.withColumn(total, count).where(F.col(total) > 0)
+    few = some.where(F.col(total) <= COPIES).withColumn(begin, F.lit(0))
+    begins = F.sequence(F.lit(0), F.col(total) - 1, F.lit(COPIES))
+    rest = some.where(F.col(total) > COPIES).withColumn(begin, F.explode(begins))
+    rest = rest.repartition(F.col(begin), ident)
+    last = F.least(F.col(begin) + COPIES, F.col(total)) - 1
+    kept = [F.col(quoted(n)) for n in names]
+    return few.unionByName(rest).select(*kept, F.explode(F.sequence(F.col(begin), last)).alias(copy))
+
+
 def mix_sources(
     docs: DataFrame, weights: dict[str, float], seed: str = "mix-1", source: str = "source",
     id_column: str = "doc_id", total: int | None = None, other: float | None = 0.0, partitions: int | None = None,
@@ -110,7 +139,7 @@ def mix_sources(
     rates = source_rates(docs, weights, source, total, other, most=math.inf)
     ident = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
     count = copies_of(seed, ident, F.col(source), rates, weights)
-    counted = docs.select("*", F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias(copy))
+    counted = exploded(docs, count, copy, ident, most_copies(rates) > COPIES)
     keyed = counted.withColumn(key, F.md5(F.concat_ws("|", F.lit(seed), ident, F.col(copy).cast("string"))))
     dealt = keyed.repartition(partitions, key) if partitions else keyed.repartition(key)
     return dealt.sortWithinPartitions(key)

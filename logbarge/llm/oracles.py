@@ -46,8 +46,13 @@ def poisson_mix() -> str:
     norm = "(select sum(w) from weights where s in (select source from documents))"
     return f"""
     with recursive weights(s, w) as (values {weights}),
-    rates as (select s, w / {norm} * (select count(*) from documents) / n as rate
-        from weights join (select source, count(*) as n from documents group by source) on s = source),
+    sizes as (select case when source in (select s from weights) then source end as s, count(*) as n from documents group by 1),
+    whole as (select sum(n)::hugeint as total, coalesce(sum(n) filter (s is null), 0)::hugeint as others from sizes),
+    rates as (
+        select s, w / {norm} * case when others > 0 then (total * (total - others))::double / total else total end / n as rate
+        from weights join sizes using (s), whole
+        union all
+        select null, 1.0::double from whole where others > 0),
     steps(s, rate, k, term, total) as (
         select s, rate, 0, exp(-rate), exp(-rate) from rates
         union all
@@ -56,7 +61,7 @@ def poisson_mix() -> str:
     drawn as (
         select d.*, len(list_filter(totals, lambda x: x <=
             ('0x' || substr(md5('mix-1|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint / 4503599627370496.0)) as n
-        from documents d join cdf on s = source)
+        from documents d join cdf on s is not distinct from case when source in (select s from weights) then source end)
     select doc_id, text, lang, source, n_chars, copy::int as copy,
         md5('mix-1|' || coalesce(doc_id::varchar, 'null') || '|' || copy::varchar) as mix_key
     from (select * exclude (n), unnest(range(n)) as copy from drawn)"""

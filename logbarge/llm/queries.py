@@ -64,7 +64,8 @@ def license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents"), WEIGHTS)
+    """Sources without a weight, a null source included, keep their share of the table."""
+    return mix_sources(table(spark, sf_dir, "documents"), WEIGHTS, other=None)
 
 
 def cover_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

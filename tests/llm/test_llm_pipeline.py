@@ -1,5 +1,6 @@
 import numpy as np
 from llm_helpers import rows_of
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -42,3 +43,29 @@ def test_stages_in_turn(spark, sf):
 def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 100 and corpus_pipeline.ORACLE_SQL is None
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def odd_documents(spark, sf):
+    """Sample rows with nulls, repeated rows, empty and long texts, and columns called like internal ones."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    odd = [(None, "no id", "en", "src0", 5), (900, None, None, None, None), (901, "", "xx", "odd", 0), (902, "word " * 30_000, "en", "src1", 150_000), (902, "word " * 30_000, "en", "src1", 150_000)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    return docs.withColumns({"a.b": F.lit("dot"), "row_key": F.lit(1), "copy": F.lit("c"), "mix_key": F.lit(2), "uid": F.lit(3), "row": F.lit(4), "copies": F.lit(5), "text_": F.lit(6)})
+
+
+def test_stages_on_odd_rows(spark, sf):
+    docs = odd_documents(spark, sf)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        after = stage(spark, docs, sf)
+        if k < 4:
+            assert after.columns == docs.columns
+            docs = corpus_pipeline.written(after, "odd-stage")
+            assert docs.count() > 0 and docs.where("`a.b` <> 'dot' or copy <> 'c' or uid <> 3").count() == 0
+    assert after.count() > 0
+
+
+def test_stages_on_an_empty_table(spark, sf):
+    docs = odd_documents(spark, sf).limit(0)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        after = stage(spark, docs, sf)
+        assert after.count() == 0 and (k == 4 or after.columns == docs.columns)

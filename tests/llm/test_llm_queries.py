@@ -34,7 +34,7 @@ def odd(tmp_path_factory):
     docs = [
         (0, "Licensed under the MIT Licence", "en", "src0", 1), (1, None, "en", "src1", None), (2, "", None, "src2", 0),
         (3, "Copyright 2020 A\n\n(c) B\nLICENSED under CC BY 4.0!\n", "fr", None, 9), (3, "x", "fr", "src19", 1), (3, "x", "fr", "src19", 1),
-        (None, "a b", "de", "nowhere", 3), (4, "Sub license, licence; licenced\nAll rights reserved", "de", "src7", 3), (5, "word " * 9000, "en", "src0", 45000),
+        (None, "a b", "de", "nowhere", 3), (6, "c d", "de", "elsewhere", 3), (7, "e f", "de", None, 3), (4, "Sub license, licence; licenced\nAll rights reserved", "de", "src7", 3), (5, "word " * 9000, "en", "src0", 45000),
     ]
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     table = pa.table({n: pa.array([d[k] for d in docs], t) for k, (n, t) in enumerate(zip(names, [pa.int64(), *[pa.string()] * 3, pa.int64()]))})
@@ -62,7 +62,7 @@ def nothing(odd, tmp_path_factory):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

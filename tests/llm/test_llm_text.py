@@ -217,3 +217,13 @@ def test_mix_of_rare_sources(spark):
     assert rates == {"big": 1.0, None: 1.0}
     copies = mix_sources(documents(spark, *rows), {"rare": 1.0, "big": 1.0}, other=1.0).where("source is null or source = 'odd'").count()
     assert abs(copies - 5000 / 3) < 5 * (2 * 5000 / 3) ** 0.5 * 2
+
+
+def test_many_copies_of_one_document(spark):
+    rows = [(0, "rare", "en", "rare"), (1, "big", "en", "big"), (2, "other", "en", None)]
+    docs = documents(spark, *rows).withColumns({"copies": F.lit("x"), "first_copy": F.lit("y"), "a.b": F.lit("z")})
+    got = mix_sources(docs, {"rare": 1.0, "big": 0.001}, total=300_000, other=0.001)
+    counts = {r["doc_id"]: r for r in got.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("copy").alias("d"), F.max("copy").alias("m")).collect()}
+    assert abs(counts[0]["n"] - 300_000) < 6_000 and abs(counts[1]["n"] - 300) < 120 and abs(counts[2]["n"] - 300) < 120
+    assert all(r["n"] == r["d"] == r["m"] + 1 for r in counts.values())
+    assert got.columns == [*docs.columns, "copy", "mix_key"] and got.where("copies <> 'x' or first_copy <> 'y' or `a.b` <> 'z'").count() == 0
