@@ -1,7 +1,11 @@
 """From raw documents to packed training sequences: five stages over whole tables.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next one's docs. All but the last return the columns of ``docs``.
+again as the next one's docs. All but the last return the columns of ``docs``, whatever their names.
+
+In every stage a null text counts as an empty one, texts of any length are read whole, repeated rows
+are rows of their own, and an empty table gives an empty one. What a stage does with the rest is
+said there.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logbarge.llm.common import table, written
+from logbarge.llm.common import quoted, table, written
 from logbarge.llm.kneser_ney import good_documents
 from logbarge.llm.mixing import mix_sources
 from logbarge.llm.prob_minhash import deduplicated
@@ -21,12 +25,12 @@ from logbarge.settings import own_shared_folder
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language model of their language does not reject."""
+    """Documents that the language model of their language does not reject; unscored ones stay: empty texts, languages without a model."""
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates, equal rows included; texts without words are equal only to themselves."""
     return deduplicated(docs)
 
 
@@ -37,11 +41,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target weights, in random order; unweighted sources keep their share."""
-    return mix_sources(docs, WEIGHTS, other=None).select(*docs.columns)
+    return mix_sources(docs, WEIGHTS, other=None).select(*map(quoted, docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 ids, with their ids."""
+    """The pieces of all documents, repeated ones too, in sequences of 2048 ids, with their ids; an empty text is one id."""
     return pack_tokens(docs)
 
 
