@@ -7,8 +7,8 @@ A batch that starts at row p ends before the first row q where one of these hold
 * row q is more than ``timeout_ms`` later than the previous cut.
 
 Bytes are the row's own size plus its stream's size when the stream is new in the batch. The first
-row is always taken. Because the bytes of a window only shrink when its first row leaves, the end of
-every possible batch is found by one sliding window (``furthest``).
+row is always taken. The ends of the batches that could start at each row are found for all rows at once
+(``furthest``), without a loop over rows.
 """
 
 from __future__ import annotations
@@ -94,32 +94,42 @@ def batches(run: Run, start: int, until: int, clock: int | None, limits: Limits)
 
 
 def furthest(run: Run, own: int, limits: Limits) -> np.ndarray:
-    """End by items or bytes of a batch starting at each of the first ``own`` rows."""
+    """End by items or bytes of a batch starting at each of the first ``own`` rows.
+
+    The ends never move back, so a window that slides over the rows finds them. Many windows slide at
+    once, each over a stretch of starts of its own: a step moves every window's end or its start by one
+    row, whose cost follows from the rows before and behind it of the same stream.
+    """
     n = len(run)
     by_items = np.minimum(np.arange(own) + limits.max_items, n)
     sums = np.concatenate([[0], np.cumsum(run.own_bytes)])
     firsts = run.stream_bytes[run.previous < 0].sum()
-    if own and (sums[by_items] - sums[:own]).max() + firsts <= limits.max_bytes:
+    if not own or (sums[by_items] - sums[:own]).max() + firsts <= limits.max_bytes:
         return by_items
-    own_bytes, stream_bytes, streams = (
-        run.own_bytes.tolist(), run.stream_bytes.tolist(), run.streams.tolist(),
-    )
-    live: dict = dict.fromkeys(streams, 0)
+    # rows a window holds at most, if none of its streams is new: about what each has to fill first
+    width = max(1, int((np.searchsorted(sums, sums[:own:64] + limits.max_bytes) - np.arange(0, own, 64)).mean()))
+    stretch = max(64, min(width, limits.max_items) // 2)
+    following = np.full(n, n, dtype=np.int64)
+    follows = np.flatnonzero(run.previous >= 0)
+    following[run.previous[follows]] = follows
+    # a row that never fits ends the table
+    own_bytes, stream_bytes = np.append(run.own_bytes, 0), np.append(run.stream_bytes, 0)
+    previous = np.append(run.previous, -1)
     out = np.empty(own, dtype=np.int64)
-    q = total = 0
-    for p, stop in enumerate(by_items.tolist()):
-        while q < stop:
-            s = streams[q]
-            cost = own_bytes[q] if live[s] else own_bytes[q] + stream_bytes[q]
-            if q > p and total + cost > limits.max_bytes:
-                break
-            total += cost
-            live[s] += 1
-            q += 1
+    p = np.arange(0, own, stretch)
+    q, until, total = p.copy(), np.minimum(p + stretch, own), np.zeros(len(p), np.int64)
+    while len(p):
+        more = total + own_bytes[q] + np.where(previous[q] < p, stream_bytes[q], 0)
+        grow = (q < by_items[p]) & ((more <= limits.max_bytes) | (q == p))
         out[p] = q
-        s = streams[p]
-        live[s] -= 1
-        total -= own_bytes[p] if live[s] else own_bytes[p] + stream_bytes[p]
+        less = total - own_bytes[p] - np.where(following[p] >= q, stream_bytes[p], 0)
+        total = np.where(grow, more, less)
+        q = q + grow
+        p = p + ~grow
+        done = p == until
+        if done.any():
+            left = ~done
+            p, q, until, total = p[left], q[left], until[left], total[left]
     return out
 
 

@@ -6,7 +6,7 @@ from helpers import LINE, events, records, three_events, values
 from pyspark.sql import functions as F
 
 from logbarge.operators.batching import cut_batches, cut_by_count, summarize_batches
-from logbarge.operators.cutting import Limits, Run, batches, compose, transfer
+from logbarge.operators.cutting import Limits, Run, batches, compose, furthest, transfer
 from logbarge.operators.position import block_width, with_position
 from logbarge.operators.projection import project_records
 from logbarge.operators.sizing import split_oversize, with_size
@@ -203,3 +203,30 @@ def test_block_width(spark):
     assert 9_900_000 < block_width(df, "seq", 10) <= 10_000_000
     assert block_width(spark.range(1000).withColumnRenamed("id", "seq"), "seq", 10) == 10
     assert block_width(df.filter("seq < 0"), "seq", 10) == 10
+
+
+def test_all_ends_at_once():
+    """The ends found for all starts are those of a plain walk from each start."""
+    draw = np.random.default_rng(9)
+    for _ in range(300):
+        n, kinds = int(draw.integers(1, 400)), int(draw.integers(1, 12))
+        limits = Limits(int(draw.integers(1, 60)), int(draw.integers(1, 700)))
+        streams = draw.integers(0, kinds, n)
+        run = Run(draw.integers(0, 50, n), streams, draw.integers(0, 40, kinds)[streams])
+        own = int(draw.integers(0, n + 1))
+        ends = furthest(run, own, limits)
+        for p in range(own):
+            total, seen, q = 0, set(), p
+            while q < min(p + limits.max_items, n):
+                cost = run.own_bytes[q] + (0 if streams[q] in seen else run.stream_bytes[q])
+                if q > p and total + cost > limits.max_bytes:
+                    break
+                total, q = total + cost, q + 1
+                seen.add(streams[q - 1])
+            assert ends[p] == q
+
+
+def test_a_record_without_size_is_an_error(spark):
+    df = records(spark, {"line": "a"}, {"line": None}, {"line": "b"})
+    with pytest.raises(Exception, match="no size"):
+        cut_batches(df, max_bytes=100).collect()
