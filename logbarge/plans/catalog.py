@@ -48,7 +48,7 @@ from ..operators.projection import by_tenant, project_records, split_bad, split_
 from ..operators.readback import drop_labels, reconcile, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
-from ..sinks import PushOptions, push_attempts, write_payloads
+from ..sinks import Ledger, PushOptions, file_transport, write_payloads, write_push
 from ..sources import EventMapping, read_events, read_payloads, stream_events
 from ..sources.events import wire_time
 from ..streaming import ParallelCut, cut_batches_stream, drain_open, use_rocksdb
@@ -577,22 +577,18 @@ def thin_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return thin_by_count(ev, ["event_type"], "event_id", BLOCK)
 
 
-# Statuses of the stand-in transport, by batch and attempt; -1 stands for a refused connection.
-SIMULATED = (204, 503, -1, 429, 500)
-
-
-def simulated_transport(body: bytes, headers: dict) -> tuple[int, str]:
-    batch, attempt = int(headers["Idempotency-Key"].rsplit("/", 1)[-1]), int(headers["Retry-Attempt"])
-    status = SIMULATED[(batch * 7 + attempt * 3) % len(SIMULATED)]
-    if status < 0:
-        raise ConnectionRefusedError("refused")
-    return status, ""
-
-
 def push_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = encode_json(cut_by_count(X.order_records(spark, sf_dir), max_items=10, block_rows=BLOCK))
-    options = PushOptions(min_ms=0, max_ms=0, jitter_ms=0)
-    return push_attempts(payloads, simulated_transport, options)
+    """Payloads of the orders sent as files; what arrived is read back and set beside the attempts."""
+    folder = _fresh(spark, "pushed")
+    payloads = encode_json(cut_by_count(X.order_records(spark, sf_dir), max_items=COUNT, block_rows=BLOCK))
+    uri = folder if "://" in folder else f"file://{folder}"
+    write_push(payloads, file_transport(f"{uri}/bodies"), PushOptions(run_id="run"), f"{folder}/attempts", Ledger(f"{uri}/ledger"))
+    attempts = spark.read.parquet(f"{folder}/attempts")
+    bodies = spark.read.format("binaryFile").load(f"{folder}/bodies/run/*.body").select(
+        F.regexp_extract("path", r"(\d+)\.body$", 1).cast("bigint").alias("batch_no"),
+        F.md5("content").alias("body_md5"), F.col("length").cast("bigint").alias("body_bytes"),
+    )
+    return attempts.join(bodies, "batch_no", "left").select("batch_no", "attempt", "status", "body_md5", "body_bytes")
 
 
 # --- streams -------------------------------------------------------------------------------------

@@ -1,4 +1,5 @@
-from .files import write_payloads
-from .push import PushOptions, push_attempts, push_sink, write_push
+from .files import file_transport, write_payloads
+from .ledger import Ledger
+from .push import PushOptions, push_attempts, push_attempts_stream, push_sink, write_push
 
-__all__ = ["PushOptions", "push_attempts", "push_sink", "write_payloads", "write_push"]
+__all__ = ["Ledger", "PushOptions", "file_transport", "push_attempts", "push_attempts_stream", "push_sink", "write_payloads", "write_push"]

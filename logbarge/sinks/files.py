@@ -1,9 +1,10 @@
-"""Payload tables for replay and audit."""
+"""Payload tables for replay and audit, and payloads as files of their own."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 
 
@@ -19,3 +20,18 @@ def write_payloads(
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
+
+
+def file_transport(folder: str):
+    """A transport that puts each body into ``folder`` (a URI that Arrow can open), under its idempotency key."""
+
+    def put(body: bytes, headers: dict) -> tuple[int, str]:
+        files, path = fs.FileSystem.from_uri(folder)
+        name = f"{path.rstrip('/')}/{headers['Idempotency-Key']}"
+        files.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        with files.open_output_stream(f"{name}.tmp") as out:
+            out.write(body)
+        files.move(f"{name}.tmp", f"{name}.body")
+        return 204, ""
+
+    return put

@@ -1,3 +1,7 @@
+import os
+import time
+import uuid
+
 import pytest
 from helpers import values
 from pyspark.sql import Observation
@@ -14,7 +18,17 @@ from logbarge.operators.metrics import (
     thin_by_count,
     unsent,
 )
-from logbarge.sinks import PushOptions, push_attempts, push_sink, write_payloads, write_push
+from logbarge.sinks import (
+    Ledger,
+    PushOptions,
+    file_transport,
+    push_attempts,
+    push_attempts_stream,
+    push_sink,
+    write_payloads,
+    write_push,
+)
+from logbarge.streaming import use_rocksdb
 
 NO_WAIT = PushOptions(min_ms=0, max_ms=0, jitter_ms=0)
 
@@ -190,3 +204,93 @@ def test_payload_files(spark, tmp_path):
     write_payloads(df, str(tmp_path / "p"), ["tenant"])
     assert (tmp_path / "p" / "tenant=none").is_dir()
     assert spark.read.parquet(str(tmp_path / "p")).count() == 6
+
+
+def counting(path, dies_at=None):
+    """A transport that appends each delivery to a file; it takes its process down once, before batch ``dies_at``."""
+
+    def send(body, headers):
+        batch = headers["Idempotency-Key"].split("/")[-1]
+        if batch == dies_at:
+            try:
+                os.close(os.open(f"{path}/died", os.O_CREAT | os.O_EXCL))
+            except FileExistsError:
+                pass
+            else:
+                os._exit(1)
+        with open(f"{path}/{batch}-{uuid.uuid4().hex}", "wb") as f:
+            f.write(body)
+        return 204, ""
+
+    return send
+
+
+@pytest.mark.parametrize("kind", ["sink", "attempts"])
+def test_a_killed_task_sends_nothing_twice(spark, tmp_path, kind):
+    seen, ledger = tmp_path / "seen", Ledger(f"file://{tmp_path}/ledger", parts=4)
+    seen.mkdir()
+    options = PushOptions(run_id="r", keys=("shard",))
+    path = str(tmp_path / "attempts") if kind == "attempts" else None
+    df = payloads(spark, 20).coalesce(1)
+    with pytest.raises(Exception):  # noqa: B017 - the worker is gone
+        write_push(df, counting(str(seen), "13"), options, path, ledger)
+    assert (seen / "died").exists() and len(list(seen.iterdir())) == 14
+    write_push(df, counting(str(seen), "13"), options, path, ledger)
+    names = sorted(int(f.name.split("-")[0]) for f in seen.iterdir() if f.name != "died")
+    assert names == list(range(20))
+    if kind == "attempts":
+        assert sorted(values(spark.read.parquet(path), "batch_no")) == list(range(13, 20))
+    else:
+        done = [w for w in ledger.writes() if w["state"] == "committed"]
+        assert [(w["batches"], w["attempts"], w["skipped"], w["run_id"]) for w in done] == [(7, 7, 13, "r")]
+    # another run is another delivery
+    write_push(df, counting(str(seen)), PushOptions(run_id="r2", keys=("shard",)), path, ledger)
+    assert len(list(seen.iterdir())) == 41
+
+
+def test_ledger_groups(tmp_path):
+    ledger = Ledger(f"file://{tmp_path}", parts=2, group=3)
+    keys = [f"r/{k}" for k in range(10)]
+    for key in keys:
+        ledger.add(key)
+    ledger.flush()
+    other = Ledger(f"file://{tmp_path}", parts=2)
+    assert all(k in other for k in keys) and "r/10" not in other and ledger.writes() == []
+
+
+def test_file_transport(spark, tmp_path):
+    write_push(payloads(spark), file_transport(f"file://{tmp_path}/out"), PushOptions(run_id="a", keys=("shard",)))
+    assert sorted((f.name, f.read_bytes()) for f in (tmp_path / "out" / "a" / "s").iterdir()) == [(f"{k}.body", f"body{k}".encode()) for k in range(6)]
+
+
+def test_retries_wait_in_state(spark, tmp_path):
+    """Batch 1 is refused three times, batch 3 once; all others are there long before."""
+    use_rocksdb(spark)
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    payloads(spark, 8).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("batch_no bigint, shard string, payload_json string, tenant string").parquet(f"{tmp_path}/in")
+    options = PushOptions(keys=("shard",), run_id="r", min_ms=2000, max_ms=60_000, jitter_ms=0)
+    query = (
+        push_attempts_stream(stream, recording(str(seen)), options).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+        .option("checkpointLocation", f"{tmp_path}/state").trigger(processingTime="200 milliseconds").start()
+    )
+    want = [*WANT, (6, 0, 204, None), (7, 0, 204, None)]
+    try:
+        deadline, got = time.time() + 90, []
+        while len(got) < len(want) and time.time() < deadline:
+            time.sleep(1)
+            try:
+                got = values(spark.read.parquet(f"{tmp_path}/out"), "batch_no", "attempt", "status", "exception")
+            except Exception:
+                got = []
+    finally:
+        query.stop()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    rows = values(spark.read.parquet(f"{tmp_path}/out"), "batch_no", "attempt", "delay_ms")
+    retries = {(b, a): d for b, a, d in rows if a}
+    one = spark.createDataFrame([(1,)], "batch_no bigint")
+    assert [retries[1, r.retry] for r in retry_schedule(one, 2000, 60_000, 2).orderBy("retry").collect()] == [retries[1, 1], retries[1, 2]]
+    at = {name: os.path.getmtime(seen / name) for name in os.listdir(seen)}
+    # the first attempts of all others do not wait for the retries
+    assert max(at[f"{k}-0"] for k in range(8)) < at["1-1"] and at["1-2"] - at["1-1"] >= 4
