@@ -49,7 +49,7 @@ from ..operators.readback import drop_labels, reconcile, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
 from ..sinks import Ledger, PushOptions, file_transport, write_payloads, write_push
-from ..sources import EventMapping, read_events, read_payloads, stream_events
+from ..sources import EventMapping, read_events, read_payloads, read_proto_payloads, stream_events
 from ..sources.events import wire_time
 from ..streaming import ParallelCut, cut_batches_stream, drain_open, use_rocksdb
 from . import tables as X
@@ -468,6 +468,14 @@ def payload_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(cut, read_payloads(encode_json(cut).select("payload_json")))
 
 
+def proto_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with compressed Protobuf, from a written table of payloads."""
+    cut = _counted(spark, sf_dir)
+    path = _fresh(spark, "proto")
+    write_payloads(compress_snappy(encode_proto(cut)).select("batch_no", "payload_bin"), path)
+    return reconcile(cut, read_proto_payloads(decompress_snappy(spark.read.parquet(path))))
+
+
 def payload_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reconciliation when the batches of one condition were never stored."""
     cut = cut_batches(X.turn_records(spark, sf_dir), [], max_items=20, max_bytes=OVERSIZE, block_rows=BLOCK)
@@ -672,7 +680,7 @@ QUERIES: dict[str, Query] = {
         batches_by_count, batches_bounded, batches_idle, batches_no_drain, batches_one_shard,
         batches_of_text, tenant_batches, stream_groups,
         payload_json, payload_json_static, payload_text, payload_proto, payload_proto_times, payload_snappy, encode_errors, ship_json, ship_proto,
-        label_selector, payload_records, payload_roundtrip, payload_lost, payload_files,
+        label_selector, payload_records, payload_roundtrip, proto_roundtrip, payload_lost, payload_files,
         select_errors, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
         delivery_totals, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,

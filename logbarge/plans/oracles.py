@@ -438,3 +438,4 @@ ORACLES["stream_batches"] = ORACLES["batches_bounded"]
 ORACLES["stream_batches_no_drain"] = ORACLES["batches_no_drain"]
 ORACLES["stream_one_shard"] = ORACLES["batches_one_shard"]
 ORACLES["stream_bad_records"] = ORACLES["shape_bad_records"]
+ORACLES["proto_roundtrip"] = ORACLES["payload_roundtrip"]

@@ -18,7 +18,7 @@ from logbarge.operators.encoding import (
 )
 from logbarge.operators.projection import project_records, static_labels
 from logbarge.operators.readback import drop_labels, reconcile, select_stream
-from logbarge.sources import read_payloads
+from logbarge.sources import read_payloads, read_proto_payloads
 
 
 D, I = {"kind": "audit", "app": "store"}, {"kind": "sale", "app": "store"}
@@ -193,3 +193,45 @@ def test_select_and_drop(spark):
     assert values(select_stream(df, {"none": ""}, limit=1), "line") == ["9"]
     assert values(select_stream(df, {"none": "q"}), "line") == []
     assert drop_labels(df, ["x"]).select(F.to_json("labels").alias("l")).distinct().count() == 2
+
+
+ODD = (
+    {"ts_ms": 0, "nanos_in_ms": 0, "labels": {}, "line": "", "metadata": {"": "", "k": ""}},
+    {"ts_ms": -1, "nanos_in_ms": 999_999, "labels": {"q": 'a"b', "c": 'x",y="z'}, "line": "\u6f22\n" * 3000, "metadata": {"t": "\u00e9"}},
+    {"ts_ms": -86_400_001, "nanos_in_ms": 7, "labels": {"e": "", "b": "back\\"}, "line": "l", "metadata": {}},
+    {"ts_ms": 1 << 52, "nanos_in_ms": 1, "labels": {"s": "{a,b}=c"}, "line": "x" * 100_000, "metadata": {"a": "1", "b": "2"}},
+)
+
+
+def test_proto_payloads_read_back(spark):
+    rows = [*FOUR, *ODD, *({"ts_ms": k, "labels": {"n": str(k % 7)}, "line": f"l{k}", "metadata": {"k": str(k)} if k % 3 else {}} for k in range(400))]
+    df = records(spark, *rows)
+    cut = cut_by_count(df, max_items=50)
+    payloads = encode_proto(cut)
+    back = read_proto_payloads(payloads.select("batch_no", "payload_bin", F.lit("kept").alias("other")))
+    assert back.columns == ["batch_no", "other", "labels", "entry_no", "ts_ms", "nanos_in_ms", "line", "metadata"]
+    gaps = reconcile(df, back)
+    assert values(gaps.where("missing + extra > 0 or sent <> stored"), "stream_key") == [] and gaps.agg(F.sum("sent")).first()[0] == len(rows)
+    as_json = read_payloads(encode_json(cut).select("batch_no", "payload_json"))
+    key = ("batch_no", "entry_no", "ts_ms", "nanos_in_ms", "line", "labels", "metadata")
+    assert sorted(map(str, values(back, *key))) == sorted(map(str, values(as_json, *key)))
+    one = spark.createDataFrame([(1, None), (2, b"")], "batch_no int, payload_bin binary")
+    assert read_proto_payloads(one).collect() == []
+
+
+def test_proto_of_another_writer(spark):
+    """Fields in any order, unknown fields, repeated ones (the last counts) and messages without a time."""
+    message = push_request()()
+    stream = message.streams.add(labels='{a="b"}')
+    stream.entries.add(line="one").time.seconds = 5
+    stream.entries.add(line="two").meta.add(name="n", value="v")
+    first = message.streams[0].entries[0].SerializeToString()
+    body = lambda n, b: bytes([n << 3 | 2, len(b)]) + b
+    unknown = bytes([9 << 3 | 0, 0x96, 0x01, 10 << 3 | 5, 1, 2, 3, 4, 11 << 3 | 1, *range(8)])
+    other = body(1, body(2, unknown + first + body(2, b"three")) + unknown + body(1, b'{c="d"}'))
+    df = spark.createDataFrame([(message.SerializeToString(),), (other + unknown,)], "payload_bin binary")
+    got = sorted(values(read_proto_payloads(df), "line", "ts_ms", "entry_no", F.to_json("labels"), F.to_json("metadata")))
+    assert got == [("one", 5000, 0, '{"a":"b"}', "{}"), ("three", 5000, 0, '{"c":"d"}', "{}"), ("two", 0, 1, '{"a":"b"}', '{"n":"v"}')]
+    for broken in (b"\xff", b"\x0a\x05a", b"\x0b", b"\x80" * 12):
+        with pytest.raises(Exception, match="Malformed"):
+            read_proto_payloads(spark.createDataFrame([(broken,)], "payload_bin binary")).collect()
