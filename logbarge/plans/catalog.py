@@ -39,8 +39,12 @@ from ..operators.layouts import JsonLayout, MapSpec, format_json, format_text
 from ..operators.metrics import (
     attempt_errors,
     delivery_metrics,
+    distributions,
     dropped_counts,
     error_counts,
+    merge_distributions,
+    quantiles,
+    rank_error,
     thin_by_count,
     unsent,
 )
@@ -564,6 +568,20 @@ def delivery_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery_metrics(_payload_sizes(spark, sf_dir), _outcomes(spark, sf_dir))
 
 
+def delivery_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of order lines and prices per tenant, merged from monthly sketches, held against all values."""
+    rec = by_tenant(X.order_records(spark, sf_dir), "none").withColumns({"bytes": utf8_len("line"), "cents": F.col("seq") * 7919 % 100_003})
+    monthly = distributions(rec, {"bytes": "bytes", "cents": "cents"}, ["tenant"], 30 * 86_400_000)
+    found = quantiles(merge_distributions(monthly, ["tenant"]))
+    names = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("own")) for c in ("bytes", "cents")])
+    ranked = rec.select("tenant", F.inline(names)).join(found, ["tenant", "metric"]).groupBy("tenant", "metric", "quantile", "n").agg(
+        F.count("*").alias("all"), F.count_if(F.col("own") < F.col("value")).alias("below"), F.count_if(F.col("own") <= F.col("value")).alias("up_to")
+    )
+    off = F.lit(rank_error())
+    fits = (F.col("below") / F.col("all") - off <= F.col("quantile")) & (F.col("quantile") <= F.col("up_to") / F.col("all") + off)
+    return ranked.select("tenant", "metric", "quantile", "n", ((F.col("n") == F.col("all")) & fits).alias("within"))
+
+
 def send_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = classify_attempts(X.shop_attempts(spark, sf_dir))
     return attempt_errors(judged, delivery_outcomes(judged), 2)
@@ -683,7 +701,7 @@ QUERIES: dict[str, Query] = {
         label_selector, payload_records, payload_roundtrip, proto_roundtrip, payload_lost, payload_files,
         select_errors, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
-        delivery_totals, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,
+        delivery_totals, delivery_quantiles, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,
         stream_batches, stream_batches_no_drain, stream_one_shard, stream_bad_records,
     )
 }

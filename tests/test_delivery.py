@@ -12,9 +12,13 @@ from logbarge.operators.metrics import (
     THIN_STEPS,
     attempt_errors,
     delivery_metrics,
+    distributions,
     dropped_counts,
     error_counts,
+    merge_distributions,
     observe_payloads,
+    quantiles,
+    rank_error,
     thin_by_count,
     unsent,
 )
@@ -294,3 +298,18 @@ def test_retries_wait_in_state(spark, tmp_path):
     at = {name: os.path.getmtime(seen / name) for name in os.listdir(seen)}
     # the first attempts of all others do not wait for the retries
     assert max(at[f"{k}-0"] for k in range(8)) < at["1-1"] and at["1-2"] - at["1-1"] >= 4
+
+
+def test_merged_sketches_keep_their_error_bound(spark):
+    n = 60_000
+    df = spark.range(n).select((F.col("id") * 1000).alias("ts_ms"), (F.col("id") % 2).alias("k"), (F.col("id") * 7919 % n).alias("v"), F.when(F.col("id") % 10 == 0, 5).alias("w"))
+    sketches = distributions(df, {"v": "v", "a.w": F.col("w")}, ["k"], 1_000_000, k=256)
+    assert sketches.columns == ["k", "window_ms", "metric", "sketch"] and sketches.select("window_ms").distinct().count() == 60
+    rows = values(quantiles(merge_distributions(sketches, k=256), (0.01, 0.5, 0.9, 1.0)), "metric", "n", "quantile", "value")
+    for metric, seen, q, value in rows:
+        if metric == "v":
+            assert seen == n and abs((value + 1) / n - q) <= rank_error(256) + 1 / n
+        else:
+            assert (seen, value) == (n // 10, 5)
+    assert len(rows) == 8
+    assert distributions(df.limit(0), {"v": "v"}).count() == 0
