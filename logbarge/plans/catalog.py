@@ -49,7 +49,7 @@ from ..operators.metrics import (
     unsent,
 )
 from ..operators.projection import by_tenant, project_records, split_bad, split_errors, static_labels
-from ..operators.readback import drop_labels, reconcile, select_stream
+from ..operators.readback import bucket_digests, drop_labels, reconcile, reconcile_by_digest, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
 from ..sinks import Ledger, PushOptions, file_transport, write_payloads, write_push
@@ -487,6 +487,18 @@ def payload_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(cut, read_payloads(stored.select("payload_json")))
 
 
+def payload_lost_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by digests per stream and four turns, with those of the sent records written when they are cut."""
+    path = _fresh(spark, "lost")
+    cut_batches(X.turn_records(spark, sf_dir), [], max_items=20, max_bytes=OVERSIZE, block_rows=BLOCK).write.parquet(f"{path}/sent")
+    sent = spark.read.parquet(f"{path}/sent")
+    write_payloads(encode_json(sent).filter(F.col("condition") != "MAX_BYTES").select("payload_json"), f"{path}/stored")
+    stored = read_payloads(spark.read.parquet(f"{path}/stored"))
+    for name, side in (("sent", sent), ("stored", stored)):
+        bucket_digests(side, 4).write.parquet(f"{path}/{name}-digests")
+    return reconcile_by_digest(sent, stored, 4, *(spark.read.parquet(f"{path}/{name}-digests") for name in ("sent", "stored")))
+
+
 def payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = cut_by_count(by_tenant(X.order_records(spark, sf_dir), "none"), ["tenant"], max_items=100, block_rows=BLOCK)
     path = _fresh(spark, "payloads")
@@ -698,7 +710,7 @@ QUERIES: dict[str, Query] = {
         batches_by_count, batches_bounded, batches_idle, batches_no_drain, batches_one_shard,
         batches_of_text, tenant_batches, stream_groups,
         payload_json, payload_json_static, payload_text, payload_proto, payload_proto_times, payload_snappy, encode_errors, ship_json, ship_proto,
-        label_selector, payload_records, payload_roundtrip, proto_roundtrip, payload_lost, payload_files,
+        label_selector, payload_records, payload_roundtrip, proto_roundtrip, payload_lost, payload_lost_digests, payload_files,
         select_errors, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
         delivery_totals, delivery_quantiles, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,

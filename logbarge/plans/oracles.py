@@ -442,3 +442,4 @@ ORACLES["stream_batches_no_drain"] = ORACLES["batches_no_drain"]
 ORACLES["stream_one_shard"] = ORACLES["batches_one_shard"]
 ORACLES["stream_bad_records"] = ORACLES["shape_bad_records"]
 ORACLES["proto_roundtrip"] = ORACLES["payload_roundtrip"]
+ORACLES["payload_lost_digests"] = ORACLES["payload_lost"]

@@ -44,6 +44,10 @@ class OpenBatch(StatefulProcessor):
         self.records = handle.getListState("records", self.schema)
         self.cursor = handle.getValueState("cursor", "next_batch bigint, last_cut bigint")
 
+    def handleInitialState(self, key, initialState, timerValues):
+        now = timerValues.getCurrentProcessingTimeInMs() if self.limits.timeout_ms is not None else 0
+        self.cursor.update((int(initialState["next_batch"].iloc[0]), now))
+
     def handleInputRows(self, key, rows, timerValues):
         # arrival order inside one trigger is the order column
         fresh = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
@@ -119,6 +123,15 @@ def drain_open(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> Dat
     return out.withColumns({m: F.from_json(m, "map<string,string>") for m in maps})
 
 
+def next_batches(spark: SparkSession, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """(keys, next_batch) of a stopped stream, behind its drained batches: what a new one goes on with."""
+    read = lambda name: spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+    shard = [F.col(f"key.{k}").alias(k) for k in keys]
+    numbers = read("cursor").select(*shard, F.col("value.next_batch").alias("next_batch"), F.lit(0).alias("open"))
+    still = read("records").select(*shard, F.lit(0).cast("bigint").alias("next_batch"), F.lit(1).alias("open"))
+    return numbers.unionByName(still).groupBy(*keys).agg((F.max("next_batch") + F.max("open")).alias("next_batch"))
+
+
 def cut_batches_stream(
     df: DataFrame,
     keys: Sequence[str],
@@ -127,6 +140,7 @@ def cut_batches_stream(
     max_bytes: int = MAX_BYTES,
     timeout_ms: int | None = None,
     lanes: int = 1,
+    continues: DataFrame | None = None,
 ) -> DataFrame:
     """``cut_batches`` for a stream of records; closed batches are emitted in append mode.
 
@@ -134,6 +148,9 @@ def cut_batches_stream(
     (choose a processing-time trigger, which sets how often it is checked). Without it an open batch
     waits for more records; ``drain_open`` gives what is open when the stream has stopped.
 
+    ``continues`` (see ``next_batches``) hands the batch numbers of a drained stream over to a new one with
+    a checkpoint of its own, so that they have no gap.
+
     Set records without order, time, line or labels aside first (``split_bad``): one without a size ends
     the query. A null key is a shard like any other. ``ParallelCut`` does both, and cuts a hot shard in
     parallel.
@@ -162,5 +179,6 @@ def cut_batches_stream(
         outputStructType=out,
         outputMode="Append",
         timeMode="None" if timeout_ms is None else "ProcessingTime",
+        initialState=None if continues is None else continues.select(*keys, "next_batch").groupBy(*keys),
     )
     return cut.withColumns({m: F.from_json(m, "map<string,string>") for m in maps})

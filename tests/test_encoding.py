@@ -17,7 +17,7 @@ from logbarge.operators.encoding import (
     split_encode_errors,
 )
 from logbarge.operators.projection import project_records, static_labels
-from logbarge.operators.readback import drop_labels, reconcile, select_stream
+from logbarge.operators.readback import bucket_digests, drop_labels, reconcile, reconcile_by_digest, select_stream
 from logbarge.sources import read_payloads, read_proto_payloads
 
 
@@ -235,3 +235,27 @@ def test_proto_of_another_writer(spark):
     for broken in (b"\xff", b"\x0a\x05a", b"\x0b", b"\x80" * 12):
         with pytest.raises(Exception, match="Malformed"):
             read_proto_payloads(spark.createDataFrame([(broken,)], "payload_bin binary")).collect()
+
+
+def test_reconcile_by_digest_equals_reconcile(spark, tmp_path):
+    sent = [{"ts_ms": k - 50, "nanos_in_ms": k % 3, "labels": {"s": str(k % 4)}, "line": f"l{k // 2}", "metadata": {"k": str(k % 5)}} for k in range(300)]
+    sent += [dict(sent[7]), dict(sent[7])]
+    # two of one record become two of another: counts alone would not tell
+    stored = [r for r in sent if r["ts_ms"] not in (-20, -16)] + [dict(sent[200]), dict(sent[200]), {"ts_ms": 9_000, "labels": {"new": "x"}, "line": "z"}]
+    a, b = records(spark, *sent), records(spark, *stored)
+    key = ("stream_key", "sent", "stored", "missing", "extra")
+    want = sorted(values(reconcile(a, b), *key))
+    assert sum(r[3] for r in want) == 2 and sum(r[4] for r in want) == 3
+    for bucket in (1, 10, 10_000):
+        assert sorted(values(reconcile_by_digest(a, b, bucket), *key)) == want
+    same = reconcile_by_digest(a, a.repartition(3), 10)
+    assert sorted(values(same, *key)) == sorted(values(reconcile(a, a), *key))
+    assert reconcile_by_digest(a.limit(0), b.limit(0)).count() == 0
+    assert sorted(values(reconcile_by_digest(a, b.limit(0), 10), *key)) == sorted(values(reconcile(a, b.limit(0)), *key))
+    # the span of the differing buckets reaches the scan
+    for name, df in (("a", a), ("b", b.where("ts_ms < 9000"))):
+        df.write.parquet(f"{tmp_path}/{name}")
+        bucket_digests(spark.read.parquet(f"{tmp_path}/{name}"), 10).write.parquet(f"{tmp_path}/{name}-digests")
+    read = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("a", "b", "a-digests", "b-digests")}
+    plan = reconcile_by_digest(read["a"], read["b"], 10, read["a-digests"], read["b-digests"])._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(ts_ms,-20)" in plan and "LessThan(ts_ms,160)" in plan

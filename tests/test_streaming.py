@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logbarge.operators.batching import cut_batches
 from logbarge.sinks import PushOptions, push_sink
 from logbarge.sources import stream_events
-from logbarge.streaming import ParallelCut, StageTimes, cut_batches_stream, drain_open, stage_times, use_rocksdb
+from logbarge.streaming import ParallelCut, StageTimes, cut_batches_stream, drain_open, next_batches, stage_times, use_rocksdb
 
 SCHEMA = "seq bigint, shard string, ts_ms bigint, nanos_in_ms int, level string, line string"
 
@@ -198,3 +198,27 @@ def test_parallel_cut_sets_bad_records_aside_and_goes_on_after_a_drain(spark, tm
         drained = sorted({b for b, _, c in mine if c == "DRAIN"})
         assert len(drained) == 2 and drained[-1] == max(numbers)
         assert all(numbers.count(b) == 10 for b in set(numbers) - set(drained))
+
+
+def test_a_new_stream_goes_on_with_the_numbers(spark, tmp_path):
+    """Drained and handed over to a checkpoint of its own; one shard is null, one appears later."""
+    for part, begin in (("one", 0), ("two", 50)):
+        spark.range(begin, begin + 50).select(
+            F.col("id").alias("seq"), F.when(F.col("id") % 2 == 0, "a").when(F.col("id") > 80, "new").alias("shard"), F.col("id").alias("ts_ms"),
+            F.lit(0).alias("nanos_in_ms"), F.lit("l").alias("level"), F.lit("x").alias("line"),
+        ).coalesce(1).write.json(f"{tmp_path}/{part}/in")
+    rows, continues = [], None
+    for part in ("one", "two"):
+        stream = as_records(stream_events(spark, f"{tmp_path}/{part}/in", "json", SCHEMA))
+        run(cut_batches_stream(stream, ["shard"], max_items=10, continues=continues), f"{tmp_path}/{part}", availableNow=True).awaitTermination()
+        closed = spark.read.parquet(f"{tmp_path}/{part}/out")
+        rows += values(closed.unionByName(drain_open(spark, f"{tmp_path}/{part}/state", ["shard"])), "shard", "batch_no", "seq")
+        continues = next_batches(spark, f"{tmp_path}/{part}/state", ["shard"])
+        continues.write.parquet(f"{tmp_path}/{part}/next")
+        continues = spark.read.parquet(f"{tmp_path}/{part}/next")
+    assert sorted(r[2] for r in rows) == list(range(100))
+    numbers = {s: sorted({b for shard, b, _ in rows if shard == s}) for s in ("a", None, "new")}
+    assert numbers == {"a": list(range(6)), None: list(range(5)), "new": [0]}
+    for shard, found in numbers.items():
+        assert all(max(q for s, b, q in rows if s == shard and b == n) < min(q for s, b, q in rows if s == shard and b == n + 1) for n in found[:-1])
+    assert sorted(values(continues, "next_batch")) == [1, 5, 6]
