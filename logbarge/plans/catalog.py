@@ -52,7 +52,7 @@ from ..operators.projection import by_tenant, project_records, split_bad, split_
 from ..operators.readback import bucket_digests, drop_labels, reconcile, reconcile_by_digest, select_stream
 from ..operators.sizing import split_oversize, with_size
 from ..settings import configure, shared_folder
-from ..sinks import Ledger, PushOptions, file_transport, write_payloads, write_push
+from ..sinks import Ledger, PushOptions, file_transport, read_labelled, write_label_index, write_payloads, write_push
 from ..sources import EventMapping, read_events, read_payloads, read_proto_payloads, stream_events
 from ..sources.events import wire_time
 from ..streaming import ParallelCut, cut_batches_stream, drain_open, use_rocksdb
@@ -523,6 +523,19 @@ def select_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select(F.col("seq").alias("event_id"), wire_time().alias("ts_ns"), "line")
 
 
+def select_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error records per line, from written payloads of which only the files with the label are opened."""
+    path = _fresh(spark, "labelled")
+    rec = X.shop_records(spark, sf_dir).withColumn("level", F.element_at("labels", F.lit("level")))
+    cut = cut_by_count(rec, ["level"], max_items=COUNT, block_rows=BLOCK)
+    write_payloads(encode_json(cut, ["level"]).select("level", "payload_json"), f"{path}/payloads", ["level"])
+    write_label_index(spark, f"{path}/payloads", f"{path}/index")
+    wanted = {"app": "shop", "level": "error"}
+    found = read_labelled(spark, f"{path}/payloads", f"{path}/index", wanted).select("payload_json")
+    hits = select_stream(read_payloads(found), wanted, end_ns=1_705_000_000_000_000_000, order="entry_no")
+    return hits.groupBy("line").agg(F.count("*").alias("records"))
+
+
 def select_backward(spark: SparkSession, sf_dir: str) -> DataFrame:
     rec = X.shop_records(spark, sf_dir)
     top = select_stream(rec, {"level": "view", "missing": ""}, limit=50, direction="backward")
@@ -711,7 +724,7 @@ QUERIES: dict[str, Query] = {
         batches_of_text, tenant_batches, stream_groups,
         payload_json, payload_json_static, payload_text, payload_proto, payload_proto_times, payload_snappy, encode_errors, ship_json, ship_proto,
         label_selector, payload_records, payload_roundtrip, proto_roundtrip, payload_lost, payload_lost_digests, payload_files,
-        select_errors, select_backward, drop_label, stream_time_order,
+        select_errors, select_indexed, select_backward, drop_label, stream_time_order,
         retry_delays, attempts_classified, attempts_separate, delivery_states, dead_letter_batches,
         delivery_totals, delivery_quantiles, send_errors, send_errors_from_one, unsent_events, thin_drops, push_delivery,
         stream_batches, stream_batches_no_drain, stream_one_shard, stream_bad_records,

@@ -401,6 +401,8 @@ SELECT tenant, count(*) AS batches, CAST(sum(items) AS BIGINT) AS items, CAST(su
 FROM payloads GROUP BY ALL""",
     "select_errors": f"""WITH {REC} SELECT seq AS event_id, ts_ns, line FROM rec
 WHERE level = 'error' AND ts_ms * 1000000 + nanos < 1705000000000000000 ORDER BY ts_ms, nanos, seq LIMIT 100""",
+    "select_indexed": f"""WITH {REC} SELECT line, count(*) AS records FROM rec
+WHERE level = 'error' AND ts_ms * 1000000 + nanos < 1705000000000000000 GROUP BY line""",
     "select_backward": f"""WITH {REC} SELECT seq AS event_id, ts_ns, line FROM rec
 WHERE level = 'view' ORDER BY ts_ms DESC, nanos DESC, seq DESC LIMIT 50""",
     "drop_label": """SELECT '{"lang":"' || lang || '"}' AS stream_key, count(*) AS records FROM documents GROUP BY ALL""",

@@ -3,11 +3,13 @@ import time
 import uuid
 
 import pytest
-from helpers import values
+from helpers import records, values
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from logbarge.operators.batching import cut_by_count
 from logbarge.operators.delivery import classify_attempts, dead_letters, delivery_outcomes, retry_delay, retry_schedule
+from logbarge.operators.encoding import encode_json, encode_proto
 from logbarge.operators.metrics import (
     THIN_STEPS,
     attempt_errors,
@@ -29,6 +31,8 @@ from logbarge.sinks import (
     push_attempts,
     push_attempts_stream,
     push_sink,
+    read_labelled,
+    write_label_index,
     write_payloads,
     write_push,
 )
@@ -313,3 +317,26 @@ def test_merged_sketches_keep_their_error_bound(spark):
             assert (seen, value) == (n // 10, 5)
     assert len(rows) == 8
     assert distributions(df.limit(0), {"v": "v"}).count() == 0
+
+
+@pytest.mark.parametrize("col", ["payload_json", "payload_bin"])
+def test_label_index_opens_only_files_with_the_labels(spark, tmp_path, col):
+    path, index = str(tmp_path / "payloads"), str(tmp_path / "index")
+    encode = encode_json if col == "payload_json" else encode_proto
+
+    def write(*labels):
+        for k, some in enumerate(labels):
+            rows = [{"seq": i, "labels": lab, "line": f"{k}-{i}"} for i, lab in enumerate(some)]
+            encode(cut_by_count(records(spark, *rows))).select(col).coalesce(1).write.mode("append").parquet(path)
+
+    files = lambda **wanted: read_labelled(spark, path, index, wanted).select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    write([{"a": "1"}, {"a": "2", "b": "x"}], [{"a": "2"}], [{}], [{"a": "3"}, {"b": "x"}])
+    assert files(a="2") == 4
+    write_label_index(spark, path, index, col)
+    assert (files(a="2"), files(a="2", b="x"), files(b="x"), files(a="4"), files(b=""), files()) == (2, 1, 2, 0, 4, 4)
+    write([{"a": "4"}])
+    assert files(a="4") == 1 and files(a="2") == 3  # a file that is not indexed yet is read
+    write_label_index(spark, path, index, col)
+    assert files(a="4") == 1 and files(a="2") == 2
+    plan = read_labelled(spark, path, index, {"a": "4"})
+    assert len(plan.inputFiles()) == 5 and plan.count() == 1
