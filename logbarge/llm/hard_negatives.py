@@ -43,8 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, small, written
-from .dual_tree import whole_components
+from .common import pick, small, whole_components, written
 
 #: Members of a node that is not split, and children of one that is.
 LEAF, FAN = 64, 16

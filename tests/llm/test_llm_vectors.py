@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logbarge.llm import binary_codes as B
+from logbarge.llm import dual_tree as D
 from logbarge.llm.components import connected_components
 from logbarge.llm.dual_tree import cover_tree, exact_search, top_k
 
@@ -95,18 +96,38 @@ def test_cover_tree_covers():
 def test_search_equals_brute_force(k):
     x = np.floor(256 * clusters(4, 5, 100, 150, dims=8)).astype(int)
     uids = np.arange(len(x))
-    rows, scores = exact_search(x[::7].tolist(), uids[::7], x.tolist(), uids, k)
+    rows, scores = exact_search(x[::7], uids[::7], x, uids, k)
     for q, place in enumerate(uids[::7]):
         want = sorted((-int(x[place] @ x[j]), j) for j in uids if j != place)[:k]
         n = len(want)
-        assert [int(j) for j in rows[q][:n]] == [j for _, j in want] and scores[q][:n] == [-s for s, _ in want]
+        assert [int(j) for j in rows[q][:n]] == [j for _, j in want] and scores[q][:n].tolist() == [-s for s, _ in want]
         assert (rows[q][n:] == -1).all()
 
 
 def test_wide_components_and_blocks(spark):
-    big = [[2**40, 1], [2**40, -1], [3, 2**41]]
+    big = np.array([[2**40, 1], [2**40, -1], [3, 2**41]])
     rows, scores = exact_search(big, np.arange(3), big, np.arange(3), 2)
     assert rows[0].tolist() == [2, 1] or scores[0][0] == 2**63 - 1
     x = clusters(6, 4, 30, 60, dims=8)
     df = table(spark, [(k * 10, v.tolist()) for k, v in enumerate(x)])
     assert rows_of(top_k(df, query_block=5, data_block=40)) == rows_of(top_k(df))
+
+
+def test_groups_skip_nodes_of_clustered_data(spark, monkeypatch):
+    """Twenty far clusters as blocks of their own: most pairs of nodes are never asked for, and nothing is lost."""
+    x = clusters(8, 20, 60, 0, dims=8, noise=0.02)
+    df = table(spark, [(k, v.tolist()) for k, v in enumerate(x)])
+    asked = []
+    plain = D.with_partners
+    monkeypatch.setattr(D, "with_partners", lambda *a: asked.append(plain(*a)) or asked[-1])
+    got = rows_of(top_k(df, every=10, data_block=60, query_block=30))
+    whole = np.floor(256 * x).astype(np.int64)
+    want = []
+    for q in range(0, len(x), 10):
+        inner = whole @ whole[q]
+        best = sorted((j for j in range(len(x)) if j != q), key=lambda j: (-inner[j], j))[:5]
+        want += [(q, r, j, int(inner[j])) for r, j in enumerate(best, 1)]
+    assert got == sorted(want, key=str)
+    pairs = sum(len(r.nodes) for a in asked for r in a.collect())
+    nodes = len({n for a in asked for r in a.collect() for n in r.nodes})
+    assert nodes >= 15 and pairs < 0.5 * asked[0].count() * nodes
