@@ -24,18 +24,33 @@ from logbarge.llm.slack_packing import pack_tokens
 from logbarge.settings import own_shared_folder
 
 
+#: Rows and bytes of an Arrow batch between Spark and its Python workers.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def in_small_batches(spark: SparkSession) -> SparkSession:
+    """Batches of whole texts in place of 10,000 rows at once, which take tens of MB several times over in each task."""
+    for key, most in BATCH.items():
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+    return spark
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model of their language does not reject; unscored ones stay: empty texts, languages without a model."""
-    return good_documents(docs, table(spark, sf_dir, "labels"))
+    return good_documents(docs, table(in_small_batches(spark), sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, equal rows included; texts without words are equal only to themselves."""
+    in_small_batches(spark)
     return deduplicated(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text give way to their kind in brackets."""
+    in_small_batches(spark)
     return redact_secrets(docs)
 
 
@@ -46,6 +61,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, repeated ones too, in sequences of 2048 ids, with their ids; an empty text is one id."""
+    in_small_batches(spark)
     return pack_tokens(docs)
 
 
