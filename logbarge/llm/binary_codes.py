@@ -1,36 +1,44 @@
 """Near-duplicate vectors by randomly rotated binary codes with correction factors.
 
 Vectors of one length are normalised and rotated by random orthogonal matrices (seeded, the same in
-every task). The signs of the first rotation are a vector's code x; with the stored factor
-f = |rotated vector|_1, the estimate a'.x_b / f_b of the cosine of a and b is unbiased over
-rotations, and with r = f / sqrt(dims), the inner product of a vector and its code, it is off by
-more than ``sigmas`` * sqrt((1 - r^2) / (r^2 (dims - 1))) only with the tail probability of that
-many standard deviations. Pairs whose upper bound is under the threshold are left there; all
-others are computed anew in double precision, and only that value makes a link.
-
-Which pairs meet at all: sign bits of as many rotations as needed are cut into bands; vectors with
-a band in common meet. The bits per band follow from the number of vectors (buckets of about
-``bucket`` random vectors), the number of bands from the recall wanted at the threshold, where two
-vectors agree in a bit with probability 1 - angle / pi. Recall grows quickly above it.
+every task). A vector is coded once, and only codes are shuffled to where vectors meet. A code holds
+the signs x_k of each rotation k, the factors f_k = |rotated vector|_1, and the vector itself in four
+bits a component of the first rotation, rounded with a fixed random shift. The estimate a'.x_k / f_k
+of the cosine of a and b is unbiased over rotations; with r_k = f_k / sqrt(dims), the inner product of
+a vector and its code, it is off by more than ``sigmas`` * sqrt((1 - r^2) / (r^2 (dims - 1))) only with
+the tail probability of that many standard deviations, and never by more than sqrt(1 - r^2) / r. What
+the four bits lose is bounded likewise from the stored length of the rounding error.
+
+The estimate of the first rotation takes bit operations (and, count) over the four bit planes; pairs
+whose upper bound reaches the threshold are estimated again over all stored rotations. The vectors of
+pairs that still reach it, and no others, are fetched and compared in double precision, and only that
+value makes a link.
+
+Which pairs meet at all: the signs are cut into bands; vectors with a band in common meet. The bits
+per band follow from the number of vectors (buckets of about ``bucket`` random vectors), the number of
+bands from the recall wanted at the threshold, where two vectors agree in a bit with probability
+1 - angle / pi. Recall grows quickly above it.
 
 Equal vectors are folded first, with their number as weight. Crowds of near-equal vectors are folded
 next: in each bucket of more than a block, members within half the threshold's angle of one of a few
 leaders form its ball; any two of a ball are within the whole angle (the angle is a metric), so all
 of them are linked and need no comparison. What remains of a bucket, pairs with at least one member
-outside its ball, is cut into blocks, and a task compares one pair of blocks as matrices. No pair
-becomes a row: a task returns, per vector, its number of new links and the least vector it hangs
-together with in that block pair. A pair that meets in several bands counts in the first only.
+outside its ball, is cut into blocks, and a task compares one pair of blocks. No pair becomes a row:
+a first pass returns the members of a block pair that have a surviving pair there, a second one, with
+the vectors of these, per vector its number of new links and the least vector it hangs together with
+in that block pair. A pair that meets in several bands counts in the first only.
 
 Defined results: vectors that are null, zero or hold a null or non-finite component have no link
 and are their own component; vectors of different lengths are not compared; rows with equal ids
-are rows of their own; a null id is kept and ranks last. An empty table gives an empty one.
+are rows of their own; a null id is kept and ranks last. An empty table gives an empty one. Only the id
+and vector columns are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -43,7 +51,9 @@ from .common import per_group, pick, written
 from .components import connected_components
 
 #: Vectors per block of a bucket, and leaders tried in a bucket of more than one block.
-BLOCK, LEADERS = 1024, 8
+BLOCK, LEADERS = 4096, 8
+#: Bits a component keeps in a code, most rotations with a factor, and pairs gathered at a time.
+PLANES, FACTORS, GATHER = 4, 8, 1 << 15
 SEED = 20240607
 
 
@@ -70,60 +80,143 @@ def unit_vectors(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(1, keepdims=True))
 
 
-def band_values(units: np.ndarray, bits: int, bands: int) -> np.ndarray:
-    """The band keys of unit vectors, one column per band."""
-    dims = units.shape[1]
-    signs = (units @ rotations(dims, -(-bits * bands // dims)) > 0)[:, : bits * bands].reshape(len(units), bands, bits)
-    return signs.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
+def rotations_of(dims: int, bits: int, bands: int) -> int:
+    """Rotations whose signs fill all bands."""
+    return -(-bits * bands // dims)
 
 
-class Codes:
-    """Codes of the first rotation and the factors that correct their estimates."""
+def band_values(signs: np.ndarray, bits: int, bands: int) -> np.ndarray:
+    """The keys of the first ``bands`` bands, one column per band."""
+    cut = signs[:, : bits * bands].reshape(len(signs), bands, bits)
+    return cut.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
 
-    def __init__(self, units: np.ndarray, sigmas: float):
-        dims = units.shape[1]
-        self.rotated = units @ rotations(dims, 1)
-        self.code = np.where(self.rotated > 0, 1.0, -1.0)
-        self.factor = np.abs(self.rotated).sum(1)
-        inner = np.minimum(self.factor / math.sqrt(dims), 1.0)
-        self.error = sigmas * np.sqrt((1 - inner**2) / (inner**2 * max(dims - 1, 1)))
 
-    def candidates(self, a: slice, b: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of the two slices whose upper bound reaches the threshold."""
-        estimate = self.rotated[a] @ self.code[b].T / self.factor[b]
-        return np.nonzero(estimate + self.error[b] >= threshold)
+def words(bits: np.ndarray) -> np.ndarray:
+    """The last axis of 0 and 1 as 64-bit words."""
+    rest = -bits.shape[-1] % 64
+    padded = np.pad(bits.astype(np.uint8), [(0, 0)] * (bits.ndim - 1) + [(0, rest)])
+    return np.packbits(padded, axis=-1).view("<u8")
+
+
+def encoded(units: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes as rows of bytes, signs) of unit vectors under ``count`` rotations.
+
+    A code: low, step and length of the rounding error and the factors (32-bit floats), the bit
+    planes of the first rotation (words), the signs of all rotations.
+    """
+    n, dims = units.shape
+    rotated = units @ rotations(dims, count)
+    signs = rotated > 0
+    kept = min(count, FACTORS)
+    factors = np.abs(rotated[:, : kept * dims]).reshape(n, kept, dims).sum(2)
+    first, top = rotated[:, :dims], (1 << PLANES) - 1
+    low = first.min(1, keepdims=True)
+    step = np.maximum((first.max(1, keepdims=True) - low) / top, 1e-12)
+    shift = np.random.default_rng([SEED, dims]).random(dims)
+    levels = np.clip(np.floor((first - low) / step + shift), 0, top).astype(np.uint8)
+    off = np.sqrt(((first - low - step * levels) ** 2).sum(1, keepdims=True))
+    planes = words((levels[:, None, :] >> np.arange(PLANES, dtype=np.uint8)[:, None]) & 1)
+    head = np.concatenate([low, step, off, factors], 1).astype("<f4")
+    parts = [head.view(np.uint8), planes.reshape(n, -1).view(np.uint8), np.packbits(signs, axis=1)]
+    return np.concatenate(parts, 1), signs
 
 
-def block_links(
-    units: np.ndarray, keys: np.ndarray, band: int, own: np.ndarray, ball: np.ndarray, threshold: float, sigmas: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (places) of one bucket's block pair that share no ball (-1: none) and no earlier band.
+class Codes:
+    """Stored codes read back, with the estimates and bounds they allow."""
+
+    def __init__(self, codes: np.ndarray, dims: int, count: int, sigmas: float):
+        n, kept, wide = len(codes), min(count, FACTORS), -(-dims // 64)
+        at = 4 * (3 + kept)
+        head = np.ascontiguousarray(codes[:, :at]).view("<f4").astype(float)
+        self.dims, self.kept = dims, kept
+        self.low, self.step, self.off, self.factors = head[:, 0], head[:, 1], head[:, 2], head[:, 3:]
+        end = at + PLANES * wide * 8
+        self.planes = np.ascontiguousarray(codes[:, at:end]).view("<u8").reshape(n, PLANES, wide)
+        self.signs = np.unpackbits(np.ascontiguousarray(codes[:, end:]), axis=1, count=count * dims)
+        self.first = words(self.signs[:, :dims])
+        self.ones = np.bitwise_count(self.first).sum(1, dtype=np.int64)
+        scale = (1 << np.arange(PLANES))[None, :]
+        self.levels = (np.bitwise_count(self.planes).sum(2, dtype=np.int64) * scale).sum(1)
+        r = np.minimum(self.factors / math.sqrt(dims), 1.0)
+        most = np.sqrt(1 - r**2) / r
+        share, rounded = sigmas / math.sqrt(max(dims - 1, 1)), min(sigmas / math.sqrt(dims), 1.0)
+        self.error_first = most[:, 0] * min(share, 1.0)
+        self.error = np.minimum(share * np.sqrt((most**2).sum(1)) / kept, most.mean(1))
+        self.round_first, self.round = rounded / r[:, 0], rounded * (1 / r).mean(1)
+
+    def estimate(self, a: slice, b: slice) -> np.ndarray:
+        """Cosines of the vectors of a with those of b from the first rotation, by bit operations."""
+        inner = np.zeros((len(self.low[a]), len(self.low[b])), np.int64)
+        for p in range(PLANES):
+            for w in range(self.first.shape[1]):
+                shared = np.bitwise_count(self.planes[a, p, w][:, None] & self.first[b, w])
+                inner += shared.astype(np.int64) << p
+        low, step = self.low[a][:, None], self.step[a][:, None]
+        total = self.dims * low + step * self.levels[a][:, None]
+        return (2 * (low * self.ones[b] + step * inner) - total) / self.factors[b, 0]
+
+    @cached_property
+    def rounded(self) -> np.ndarray:
+        """The vectors as their bit planes keep them, under each rotation with a factor: n x kept x dims."""
+        bits = np.unpackbits(self.planes.view(np.uint8), axis=2, count=self.dims)
+        levels = (bits << np.arange(PLANES, dtype=np.uint8)[:, None]).sum(1)
+        turned = rotations(self.dims, 1).T @ rotations(self.dims, self.kept)
+        out = (self.low[:, None] + self.step[:, None] * levels) @ turned
+        return out.reshape(len(out), self.kept, self.dims)
+
+    def refined(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Estimates of pairs as means over all rotations with a factor."""
+        x = self.signs[j, : self.kept * self.dims].reshape(len(j), self.kept, self.dims)
+        inner = 2 * np.einsum("nkd,nkd->nk", self.rounded[i], x.astype(float)) - self.rounded[i].sum(2)
+        return (inner / self.factors[j]).mean(1)
 
-    ``own`` is 0 for rows of the first block and 1 for those of the second; if only one of the two
-    occurs, the block is compared with itself.
+    def candidates(self, a: slice, b: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (places) of the two slices whose upper bounds reach the threshold."""
+        bound = self.estimate(a, b) + self.error_first[b] + self.off[a][:, None] * self.round_first[b]
+        i, j = np.nonzero(bound >= threshold - 1e-5)
+        i, j = i + (a.start or 0), j + (b.start or 0)
+        if self.kept == 1:
+            return i, j
+        near = [np.zeros(0, bool)]
+        for at in range(0, len(i), GATHER):
+            x, y = i[at : at + GATHER], j[at : at + GATHER]
+            near.append(self.refined(x, y) + self.error[y] + self.off[x] * self.round[y] >= threshold - 1e-5)
+        kept = np.concatenate(near)
+        return i[kept], j[kept]
+
+
+def surviving_pairs(group: pd.DataFrame, bits: int, bands: int, threshold: float, sigmas: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (places) of a block pair to compare exactly: they share no ball (-1: none) and no earlier band.
+
+    ``group`` is sorted by ``own``: 0 for rows of the first block, 1 for those of the second.
     """
-    codes = Codes(units, sigmas)
-    split = int(np.searchsorted(own, 1))
-    crossed = 0 < split < len(units)
-    left, right = [], []
-    for begin in range(0, split if crossed else len(units), 256):
-        a = slice(begin, min(begin + 256, split) if crossed else begin + 256)
-        b = slice(split, None) if crossed else slice(begin, None)
-        i, j = codes.candidates(a, b, threshold)
-        i, j = i + a.start, j + b.start
+    dims, band = int(group["dims"].iloc[0]), int(group["band"].iloc[0])
+    raw = np.frombuffer(b"".join(group["code"]), np.uint8).reshape(len(group), -1)
+    codes = Codes(raw, dims, rotations_of(dims, bits, bands), sigmas)
+    keys, ball = band_values(codes.signs, bits, band), group["ball"].to_numpy()
+    crossed = group["i"].iloc[0] != group["j"].iloc[0]
+    split = int(np.searchsorted(group["own"].to_numpy(), 1)) if crossed else len(group)
+    for begin in range(0, split, 256):
+        a = slice(begin, min(begin + 256, split))
+        i, j = codes.candidates(a, slice(split if crossed else begin, len(group)), threshold)
+        keep = (ball[i] != ball[j]) | (ball[i] < 0)
         if not crossed:
-            i, j = i[i < j], j[i < j]
-        apart = (ball[i] != ball[j]) | (ball[i] < 0)
-        i, j = i[apart], j[apart]
+            keep &= i < j
+        i, j = i[keep], j[keep]
+        for earlier in range(band):
+            new = keys[i, earlier] != keys[j, earlier]
+            i, j = i[new], j[new]
         if len(i):
-            near = np.einsum("ij,ij->i", units[i], units[j]) >= threshold
-            i, j = i[near], j[near]
-            for earlier in range(band):
-                new = keys[i, earlier] != keys[j, earlier]
-                i, j = i[new], j[new]
-        left.append(i)
-        right.append(j)
-    return np.concatenate(left), np.concatenate(right)
+            yield i, j
+
+
+def exact_pairs(units: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs have a cosine of at least the threshold, in double precision."""
+    near = [np.zeros(0, bool)]
+    for at in range(0, len(i), GATHER):
+        part = slice(at, at + GATHER)
+        near.append(np.einsum("ij,ij->i", units[i[part]], units[j[part]]) >= threshold)
+    return np.concatenate(near)
 
 
 def least_reachable(n: int, left: np.ndarray, right: np.ndarray, uids: np.ndarray) -> np.ndarray:
@@ -142,32 +235,50 @@ KEYS = ["dims", "band", "key", "i", "j"]
 LINKS = "uid long, links long, least long"
 
 
-def compare_blocks(rows: DataFrame, bits: int, bands: int, threshold: float, sigmas: float) -> DataFrame:
-    """Per vector and block pair with links: uid, links (weighted), least."""
+def surviving_members(rows: DataFrame, bits: int, bands: int, threshold: float, sigmas: float) -> DataFrame:
+    """The rows of each block pair, without codes, that have a surviving pair there."""
+    columns = [*KEYS, "own", "ball", "uid"]
 
     def of(group: pd.DataFrame) -> pd.DataFrame | None:
         if len(group) < 2:
             return None
         group = group.sort_values("own", kind="stable")
-        vectors = np.frombuffer(b"".join(group["vector"]), "<f8").reshape(len(group), -1)
-        units = unit_vectors(vectors)
-        keys = band_values(units, bits, int(group["band"].iloc[0]) or 1)
-        i, j = block_links(units, keys, int(group["band"].iloc[0]), group["own"].to_numpy(), group["ball"].to_numpy(), threshold, sigmas)
-        if not len(i):
-            return None
+        hit = np.zeros(len(group), bool)
+        for i, j in surviving_pairs(group, bits, bands, threshold, sigmas):
+            hit[i] = hit[j] = True
+        return group.loc[hit, columns] if hit.any() else None
+
+    kinds = "dims int, band int, key long, i int, j int, own int, ball long, uid long"
+    return per_group(rows, KEYS, of, kinds)
+
+
+def compare_blocks(rows: DataFrame, bits: int, bands: int, threshold: float, sigmas: float) -> DataFrame:
+    """Per vector and block pair with links: uid, links (weighted), least."""
+
+    def of(group: pd.DataFrame) -> pd.DataFrame | None:
+        group = group.sort_values("own", kind="stable")
+        units = unit_vectors(np.frombuffer(b"".join(group["vector"]), "<f8").reshape(len(group), -1))
         weight, uids = group["weight"].to_numpy(), group["uid"].to_numpy()
-        links = np.bincount(i, weight[j], len(group)) + np.bincount(j, weight[i], len(group))
+        links, left, right = np.zeros(len(group)), [], []
+        for i, j in surviving_pairs(group, bits, bands, threshold, sigmas):
+            near = exact_pairs(units, i, j, threshold)
+            i, j = i[near], j[near]
+            links += np.bincount(i, weight[j], len(group)) + np.bincount(j, weight[i], len(group))
+            left.append(i)
+            right.append(j)
         hit = links > 0
-        least = least_reachable(len(group), i, j, uids)
+        if not hit.any():
+            return None
+        least = least_reachable(len(group), np.concatenate(left), np.concatenate(right), uids)
         return pd.DataFrame({"uid": uids[hit], "links": links[hit].astype(np.int64), "least": least[hit]})
 
     return per_group(rows, KEYS, of, LINKS)
 
 
-def ball_members(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFrame:
+def ball_members(pairs: DataFrame, folded: DataFrame, threshold: float) -> DataFrame:
     """(uid, ball): vectors within half the threshold's angle of a leader; of several, the most common one."""
     half = math.cos(math.acos(threshold) / 2) + 1e-9
-    side = keyed.select("uid", "vector", "dims")
+    side = folded.select("uid", "vector", "dims")
     joined = pairs.join(side, "uid").join(side.select(F.col("uid").alias("leader"), F.col("vector").alias("center")), "leader")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,21 +298,26 @@ def ball_members(pairs: DataFrame, keyed: DataFrame, threshold: float) -> DataFr
     return inside.join(sizes, "leader").groupBy("uid").agg(chosen)
 
 
-def banded(classes: DataFrame, bits: int, bands: int) -> DataFrame:
-    """uid, weight, vector, dims and the array of band keys, one row per different vector."""
+def coded(classes: DataFrame, bits: int, bands: int) -> DataFrame:
+    """uid, dims, the array of band keys and the code, one row per different vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors, dims = batch["vector"].to_pylist(), np.array(batch["dims"].to_pylist())
+            vectors, dims = batch["vector"].to_pylist(), np.array(batch["dims"].to_pylist(), int)
             keys: list[list[int]] = [[]] * len(vectors)
+            codes: list[bytes] = [b""] * len(vectors)
             for d in np.unique(dims):
                 places = np.flatnonzero(dims == d)
                 values = np.frombuffer(b"".join(vectors[k] for k in places), "<f8").reshape(len(places), d)
-                for k, row in zip(places, band_values(unit_vectors(values), bits, bands).tolist(), strict=True):
-                    keys[k] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.int64()))], [*batch.schema.names, "keys"])
+                rows, signs = encoded(unit_vectors(values), rotations_of(int(d), bits, bands))
+                for k, row, code in zip(places, band_values(signs, bits, bands).tolist(), rows, strict=True):
+                    keys[k], codes[k] = row, code.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [batch["uid"], batch["dims"], pa.array(keys, pa.list_(pa.int64())), pa.array(codes, pa.binary())],
+                ["uid", "dims", "keys", "code"],
+            )
 
-    return classes.mapInArrow(run, T.StructType([*classes.schema.fields, T.StructField("keys", T.ArrayType(T.LongType()))]))
+    return classes.select("uid", "dims", "vector").mapInArrow(run, "uid long, dims int, keys array<long>, code binary")
 
 
 def as_doubles(rows: DataFrame) -> DataFrame:
@@ -222,7 +338,7 @@ def as_doubles(rows: DataFrame) -> DataFrame:
 
 
 def near_vectors(
-    vectors: DataFrame, threshold: float = 0.9, recall: float = 0.97, sigmas: float = 4.0, bucket: int = 256,
+    vectors: DataFrame, threshold: float = 0.9, recall: float = 0.999, sigmas: float = 4.0, bucket: int = 1024,
     id_column: str = "vec_id", vector_column: str = "embedding",
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
@@ -231,7 +347,7 @@ def near_vectors(
     folded = rows.where("vector is not null").groupBy("vector").agg(F.min("row").alias("uid"), F.count(F.lit(1)).alias("weight"))
     folded = written(folded.withColumn("dims", (F.octet_length("vector") / 8).cast("int")), "different-vectors")
     bits, bands = band_plan(folded.count(), threshold, recall, bucket)
-    keyed = written(banded(folded, bits, bands), "banded-vectors")
+    keyed = written(coded(folded, bits, bands), "coded-vectors")
 
     member = keyed.select("uid", "dims", F.posexplode("keys").alias("band", "key"))
     bucket = ["dims", "band", "key"]
@@ -240,7 +356,7 @@ def near_vectors(
     sizes = written(sizes.where("n > 1"), "vector-buckets")
     crowded = sizes.where(F.col("n") > BLOCK)
     pairs = member.join(crowded, bucket).select("uid", F.explode("leaders").alias("leader")).distinct()
-    balls = written(ball_members(pairs, keyed, threshold), "balls")
+    balls = written(ball_members(pairs, folded, threshold), "balls")
 
     placed = member.join(balls.select("uid", "ball"), "uid", "left").withColumn("ball", F.coalesce("ball", F.lit(-1).cast("long")))
     main = placed.where("ball >= 0").groupBy(*bucket, "ball").agg(F.count(F.lit(1)).alias("inside")).join(crowded.select(*bucket), bucket)
@@ -257,10 +373,12 @@ def near_vectors(
     placed = placed.select("uid", *bucket, "ball", mine.alias("mine"), F.explode(others).alias("other")).select(
         "uid", *bucket, "ball", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("own"),
-    ).join(keyed.select("uid", "weight", "vector"), "uid")
-    found = written(compare_blocks(placed, bits, bands, threshold, sigmas), "vector-links")
-    whole = balls.join(keyed.select("uid", "weight"), "uid").groupBy("ball").agg(F.sum("weight").alias("all"), F.min("uid").alias("least"))
-    whole = balls.join(keyed.select("uid", "weight"), "uid").join(whole, "ball").select("uid", (F.col("all") - F.col("weight")).alias("links"), "least")
+    ).join(keyed.select("uid", "code"), "uid")
+    near = written(surviving_members(placed, bits, bands, threshold, sigmas), "surviving-members")
+    near = near.join(keyed.select("uid", "code"), "uid").join(folded.select("uid", "weight", "vector"), "uid")
+    found = written(compare_blocks(near, bits, bands, threshold, sigmas), "vector-links")
+    whole = balls.join(folded.select("uid", "weight"), "uid").groupBy("ball").agg(F.sum("weight").alias("all"), F.min("uid").alias("least"))
+    whole = balls.join(folded.select("uid", "weight"), "uid").join(whole, "ball").select("uid", (F.col("all") - F.col("weight")).alias("links"), "least")
     found = found.union(whole)
 
     linked = connected_components(found.where("uid <> least").select(F.col("uid").alias("a"), F.col("least").alias("b")))
