@@ -52,8 +52,8 @@ from .components import connected_components
 
 #: Vectors per block of a bucket, and leaders tried in a bucket of more than one block.
 BLOCK, LEADERS = 4096, 8
-#: Bits a component keeps in a code, most rotations with a factor, and pairs gathered at a time.
-PLANES, FACTORS, GATHER = 4, 8, 1 << 15
+#: Bits a component keeps in a code, most rotations with a factor, pairs gathered and rows estimated at a time.
+PLANES, FACTORS, GATHER, STRIPE = 4, 8, 1 << 15, 64
 SEED = 20240607
 
 
@@ -144,16 +144,36 @@ class Codes:
         self.error = np.minimum(share * np.sqrt((most**2).sum(1)) / kept, most.mean(1))
         self.round_first, self.round = rounded / r[:, 0], rounded * (1 / r).mean(1)
 
-    def estimate(self, a: slice, b: slice) -> np.ndarray:
-        """Cosines of the vectors of a with those of b from the first rotation, by bit operations."""
-        inner = np.zeros((len(self.low[a]), len(self.low[b])), np.int64)
-        for p in range(PLANES):
+    def inner(self, a: slice, b: slice) -> np.ndarray:
+        """Sums of the levels of a under the set signs of b in the first rotation, by bit operations."""
+        shape = len(self.low[a]), len(self.low[b])
+        fits = self.dims << PLANES < 1 << 16
+        inner = np.zeros(shape, np.uint16 if fits else np.uint32)
+        both, count = np.empty(shape, np.uint64), np.empty(shape, np.uint8)  # used again: new ones cost more than the work
+        for p in reversed(range(PLANES)):
+            inner <<= 1
             for w in range(self.first.shape[1]):
-                shared = np.bitwise_count(self.planes[a, p, w][:, None] & self.first[b, w])
-                inner += shared.astype(np.int64) << p
+                np.bitwise_and(self.planes[a, p, w][:, None], self.first[b, w], out=both)
+                inner += np.bitwise_count(both, out=count)
+        return inner
+
+    def estimate(self, a: slice, b: slice) -> np.ndarray:
+        """Cosines of the vectors of a with those of b from the first rotation."""
         low, step = self.low[a][:, None], self.step[a][:, None]
         total = self.dims * low + step * self.levels[a][:, None]
-        return (2 * (low * self.ones[b] + step * inner) - total) / self.factors[b, 0]
+        return (2 * (low * self.ones[b] + step * self.inner(a, b)) - total) / self.factors[b, 0]
+
+    def least_inner(self, a: slice, b: slice, threshold: float) -> np.ndarray:
+        """The least ``inner`` with which the upper bound of a pair reaches the threshold.
+
+        The bound estimate + error + rounding >= threshold, solved for it: products of four numbers
+        of a and four of b.
+        """
+        low, step, factor = self.low[a], self.step[a], self.factors[b, 0]
+        total = self.dims * low + step * self.levels[a]
+        left = np.stack([2 * low, -total, np.ones(len(low)), self.off[a]], 1) / (-2 * step[:, None])
+        right = np.stack([self.ones[b], np.ones(len(factor)), (self.error_first[b] - threshold) * factor, self.round_first[b] * factor])
+        return left.astype(np.float32) @ right.astype(np.float32)
 
     @cached_property
     def rounded(self) -> np.ndarray:
@@ -172,8 +192,8 @@ class Codes:
 
     def candidates(self, a: slice, b: slice, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (places) of the two slices whose upper bounds reach the threshold."""
-        bound = self.estimate(a, b) + self.error_first[b] + self.off[a][:, None] * self.round_first[b]
-        i, j = np.nonzero(bound >= threshold - 1e-5)
+        reached = self.inner(a, b) >= self.least_inner(a, b, threshold - 1e-5)
+        i, j = np.divmod(np.flatnonzero(reached), reached.shape[1])
         i, j = i + (a.start or 0), j + (b.start or 0)
         if self.kept == 1:
             return i, j
@@ -196,8 +216,8 @@ def surviving_pairs(group: pd.DataFrame, bits: int, bands: int, threshold: float
     keys, ball = band_values(codes.signs, bits, band), group["ball"].to_numpy()
     crossed = group["i"].iloc[0] != group["j"].iloc[0]
     split = int(np.searchsorted(group["own"].to_numpy(), 1)) if crossed else len(group)
-    for begin in range(0, split, 256):
-        a = slice(begin, min(begin + 256, split))
+    for begin in range(0, split, STRIPE):
+        a = slice(begin, min(begin + STRIPE, split))
         i, j = codes.candidates(a, slice(split if crossed else begin, len(group)), threshold)
         keep = (ball[i] != ball[j]) | (ball[i] < 0)
         if not crossed:

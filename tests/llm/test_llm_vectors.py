@@ -55,6 +55,10 @@ def test_bit_estimates_equal_plain_products(dims):
     plain = codes.rounded[:, 0] @ (2.0 * signs[:, :dims] - 1).T / codes.factors[:, 0]
     estimate = codes.estimate(slice(0, 200), slice(0, 200))
     assert np.allclose(estimate, plain, atol=1e-5)
+    whole = slice(0, 200)
+    bound = estimate + codes.error_first + codes.off[:, None] * codes.round_first
+    far = np.abs(bound - 0.9) > 1e-5
+    assert ((codes.inner(whole, whole) >= codes.least_inner(whole, whole, 0.9)) == (bound >= 0.9))[far].all()
     near = units @ units.T >= 0.9
     i, j = codes.candidates(slice(0, 200), slice(0, 200), 0.9)
     found = np.zeros_like(near)
