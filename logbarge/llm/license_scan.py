@@ -1,21 +1,32 @@
 """Licence scan by canonical digests.
 
-A text is brought to a canonical form (lower case, copyright lines out, equivalent spellings made
-one, everything but letters and digits turned into single blanks) and its SHA-256 is hash-joined
-with the digests of known licence texts in the same form. Two units are looked up, each as an
-entire text: the document, and each of its lines, since many documents carry a notice as a line of
-its own.
-
-The digest table comes from the ``known`` argument, so its size is bounded by that argument.
+A text is brought to a canonical form (copyright lines out, lower case, equivalent spellings made
+one, everything but letters and digits turned into single blanks) and its SHA-256 is looked up among
+the digests of known licence texts in the same form. Three units are looked up, each as an entire
+text: the document, each of its lines, since many documents carry a notice as a line of its own, and
+each run of several lines between blank lines that is not all of the document, since notices and whole
+licences stand in headers. Where a line ends does not matter.
+
+A copyright line begins with ``copyright``, ``(c)`` or the sign, and goes on with a sign, a year, a
+placeholder, ``by`` or nothing but capitalised names; other lines that begin so are part of a text. One
+that reflowing moved into the text, or a part of the text that it moved behind such a begin, is not
+told apart.
+
+Whole licences: those in the folder ``licenses``, MIT and ISC, each with and without its title, with
+and without what follows its terms. The digest table comes from the ``known`` argument, so its size
+is bounded by that argument.
 
 Defined results: a null text counts as empty; an empty canonical form matches nothing; repeated
-rows are judged each on its own; no other column is read. ``license`` is the id whose digest the
-whole document has, or null; ``notices`` the sorted distinct ids of its lines, comma-joined, or
-the empty string.
+rows are judged each on its own; long texts are digested whole; only the id and text columns are
+read, so other columns cannot clash. ``license`` is the id whose digest the whole document has, or
+null; ``notices`` the sorted distinct ids of its lines and runs, comma-joined, or the empty string.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +45,8 @@ SPELLINGS = {
 KNOWN = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+        compliance with the License. You may obtain a copy of the License at""",
         "This project is licensed under the Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
     ],
@@ -65,6 +78,9 @@ KNOWN = {
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version.""",
         "Licensed under the GNU General Public License, version 3.",
         "SPDX-License-Identifier: GPL-3.0-only",
     ],
@@ -76,17 +92,36 @@ KNOWN = {
     "LicenseRef-reserved": ["All rights reserved."],
 }
 
+# Titles that stand over a text which does not hold its own; such texts by folder or above.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "ISC": ["ISC License", "The ISC License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License"],
+}
+# The first line of the terms, below a text's own title, and the line after its terms.
+TERMS_BEGIN = {
+    "Apache-2.0": "   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", "MPL-2.0": "1. Definitions",
+    "CC0-1.0": "CC0 1.0 Universal",
+}
+TERMS_END = "END OF TERMS AND CONDITIONS"
+RESERVED = "All rights reserved."
+
 # The patterns of the canonical form; they mean the same to Java and RE2.
-COPYRIGHT_LINE = r"^[^\p{L}\p{N}]*(copyright|\(c\)|©)"
+COPYRIGHT_LINE = (
+    r"^[^\p{L}\p{N}]*((?i:©|\(c\)[^\p{L}\p{N}]*[12][0-9]{3}|copyright[^\p{L}\p{N}]*(©|\(c\)|[12][0-9]{3}|[\[<{]|by ))"
+    r"|[Cc]opyright([ \t]+[A-Z][\p{Ll}.'-]+){1,6}[^\p{L}\p{N}]*$)"
+)
+BLANK_LINES = r"\n([ \t\r]*\n)+"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
 def plain_lines(text: Column) -> Column:
     """The lines in lower case, words parted by single blanks; copyright and empty lines are gone."""
-    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), "\n")
+    lines = F.split(F.coalesce(text, F.lit("")), "\n")
     plain = F.transform(
         F.filter(lines, lambda x: ~F.rlike(x, F.lit(COPYRIGHT_LINE))),
-        lambda x: F.trim(F.regexp_replace(x, NOT_WORD, " ")),
+        lambda x: F.trim(F.regexp_replace(F.lower(x), NOT_WORD, " ")),
     )
     return F.filter(plain, lambda x: x != "")
 
@@ -104,29 +139,56 @@ def canonical(text: Column) -> Column:
     return one_spelling(F.array_join(plain_lines(text), " "))
 
 
-def known_digests(docs: DataFrame, known: dict[str, list[str]]) -> DataFrame:
-    """(known_digest, license): one row per known text, by the same expressions as the documents."""
+@lru_cache(maxsize=1)
+def known_texts() -> dict[str, list[str]]:
+    """The notices of ``KNOWN`` and the whole licences in the forms they are met in, by id."""
+    texts = {name: list(found) for name, found in KNOWN.items()}
+    for file in sorted((Path(__file__).parent / "licenses").glob("*.txt")):
+        name, text = file.stem, file.read_text(encoding="utf-8")
+        forms = [text, text[text.index(TERMS_BEGIN[name]) :]] if name in TERMS_BEGIN else [text]
+        for form in list(forms):
+            terms, end, after = form.partition(TERMS_END)
+            forms += [terms, terms + end] if after else []
+        texts.setdefault(name, []).extend(forms)
+    for name, titles in TITLES.items():
+        whole = texts[name][-1]
+        for title in ["", *titles]:
+            texts[name] += [f"{title}\n{whole}", f"{title}\n{RESERVED}\n{whole}"]
+    return texts
+
+
+def known_digests(docs: DataFrame, known: dict[str, list[str]]) -> dict[str, str]:
+    """The id by digest of each known text, by the same expressions as the documents; bounded by ``known``."""
     rows = [(name, text) for name, texts in known.items() for text in texts]
     table = docs.sparkSession.createDataFrame(rows, "license string, text string")
     digest = F.sha2(canonical(F.col("text")), 256).alias("known_digest")
-    return table.select(digest, "license").groupBy("known_digest").agg(F.min("license").alias("license"))
+    found = table.select(digest, "license").groupBy("known_digest").agg(F.min("license").alias("license"))
+    return {r["known_digest"]: r["license"] for r in found.collect()}
 
 
 def scan_licenses(
-    docs: DataFrame, known: dict[str, list[str]] = KNOWN, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, known: dict[str, list[str]] | None = None, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per document: ``doc_id``, ``digest`` of the canonical text, ``license``, ``notices``."""
-    digests = known_digests(docs, known)
-    # bounded by the argument: one entry per known text
-    by_digest = {r["known_digest"]: r["license"] for r in digests.collect()}
+    """One row per document: ``doc_id``, ``digest`` of the canonical text, ``license``, ``notices``.
+
+    ``known`` holds texts by id; without it, those of ``known_texts``.
+    """
+    by_digest = known_digests(docs, known_texts() if known is None else known)
     lookup = F.create_map(*[F.lit(x) for pair in by_digest.items() for x in pair]) if by_digest else None
-    rows = pick(docs, doc_id=id_column, text=text_column).withColumn("lines", plain_lines(F.col("text")))
+    digests = docs.sparkSession.createDataFrame(list(by_digest.items()), "known_digest string, license string")
+    runs = F.transform(F.split(F.coalesce("text", F.lit("")), BLANK_LINES), plain_lines)
+    rows = pick(docs, doc_id=id_column, text=text_column).withColumn("runs", runs)
+    whole = lambda lines: F.sha2(one_spelling(F.array_join(lines, " ")), 256)
+    lines = F.flatten("runs")
     scanned = rows.select(
         "doc_id",
-        F.sha2(one_spelling(F.array_join("lines", " ")), 256).alias("digest"),
-        F.array_distinct(F.transform("lines", lambda x: F.sha2(one_spelling(x), 256))).alias("line_digests"),
+        whole(lines).alias("digest"),
+        F.array_distinct(F.concat(
+            F.transform(lines, lambda x: F.sha2(one_spelling(x), 256)),
+            F.transform(F.filter("runs", lambda x: (F.size(x) > 1) & (F.size(x) < F.size(lines))), whole),
+        )).alias("unit_digests"),
     )
-    names = F.filter(F.transform("line_digests", lambda d: lookup[d]), lambda x: x.isNotNull()) if by_digest else F.array().cast("array<string>")
+    names = F.filter(F.transform("unit_digests", lambda d: lookup[d]), lambda x: x.isNotNull()) if by_digest else F.array().cast("array<string>")
     return scanned.join(F.broadcast(digests), scanned["digest"] == digests["known_digest"], "left").select(
         "doc_id", "digest", "license", F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("notices")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .license_scan import COPYRIGHT_LINE, KNOWN, NOT_WORD, SPELLINGS
+from .license_scan import BLANK_LINES, COPYRIGHT_LINE, NOT_WORD, SPELLINGS, known_texts
 from .queries import WEIGHTS
 from .url_reputation import RULES, TWO_LABEL_SUFFIXES, Reputation
 
@@ -19,23 +19,27 @@ def _spelled(sql: str) -> str:
 
 
 def _plain(sql: str) -> str:
-    return f"""list_filter(list_transform(list_filter(string_split(lower(coalesce({sql}, '')), chr(10)),
-        lambda x: not regexp_matches(x, {_text(COPYRIGHT_LINE)})), lambda x: trim(regexp_replace(x, {_text(NOT_WORD)}, ' ', 'g'))),
+    return f"""list_filter(list_transform(list_filter(string_split(coalesce({sql}, ''), chr(10)),
+        lambda x: not regexp_matches(x, {_text(COPYRIGHT_LINE)})), lambda x: trim(regexp_replace(lower(x), {_text(NOT_WORD)}, ' ', 'g'))),
         lambda x: x <> '')"""
 
 
 def license_digests() -> str:
-    known = ", ".join(f"({_text(name)}, {_text(text)})" for name, texts in KNOWN.items() for text in texts)
+    known = ", ".join(f"({_text(name)}, {_text(text)})" for name, texts in known_texts().items() for text in texts)
+    joined = _spelled("array_to_string(r, ' ')")
     return f"""
     with known as (
         select sha256({_spelled(f"array_to_string({_plain('text')}, ' ')")}) as d, min(name) as name
         from (values {known}) k(name, text) group by d),
-    scanned as (
-        select row_number() over () as r, doc_id, {_plain('text')} as lines from documents),
-    hits as (
-        select r, string_agg(distinct name, ',' order by name) as notices
-        from (select r, unnest(list_transform(lines, lambda x: sha256({_spelled('x')}))) as d from scanned) join known using (d)
-        group by r),
+    cut as (
+        select row_number() over () as r, doc_id,
+            list_transform(string_split_regex(coalesce(text, ''), {_text(BLANK_LINES)}), lambda r: {_plain('r')}) as runs from documents),
+    scanned as (select r, doc_id, runs, flatten(runs) as lines from cut),
+    units as (
+        select r, unnest(list_transform(lines, lambda x: sha256({_spelled('x')}))) as d from scanned
+        union all
+        select r, unnest(list_transform(list_filter(runs, lambda r: len(r) > 1 and len(r) < len(lines)), lambda r: sha256({joined}))) from scanned),
+    hits as (select r, string_agg(distinct name, ',' order by name) as notices from units join known using (d) group by r),
     whole as (select r, doc_id, sha256({_spelled("array_to_string(lines, ' ')")}) as digest from scanned)
     select doc_id, digest, name as license, coalesce(notices, '') as notices
     from whole left join known on digest = d left join hits using (r)"""

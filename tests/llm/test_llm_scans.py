@@ -7,7 +7,7 @@ import re
 from llm_helpers import documents, rows_of
 from pyspark.sql import functions as F
 
-from logbarge.llm.license_scan import KNOWN, scan_licenses
+from logbarge.llm.license_scan import KNOWN, known_texts, scan_licenses
 from logbarge.llm.secret_scan import (
     KINDS,
     automaton,
@@ -81,6 +81,35 @@ def test_licenses(spark):
     assert rows_of(scan_licenses(documents(spark, "x"), known={}), "license", "notices") == [(None, "")]
 
 
+def test_whole_licenses_however_wrapped(spark):
+    import textwrap
+
+    names = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0"]
+    texts, want = [], []
+    for name in names:
+        whole = max(known_texts()[name], key=len)
+        # the guides after the terms hold copyright lines of their own, which reflowing would move into the text
+        body = "\n".join(x for x in whole.partition("END OF TERMS")[0].split("\n") if not x.strip().lower().startswith(("copyright (c)", "copyright [")))
+        texts += [whole, "Copyright 2020 Some One\n\n" + textwrap.fill(body, 40), textwrap.fill(body, 71)]
+        want += [name] * 3
+    got = rows_of(scan_licenses(documents(spark, *texts)), "doc_id", "license")
+    assert [x for _, x in sorted(got)] == want
+
+
+def test_copyright_lines_and_runs(spark):
+    mit = " ".join(KNOWN["MIT"][-1].split())
+    head, tail = mit.split("COPYRIGHT HOLDERS BE LIABLE")
+    wrapped = f"{head}\nCOPYRIGHT HOLDERS BE LIABLE{tail}"
+    texts = [
+        f"MIT License\n\nCopyright (c) 2020 A\n\n{wrapped}", f"The MIT License (MIT)\nCopyright © A, B\n{wrapped}", f"Copyright Jane Doe\n{wrapped}",
+        f"copyright by Jane Doe\n{wrapped}", f"COPYRIGHT <YEAR> <NAME>\nAll rights reserved.\n{wrapped}", f"copyright holders\n{wrapped}",
+        f"# some code\n\n# Copyright [2020] [A]\n# {wrapped}\n\nmore code", f"first\n \t\r\n\n{wrapped}\n\n\nlast", f"first\n{wrapped}\nlast",
+    ]
+    got = rows_of(scan_licenses(documents(spark, *texts)), "doc_id", "license", "notices")
+    assert [(x, "MIT" in y) for _, x, y in sorted(got)] == [
+        ("MIT", True), ("MIT", False), ("MIT", False), ("MIT", False), ("MIT", False), (None, False), (None, True), (None, True), (None, False)]
+
+
 def test_tokens_nested_too_deep_are_none():
     part = lambda text: base64.urlsafe_b64encode(text.encode()).decode().rstrip("=")
     deep = "[" * 50_000
