@@ -1,8 +1,12 @@
 import time
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from helpers import values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logbarge.operators.batching import cut_batches
 from logbarge.sinks import PushOptions, push_sink
@@ -222,3 +226,41 @@ def test_a_new_stream_goes_on_with_the_numbers(spark, tmp_path):
     for shard, found in numbers.items():
         assert all(max(q for s, b, q in rows if s == shard and b == n) < min(q for s, b, q in rows if s == shard and b == n + 1) for n in found[:-1])
     assert sorted(values(continues, "next_batch")) == [1, 5, 6]
+
+
+def test_packed_rows_take_little_memory_and_come_back():
+    """Texts in Arrow buffers: 1.1 KB a row as Python objects, which a hot shard's trigger multiplies; nulls and other types stay."""
+    from logbarge.streaming.batches import Packed
+
+    schema = T.StructType.fromDDL("seq bigint, shard string, labels string, line string, n int, at timestamp, ok boolean")
+    packed, n = Packed(schema, ["shard", "labels"]), 2_000
+    before = pa.total_allocated_bytes()
+    for part in range(25):
+        ids = range(part * n, part * n + n)
+        packed.add(pd.DataFrame({
+            "seq": ids, "shard": [None if i % 3 == 0 else f"s{i % 2}" for i in ids], "labels": [f"{'x' * 200}{i % 5}" for i in ids],
+            "line": [None if i % 7 == 0 else f"line {i}" for i in ids], "n": [None if i % 2 else i for i in ids],
+            "at": pd.to_datetime(list(ids), unit="s"), "ok": [i % 2 == 0 for i in ids],
+        }))
+    packed.closed()
+    assert packed.rows == 25 * n and (pa.total_allocated_bytes() - before) / packed.rows < 70
+    places = np.array([49_999, 0, 21, 25_000])
+    want = [(i, None if i % 3 == 0 else f"s{i % 2}", f"{'x' * 200}{i % 5}", None if i % 7 == 0 else f"line {i}", None if i % 2 else i, pd.Timestamp(i, unit="s"), i % 2 == 0) for i in places.tolist()]
+    assert packed.tuples(places) == want
+    frame = packed.frame(places)
+    assert list(frame.columns) == schema.names and list(frame.itertuples(index=False, name=None)) == want
+    codes = packed.codes("shard")
+    assert codes[0] == codes[3] and len({codes[0], codes[1], codes[2]}) == 3
+
+
+def test_a_trigger_larger_than_a_frame(spark, tmp_path):
+    """All of a shard's rows in one trigger, out of order and in many files, leave in frames and keep their batches."""
+    df = spark.range(25_000).select(
+        F.col("id").alias("seq"), F.lit("s").alias("shard"), F.col("id").alias("ts_ms"), F.lit(0).alias("nanos_in_ms"),
+        F.concat(F.lit("l"), F.col("id") % 4).alias("level"), F.repeat(F.lit("x"), (F.col("id") % 17).cast("int")).alias("line"),
+    )
+    df.repartition(4, F.rand(1)).write.json(f"{tmp_path}/in")
+    stream = as_records(stream_events(spark, f"{tmp_path}/in", "json", SCHEMA, max_files=10))
+    run(cut_batches_stream(stream, ["shard"], max_items=90, max_bytes=3500), tmp_path, availableNow=True).awaitTermination()
+    table = cut_batches(as_records(df), ["shard"], max_items=90, max_bytes=3500, drain_on_stop=False)
+    assert sorted(values(spark.read.parquet(f"{tmp_path}/out"), *KEY)) == sorted(values(table, *KEY))
