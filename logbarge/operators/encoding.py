@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.blocks import parts, plain
 from ..functions.json import json_quote
 from ..functions.text import map_text, selector
 from ..functions.wire import bytes_field, int_field, pair_fields, text_field
@@ -124,14 +125,15 @@ def _per_batch(streams: DataFrame, keys: Sequence[str], payload: Column, name: s
     )
 
 
-def _mapped(df: DataFrame, col: str, fn) -> DataFrame:
-    """Apply ``fn(bytes) -> bytes`` to one binary column, batch by batch."""
+def _mapped(df: DataFrame, col: str, fn, packed: bool = False) -> DataFrame:
+    """Apply ``fn(bytes) -> bytes`` to one binary column, part by part; ``packed`` values are Snappy blocks."""
     at = df.columns.index(col)
 
-    def run(parts):
-        for part in parts:
-            values = pa.array([None if v is None else fn(v) for v in part.column(at).to_pylist()], pa.binary())
-            yield part.set_column(at, part.schema.field(at).name, values)
+    def run(batches):
+        for batch in batches:
+            for part in parts(batch, at, packed):
+                values = pa.array([None if v is None else fn(v) for v in part.column(at).to_pylist()], pa.binary())
+                yield part.set_column(at, part.schema.field(at).name, values)
 
     return df.mapInArrow(run, df.schema)
 
@@ -144,17 +146,7 @@ def compress_snappy(df: DataFrame, col: str = "payload_bin") -> DataFrame:
 
 def decompress_snappy(df: DataFrame, col: str = "payload_bin") -> DataFrame:
     """Undo ``compress_snappy``; a raw block starts with its plain length as a varint."""
-
-    def plain(v: bytes) -> bytes:
-        length = shift = 0
-        for b in v:
-            length |= (b & 127) << shift
-            shift += 7
-            if b < 128:
-                break
-        return pa.decompress(v, decompressed_size=length, codec="snappy", asbytes=True)
-
-    return _mapped(df, col, plain)
+    return _mapped(df, col, plain, packed=True)
 
 
 def split_encode_errors(

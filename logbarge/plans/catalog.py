@@ -477,7 +477,7 @@ def proto_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = _counted(spark, sf_dir)
     path = _fresh(spark, "proto")
     write_payloads(compress_snappy(encode_proto(cut)).select("batch_no", "payload_bin"), path)
-    return reconcile(cut, read_proto_payloads(decompress_snappy(spark.read.parquet(path))))
+    return reconcile(cut, read_proto_payloads(spark.read.parquet(path), snappy=True))
 
 
 def payload_lost(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from helpers import LINE, events, records, three_events, values
 from pyspark.sql import functions as F
 
 from logbarge.functions import selector, varint
+from logbarge.functions.blocks import PART_BYTES, PART_ROWS, parts
 from logbarge.operators.batching import cut_by_count
 from logbarge.operators.encoding import (
     compress_snappy,
@@ -259,3 +260,31 @@ def test_reconcile_by_digest_equals_reconcile(spark, tmp_path):
     read = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("a", "b", "a-digests", "b-digests")}
     plan = reconcile_by_digest(read["a"], read["b"], 10, read["a-digests"], read["b-digests"])._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts_ms,-20)" in plan and "LessThan(ts_ms,160)" in plan
+
+
+def test_parts_of_a_batch_are_bounded():
+    """By plain bytes, also where the blocks are compressed; a larger value is alone, and every row is in one part."""
+    values = [b"a" * 1000] * 600 + [None, b""] + [b"b" * (PART_BYTES // 2)] * 5 + [b"c" * (2 * PART_BYTES), b"d"]
+    for packed in (False, True):
+        stored = [v if v is None or not packed else pa.compress(v, codec="snappy", asbytes=True) for v in values]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(values))), pa.array(stored, pa.binary())], ["n", "v"]).slice(1)
+        found = [part.column(0).to_pylist() for part in parts(batch, 1, packed)]
+        assert [n for part in found for n in part] == list(range(1, len(values)))
+        assert all(len(part) <= PART_ROWS and (len(part) == 1 or sum(len(values[n] or b"") for n in part) <= PART_BYTES) for part in found)
+        assert [607] in found and len(found) == 7
+    assert list(parts(batch.slice(0, 0), 1, True)) == []
+
+
+def test_compressed_messages_are_read_by_one_worker(spark):
+    """Without a second one that decompresses; batches on the way to it are small."""
+    rows = [{"ts_ms": k, "labels": {"n": str(k % 7)}, "line": f"l{k}" * 300, "metadata": {"k": str(k)}} for k in range(900)]
+    cut = cut_by_count(records(spark, *rows), max_items=2)
+    packed = compress_snappy(encode_proto(cut)).select("batch_no", "payload_bin").unionAll(spark.createDataFrame([(-1, None), (-2, b"")], "batch_no bigint, payload_bin binary"))
+    back = read_proto_payloads(packed, snappy=True)
+    assert back.select("entry_no").count() == 900
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert plan(back) == plan(packed) + 1
+    key = ("batch_no", "entry_no", "ts_ms", "line", "labels", "metadata")
+    want = read_proto_payloads(decompress_snappy(packed.where("length(payload_bin) > 0")))
+    assert sorted(map(str, values(back, *key))) == sorted(map(str, values(want, *key)))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 8 << 20
