@@ -648,7 +648,7 @@ def push_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFrame]:
     """The events' table arriving by quarters of the id range (null ids with the first): each time, the stream of all so far.
 
-    The rows of a quarter come in as many files as Spark deals out and are one trigger.
+    The rows of a quarter come in as many files as Spark deals out and are one trigger, whose rows are shaped on all cores.
     """
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
     low, high = source.agg(F.min("event_id"), F.max("event_id")).first()
@@ -656,7 +656,7 @@ def _arrivals(spark: SparkSession, sf_dir: str, folder: str) -> Iterator[DataFra
     quarter = F.coalesce(F.expr(f"(event_id - {low or 0}) div {step}"), F.lit(0))
     for k in range(4):
         source.where(quarter == k).write.mode("append").parquet(f"{folder}/in")
-        yield stream_events(spark, f"{folder}/in", "parquet", source.schema, X.shop_mapping(), 1_000_000)
+        yield stream_events(spark, f"{folder}/in", "parquet", source.schema, X.shop_mapping(), 1_000_000, spread_by="event_id")
 
 
 def _shop_lines(events: DataFrame) -> DataFrame:

@@ -92,10 +92,16 @@ def stream_events(
     schema: T.StructType | str | None = None,
     mapping: EventMapping | None = None,
     max_files: int = 1,
+    spread_by: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """The same, unbounded. ``max_files`` per trigger limits the rate, so that no event is refused."""
+    """The same, unbounded. ``max_files`` per trigger limits the rate, so that no event is refused.
+
+    ``spread_by`` deals the rows of a trigger out to all cores by hash of a column, where its files are fewer than those.
+    """
     configure(spark)
     reader = spark.readStream.format(fmt).options(**options).option("maxFilesPerTrigger", max_files)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
+    if spread_by is not None:
+        df = spread(df, spread_by, spark.sparkContext.defaultParallelism)
     return mapping.select(df) if mapping else df

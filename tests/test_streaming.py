@@ -264,3 +264,24 @@ def test_a_trigger_larger_than_a_frame(spark, tmp_path):
     run(cut_batches_stream(stream, ["shard"], max_items=90, max_bytes=3500), tmp_path, availableNow=True).awaitTermination()
     table = cut_batches(as_records(df), ["shard"], max_items=90, max_bytes=3500, drain_on_stop=False)
     assert sorted(values(spark.read.parquet(f"{tmp_path}/out"), *KEY)) == sorted(values(table, *KEY))
+
+
+def test_rows_of_few_files_are_shaped_on_all_cores(spark, tmp_path):
+    """One file is one task until its rows are spread; the same rows come out."""
+    spark.range(2_000).selectExpr("id seq", "'s' shard", "id ts_ms", "0 nanos_in_ms", "'l' level", "'x' line").coalesce(1).write.json(f"{tmp_path}/in")
+    found = {}
+    for name, by in (("whole", None), ("spread", "seq")):
+        stream = as_records(stream_events(spark, f"{tmp_path}/in", "json", SCHEMA, spread_by=by)).withColumn("task", F.spark_partition_id())
+        run(stream.drop("labels", "metadata"), f"{tmp_path}/{name}", availableNow=True).awaitTermination()
+        out = spark.read.parquet(f"{tmp_path}/{name}/out")
+        found[name] = (sorted(values(out, "seq")), out.select("task").distinct().count())
+    assert found["whole"] == (list(range(2_000)), 1)
+    assert found["spread"] == (list(range(2_000)), spark.sparkContext.defaultParallelism)
+
+
+def test_arrivals_of_the_catalog_are_spread(spark, sf, tmp_path):
+    from logbarge.plans.catalog import _arrivals
+
+    stream = next(iter(_arrivals(spark, sf, str(tmp_path))))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "RepartitionByExpression [event_id" in plan and f", {spark.sparkContext.defaultParallelism}" in plan
