@@ -229,7 +229,7 @@ def test_a_new_stream_goes_on_with_the_numbers(spark, tmp_path):
 
 
 def test_packed_rows_take_little_memory_and_come_back():
-    """Texts in Arrow buffers: 1.1 KB a row as Python objects, which a hot shard's trigger multiplies; nulls and other types stay."""
+    """Texts are in Arrow buffers, repeated ones once; nulls and other types stay."""
     from logbarge.streaming.batches import Packed
 
     schema = T.StructType.fromDDL("seq bigint, shard string, labels string, line string, n int, at timestamp, ok boolean")
